@@ -1,6 +1,6 @@
 """The queries of the corpus operators and their DuckDB counterparts."""
 
-from weftline.llm import mixing
+from weftline.llm import mixing, secrets
 
-QUERIES = {"op1_source_mixing": mixing.op1_source_mixing}
+QUERIES = {"op1_source_mixing": mixing.op1_source_mixing, "op10_secret_scan": secrets.op10_secret_scan}
 ORACLES = {"op1_source_mixing": mixing.OP1_SQL}
