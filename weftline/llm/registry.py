@@ -1,6 +1,11 @@
 """The queries of the corpus operators and their DuckDB counterparts."""
 
-from weftline.llm import mixing, secrets
+from weftline.llm import chat, mixing, secrets, warc
 
-QUERIES = {"op1_source_mixing": mixing.op1_source_mixing, "op10_secret_scan": secrets.op10_secret_scan}
-ORACLES = {"op1_source_mixing": mixing.OP1_SQL}
+QUERIES = {
+    "op1_source_mixing": mixing.op1_source_mixing,
+    "op6_warc_pages": warc.op6_warc_pages,
+    "op8_chat_format": chat.op8_chat_format,
+    "op10_secret_scan": secrets.op10_secret_scan,
+}
+ORACLES = {"op1_source_mixing": mixing.OP1_SQL, "op6_warc_pages": warc.OP6_SQL}
