@@ -1,9 +1,11 @@
 """The queries of the corpus operators and their DuckDB counterparts."""
 
-from weftline.llm import chat, mixing, secrets, warc
+from weftline.llm import chat, mixing, quality, secrets, toxicity, warc
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_source_mixing,
+    "op3_quality": quality.op3_quality,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_warc_pages": warc.op6_warc_pages,
     "op8_chat_format": chat.op8_chat_format,
     "op10_secret_scan": secrets.op10_secret_scan,
