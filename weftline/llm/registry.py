@@ -1,9 +1,10 @@
 """The queries of the corpus operators and their DuckDB counterparts."""
 
-from weftline.llm import chat, mixing, quality, secrets, toxicity, warc
+from weftline.llm import chat, mixing, neardup, quality, secrets, toxicity, warc
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_source_mixing,
+    "op2_near_dedup": neardup.op2_near_dedup,
     "op3_quality": quality.op3_quality,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_warc_pages": warc.op6_warc_pages,
