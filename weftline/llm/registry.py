@@ -1,6 +1,6 @@
 """The queries of the corpus operators and their DuckDB counterparts."""
 
-from weftline.llm import chat, mixing, neardup, quality, secrets, toxicity, warc
+from weftline.llm import chat, mixing, neardup, quality, secrets, sufdedup, toxicity, warc
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_source_mixing,
@@ -9,6 +9,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_warc_pages": warc.op6_warc_pages,
     "op8_chat_format": chat.op8_chat_format,
+    "op9_suffix_dedup": sufdedup.op9_suffix_dedup,
     "op10_secret_scan": secrets.op10_secret_scan,
 }
 ORACLES = {"op1_source_mixing": mixing.OP1_SQL, "op6_warc_pages": warc.OP6_SQL}
