@@ -1,6 +1,6 @@
 """The queries of the corpus operators and their DuckDB counterparts."""
 
-from weftline.llm import chat, mixing, neardup, quality, secrets, sufdedup, toxicity, warc
+from weftline.llm import chat, decontam, mixing, neardup, quality, secrets, sufdedup, toxicity, warc
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_source_mixing,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_quality": quality.op3_quality,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_warc_pages": warc.op6_warc_pages,
+    "op7_decontamination": decontam.op7_decontamination,
     "op8_chat_format": chat.op8_chat_format,
     "op9_suffix_dedup": sufdedup.op9_suffix_dedup,
     "op10_secret_scan": secrets.op10_secret_scan,
