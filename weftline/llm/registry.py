@@ -1,11 +1,12 @@
 """The queries of the corpus operators and their DuckDB counterparts."""
 
-from weftline.llm import chat, decontam, mixing, neardup, quality, secrets, sufdedup, toxicity, warc
+from weftline.llm import chat, decontam, hnsw, mixing, neardup, quality, secrets, sufdedup, toxicity, warc
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_source_mixing,
     "op2_near_dedup": neardup.op2_near_dedup,
     "op3_quality": quality.op3_quality,
+    "op4_embedding_dedup": hnsw.op4_embedding_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_warc_pages": warc.op6_warc_pages,
     "op7_decontamination": decontam.op7_decontamination,
