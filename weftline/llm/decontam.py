@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.scratch import materialise
+from weftline.llm.scratch import by_ids, materialise
 from weftline.llm.textbytes import U64, Words, batches, fold
 
 TERM_BITS = 17
@@ -299,8 +299,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, mass: f
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **bounds) -> DataFrame:
     """The rows of docs whose id is in no leak."""
-    gone = materialise(leaks(docs, benchmark, **bounds).select(F.col("doc_id").alias("__gone")).distinct(), "lsa-leaks")
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    gone = materialise(leaks(docs, benchmark, **bounds).select("doc_id").distinct(), "lsa-leaks")
+    return by_ids(docs, gone, "doc_id", "left_anti")
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -8,9 +8,9 @@ so two texts agree in a coordinate with their weighted Jaccard similarity.
 
 Exact copies are one representative first. Representatives that share a band
 of coordinates are compared in rounds: all members of a bucket with its
-smallest, then members of different components with each other, until no
-bucket holds a pair that is neither joined nor compared. Every compared pair is
-verified on the full shingle multisets.
+smallest, then members of different components with each other, small buckets
+as pairs and large ones in blocks inside tasks. No bucket is left with a pair
+that is neither joined nor compared. Links are verified on the full multisets.
 
 Defined results: a row with a null text or id is a class of its own and kept;
 equal texts are copies, empty ones too; a text of fewer than five words is one
@@ -30,12 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.graph import components
-from weftline.llm.scratch import materialise
-from weftline.llm.textbytes import U64, Words, batches, mix
+from weftline.llm.scratch import by_ids, materialise
+from weftline.llm.textbytes import U64, Words, arrays, batches, mix
 
 SHINGLE = 5
 BANDS, ROWS = 25, 5
 SIMILARITY = 0.8
+#: Standard errors below the similarity at which a signature rules a pair out.
+SLACK = 6
+#: Members up to which a bucket's pairs are rows; larger ones are compared in blocks.
+SMALL_BUCKET, BLOCK = 8, 512
 _SALTS = mix(np.arange(1, 64, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
 
 
@@ -120,7 +124,7 @@ def dart_signatures(ids: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id and digest of docs, the weight of its shingles, and one key per band."""
+    """doc_id and digest of docs, the weight of its shingles, a byte per coordinate, a key per band."""
     k = bands * rows
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,12 +136,13 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
             for j in range(rows):
                 keys = mix(keys * U64(3) + sign[:, :, j])
             keys = mix(keys ^ np.arange(bands, dtype=U64))
+            marks = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * k).astype(np.int32)), pa.py_buffer(np.ascontiguousarray((sign >> U64(17)).astype(np.uint8)))])
             weight = np.bincount(doc, count, n).astype(np.int64)
             at = np.concatenate([[0], np.cumsum(np.where(weight > 0, bands, 0))])
             listed = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys[weight > 0].reshape(-1).astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(weight), listed], names=["doc_id", "digest", "weight", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(weight), marks, listed], names=["doc_id", "digest", "weight", "marks", "bands"])
 
-    return docs.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest binary, weight long, bands array<long>")
+    return docs.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest binary, weight long, marks binary, bands array<long>")
 
 
 def multisets(docs: DataFrame) -> DataFrame:
@@ -156,13 +161,28 @@ def multisets(docs: DataFrame) -> DataFrame:
     return docs.select("rep", "text").mapInArrow(run, "rep long, members array<int>")
 
 
+def plausible(pairs: DataFrame, marks: DataFrame, least: float) -> DataFrame:
+    """Pairs a, b whose signatures don't rule the similarity out."""
+    side = lambda x: marks.select(F.col("rep").alias(x), F.col("marks").alias(f"m_{x}"))
+    k = BANDS * ROWS
+    bound = k * least - SLACK * math.sqrt(k * least * (1 - least))
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            if batch.num_rows:
+                a, b = (arrays(batch.column(i))[0].reshape(batch.num_rows, k) for i in (2, 3))
+                yield batch.select([0, 1]).filter(pa.array((a == b).sum(1) >= bound))
+
+    joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "m_a", "m_b")
+    return joined.mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs a, b whose multisets reach the similarity, with it."""
+    """The pairs a, b whose multisets reach the similarity."""
     side = lambda x: sets.select(F.col("rep").alias(x), F.col("members").alias(f"m_{x}"))
     full = pairs.join(side("b"), "b").join(side("a"), "a")
     common = F.size(F.array_intersect("m_a", "m_b"))
-    full = full.select("a", "b", (common / (F.size("m_a") + F.size("m_b") - common)).alias("similarity"))
-    return full.where(F.col("similarity") >= least)
+    return full.where(common >= F.lit(least) * (F.size("m_a") + F.size("m_b") - common)).select("a", "b")
 
 
 def _similar_size(least: float):
@@ -176,25 +196,106 @@ def star_pairs(buckets: DataFrame, least: float) -> DataFrame:
     return pairs.where(_similar_size(least)).select("a", "b").distinct()
 
 
-def cross_pairs(buckets: DataFrame, classes: DataFrame, tested: DataFrame, least: float) -> DataFrame:
-    """Pairs inside buckets that lie in different components and were not compared.
-
-    In a bucket the members outside its largest component meet all others, so
-    that the pairs inside a large component are never made.
-    """
+def mixed_buckets(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several components: key, rep, weight, component, n."""
     mine = buckets.join(classes.withColumnRenamed("vertex", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    counts = mine.groupBy("key", "component").agg(F.count("*").alias("n"))
-    main = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("k")).where("k > 1").select("key", F.col("m.component").alias("main"))
-    mixed = materialise(mine.join(main, "key"), "mh-mixed")
-    left = mixed.where("component <> main").select("key", F.col("rep").alias("a"), F.col("weight").alias("n_a"), F.col("component").alias("c_a"))
-    right = mixed.select("key", F.col("rep").alias("b"), F.col("weight").alias("n_b"), F.col("component").alias("c_b"))
-    pairs = left.join(right, "key").where(F.col("c_a") != F.col("c_b")).where(_similar_size(least))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    mixed = mine.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("key", "n")
+    return mine.join(mixed, "key")
+
+
+def small_pairs(mixed: DataFrame, tested: DataFrame, least: float) -> DataFrame:
+    """Pairs across components in buckets of at most SMALL_BUCKET members."""
+    rows = mixed.where(F.col("n") <= SMALL_BUCKET)
+    left = rows.select("key", F.col("rep").alias("a"), F.col("weight").alias("n_a"), F.col("component").alias("c_a"))
+    right = rows.select("key", F.col("rep").alias("b"), F.col("weight").alias("n_b"), F.col("component").alias("c_b"))
+    pairs = left.join(right, "key").where("a < b AND c_a <> c_b").where(_similar_size(least)).select("a", "b").distinct()
     return pairs.join(tested, ["a", "b"], "left_anti")
 
 
-def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of texts with ids: id and representative, verified links, and components.
+def joining_links(members: list[np.ndarray], component: np.ndarray, cut: int, least: float) -> list[tuple[int, int]]:
+    """Pairs of similar multisets that join different components, a forest of them.
+
+    With ``cut`` above 0 only pairs across it are compared: the rest are another block's.
+    """
+    n = len(members)
+    size = np.array([len(m) for m in members])
+    every, owner = np.concatenate(members), np.repeat(np.arange(n), size)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    number = np.cumsum(np.append(True, every[1:] != every[:-1])) - 1
+    often = np.bincount(number) > 1  # what one text has alone is in no intersection
+    column = np.cumsum(often) - 1
+    owner, number = owner[often[number]], column[number[often[number]]]
+    common = np.zeros((n, n), np.float32)
+    at = np.searchsorted(number, np.arange(0, int(often.sum()) + 4096, 4096))
+    for k, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)):
+        part = np.zeros((n, 4096), np.float32)
+        part[owner[lo:hi], number[lo:hi] - 4096 * k] = 1
+        common += part @ part.T
+    similar = (common >= least * (size[:, None] + size[None] - common)) & (component[:, None] != component[None])
+    similar &= np.triu(np.ones((n, n), bool), 1)
+    if cut:
+        similar[:cut, :cut] = similar[cut:, cut:] = False
+    label = {c: c for c in component.tolist()}
+
+    def root(c: int) -> int:
+        while label[c] != c:
+            label[c] = c = label[label[c]]
+        return c
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(similar)), strict=True):
+        a, b = root(int(component[i])), root(int(component[j]))
+        if a != b:
+            label[max(a, b)] = min(a, b)
+            out.append((i, j))
+    return out
+
+
+def large_links(mixed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links across components in larger buckets, compared in blocks against blocks.
+
+    A task holds two blocks of at most BLOCK multisets on average, and gives a
+    forest of links, not all pairs.
+    """
+    rows = mixed.where(F.col("n") > SMALL_BUCKET).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    rows = rows.select("key", "rep", "component", "own", other.alias("other"))
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "component")
+    rows = rows.join(sets, "rep").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own", "rep")
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        key = None
+
+        def solve() -> list[tuple[int, int]]:
+            own = np.array([h[0] for h in held])
+            cut = int((own == own[0]).sum()) if own[0] != own[-1] else 0
+            found = joining_links([h[3] for h in held], np.array([h[2] for h in held]), cut, least)
+            return [(held[i][1], held[j][1]) for i, j in found]
+
+        out: list[tuple[int, int]] = []
+        for batch in stream:
+            flat, at = batch.column("members").flatten().to_numpy(), np.asarray(batch.column("members").offsets)
+            at = at - at[0]
+            keys = zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j")), strict=True)
+            rest = zip(*(batch.column(c).to_pylist() for c in ("own", "rep", "component")), strict=True)
+            for r, (k, x) in enumerate(zip(keys, rest, strict=True)):
+                if k != key:
+                    if len(held) > 1:
+                        out += solve()
+                    held, key = [], k
+                held.append((*x, flat[at[r] : at[r + 1]]))
+        if len(held) > 1:
+            out += solve()
+        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return rows.select("key", "i", "j", "own", "rep", "component", "members").mapInArrow(run, "a long, b long").distinct()
+
+
+def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Of texts with ids: id and representative, and the components of verified links.
 
     docs: doc_id, digest, text. The first round compares every bucket's smallest
     member with the others; the second compares, inside buckets, what then lies
@@ -203,30 +304,33 @@ def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFr
     rows = materialise(signatures(docs), "mh-rows")
     copies = materialise(rows.groupBy("digest").agg(F.min("doc_id").alias("rep")), "mh-copies")
     ids = rows.select("doc_id", "digest").join(copies, "digest").select("doc_id", "rep")
-    reps = rows.join(copies, (rows["digest"] == copies["digest"]) & (rows["doc_id"] == copies["rep"])).select("rep", "weight", F.explode("bands").alias("key")).distinct()
-    shared = reps.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = materialise(reps.join(shared, "key"), "mh-buckets")
+    reps = rows.join(copies.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("rep"))).select("rep", "weight", "marks", "bands").dropDuplicates(["rep"])
+    keys = reps.select("rep", "weight", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    buckets = materialise(keys.join(shared, "key"), "mh-buckets")
+    marks = materialise(reps.select("rep", "marks").join(buckets.select("rep").distinct(), "rep", "left_semi"), "mh-marks")
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
-    sets = lambda pairs: multisets(texts.join(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep", "left_semi"))
+    sets = lambda ids: materialise(multisets(by_ids(texts, ids.distinct(), "rep", "left_semi")).dropDuplicates(["rep"]), "mh-sets")
+    both = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("rep"))
+    edges = lambda pairs: pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
     tested = materialise(star_pairs(buckets, least), "mh-pairs")
-    found = materialise(verified(tested, materialise(sets(tested), "mh-sets").dropDuplicates(["rep"]), least), "mh-links")
-    pair = lambda x: x.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    classes = components(pair(found))
-    rest = materialise(cross_pairs(buckets, classes, tested, least), "mh-pairs")
-    if not rest.isEmpty():
-        more = materialise(verified(rest, materialise(sets(rest), "mh-sets").dropDuplicates(["rep"]), least), "mh-links")
-        if not more.isEmpty():
-            found = found.unionByName(more)
-            # what is joined already enters as one link per member
-            classes = components(classes.select(F.col("vertex").alias("u"), F.col("component").alias("v")).unionByName(pair(more)))
-    return ids, found, classes
+    likely = materialise(plausible(tested, marks, least), "mh-likely")
+    classes = components(edges(materialise(verified(likely, sets(both(likely)), least), "mh-links")))
+    mixed = materialise(mixed_buckets(buckets, classes), "mh-mixed")
+    likely = materialise(plausible(small_pairs(mixed, tested, least), marks, least), "mh-likely")
+    held = sets(both(likely).unionByName(mixed.where(F.col("n") > SMALL_BUCKET).select("rep")))
+    more = materialise(verified(likely, held, least).unionByName(large_links(mixed, held, least)), "mh-links")
+    if not more.isEmpty():
+        # what is joined already enters as one link per member
+        classes = components(classes.select(F.col("vertex").alias("u"), F.col("component").alias("v")).unionByName(edges(more)))
+    return ids, classes
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id and kept of every row of docs; class_id is the smallest doc_id of the class."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     whole = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
-    ids, _, classes = links(rows.where(whole).withColumn("digest", F.unhex(F.sha2("text", 256))), least)
+    ids, classes = links(rows.where(whole).withColumn("digest", F.unhex(F.sha2("text", 256))), least)
     found = ids.join(classes.withColumnRenamed("vertex", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("class_id"))
     found = found.unionByName(rows.where(~whole).select("doc_id", F.col("doc_id").alias("class_id")))
     return found.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
@@ -239,7 +343,7 @@ def deduplicate(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """
     decided = materialise(near_duplicates(docs, least), "mh-decided")
     gone = decided.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    kept = by_ids(docs, gone, "doc_id", "left_anti")
     repeated = decided.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__again")).count().where("count > 1").select("__again")
     if repeated.isEmpty():
         return kept

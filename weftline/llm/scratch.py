@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 
@@ -47,3 +48,18 @@ def drop(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: Ids up to which a filter by ids is broadcast: 16 bytes each in memory.
+BROADCAST_IDS = 2_000_000
+
+
+def by_ids(rows: DataFrame, ids: DataFrame, column: str, how: str) -> DataFrame:
+    """Semi or anti join of rows on a table of distinct ids in one column.
+
+    Counted first: few ids are broadcast, so that wide rows needn't be shuffled.
+    """
+    wanted = ids.toDF("__id")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    return rows.join(wanted, rows[column] == F.col("__id"), how)
