@@ -1,0 +1,468 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import base64
+import collections
+import gzip
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from weftline.llm import chat, decontam, hnsw, mixing, neardup, quality, secrets, sufdedup, toxicity, warc
+from weftline.llm.graph import components
+from weftline.llm.scratch import new_path
+from weftline.llm.suffix import permuted_lcp, suffix_array
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = re.compile("[^\x20\x09-\x0d]+")
+
+
+def docs_of(spark, rows, extra=""):
+    return spark.createDataFrame(rows, DOCS + extra)
+
+
+# --- mixing --------------------------------------------------------------------------------
+
+
+def water(sizes, weights=(3, 1, 2), share=1.5, cap=2.0):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
+    w = {s: weights[i % 3] for i, s in enumerate(names)}
+    left, free, out = share * sum(sizes.values()), set(names), {}
+    while free:
+        per = left / sum(w[s] for s in free)
+        over = {s for s in free if per * w[s] > cap * sizes[s]}
+        if not over:
+            return out | {s: per * w[s] for s in free}
+        for s in over:
+            out[s] = cap * sizes[s]
+            left -= out[s]
+        free -= over
+    return out
+
+
+def test_mixing_targets_and_copies(spark):
+    rng = random.Random(1)
+    rows = [(i, "w " * rng.randint(0, 30), "en", rng.choice(["a", "B", "é", None, "tiny"] if i % 40 else ["tiny"]), 1) for i in range(4000)]
+    rows += [(None, "x y", "en", "a", 1), (7, None, "en", "", 1), (8, "", "en", "empty", 1), rows[5]]
+    found = mixing.mix(docs_of(spark, rows)).collect()
+    sizes = collections.Counter()
+    for _, t, _, s, _ in rows:
+        sizes[s] += len(WORDS.findall(t or ""))
+    want = water(dict(sizes))
+    taken = collections.Counter()
+    for r in found:
+        assert r.target == pytest.approx(want[r.source], abs=1e-6)
+        assert r.size * r.copies <= 2 * r.size
+        taken[r.source] += r.size * r.copies
+    for s, t in want.items():
+        assert taken[s] == pytest.approx(t, rel=0.2, abs=60)
+    again = mixing.mix(docs_of(spark, rows)).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
+    assert len(found) == len(rows)
+
+
+def test_mixing_empty_and_clashing(spark):
+    assert mixing.mix(docs_of(spark, [])).count() == 0
+    rows = docs_of(spark, [(1, "a b", "en", "s", 3), (2, None, "en", "s", 0)]).withColumns({"size": F.lit("mine"), "target": F.lit(1)})
+    assert mixing.mix(rows).count() == 2
+    out = mixing.emit(rows)
+    assert out.columns == [*rows.columns, "mix_copy"]
+    assert {r.size for r in out.collect()} <= {"mine"}
+
+
+# --- near duplicates -----------------------------------------------------------------------
+
+
+def classes_by_force(texts, least=0.8):
+    def bag(t):
+        w = WORDS.findall(t)
+        return collections.Counter([tuple(w[k : k + 5]) for k in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] if w else [])
+
+    up = {i: i for i in texts}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    bags = {i: bag(t) for i, t in texts.items() if t is not None}
+    for i in bags:
+        for j in bags:
+            if j < i:
+                common = sum((bags[i] & bags[j]).values())
+                union = sum(bags[i].values()) + sum(bags[j].values()) - common
+                if texts[i] == texts[j] or union and common / union >= least:
+                    a, b = root(i), root(j)
+                    up[max(a, b)] = min(a, b)
+    return {i: root(i) for i in texts}
+
+
+def test_near_duplicates_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL_BUCKET", 3)
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    rng = random.Random(5)
+    texts = []
+    for _ in range(3):
+        base = [f"w{rng.randrange(900)}" for _ in range(120)]
+        for _ in range(40):
+            w = list(base)
+            for _ in range(rng.choice([0, 1, 2, 4, 6])):
+                w[rng.randrange(len(w))] = f"w{rng.randrange(900)}"
+            texts.append(" ".join(w))
+    texts += ["", "", "a b", "a b", "a b c", None, None, "word " * 3000, "word " * 3001]
+    rng.shuffle(texts)
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    found = {r.doc_id: r for r in neardup.near_duplicates(docs_of(spark, rows)).collect()}
+    want = classes_by_force(dict(enumerate(texts)))
+    assert {i: r.class_id for i, r in found.items()} == want
+    assert all(r.kept == (r.class_id == i) for i, r in found.items())
+
+
+def test_near_duplicates_edges(spark):
+    assert neardup.near_duplicates(docs_of(spark, [])).count() == 0
+    rows = docs_of(spark, [(3, "one two three four five six", "en", "s", 1)] * 2 + [(None, "q", "en", "s", 1), (9, None, "en", "s", 1)]).withColumns({"rep": F.lit(1), "digest": F.lit("x"), "key": F.lit(2)})
+    kept = neardup.deduplicate(rows)
+    assert kept.columns == rows.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "9", "None"]
+
+
+def test_dart_signatures_estimate_weighted_jaccard():
+    rng = np.random.default_rng(2)
+    ids = rng.integers(1, 2**62, 400).astype(np.uint64)
+    w1, w2 = rng.uniform(0.2, 9, 400), rng.uniform(0.2, 9, 400)
+    sign = neardup.dart_signatures(np.concatenate([ids, ids]), np.repeat([0, 1], 400), np.concatenate([w1, w2]), 2, 4000)
+    assert (sign[0] == sign[1]).mean() == pytest.approx(np.minimum(w1, w2).sum() / np.maximum(w1, w2).sum(), abs=0.04)
+
+
+# --- classifiers ---------------------------------------------------------------------------
+
+
+def test_ordinal_regression_orders_grades():
+    rng = np.random.default_rng(0)
+    y = rng.integers(0, 4, 400)
+    parts = [np.stack([np.where(rng.random(40) < 0.2 + 0.2 * g, 11, 17)] * 3).astype(np.int32) for g in y]
+    first = np.concatenate([[0], np.cumsum([p.shape[1] for p in parts])])
+    model = quality.fit(np.concatenate(parts, axis=1), first, y * 2)
+    assert (np.diff(model.thresholds) > 0).all()
+    tails = model.tails(model.scores(np.concatenate(parts, axis=1), first))
+    grade = model.grades[0] + (tails * np.diff(model.grades)).sum(1)
+    assert np.corrcoef(grade, y)[0, 1] > 0.85
+
+
+def quality_rows(n=120):
+    rng = random.Random(4)
+    good = lambda: " ".join(rng.choice(["the", "lamp", "river", "green", "walks", "under"]) for _ in range(60))
+    return [(i, good() if i % 3 else "BUY!! " * 50, "en", "s", 1) for i in range(n)]
+
+
+def test_quality_select(spark):
+    rows = quality_rows() + [(500, None, "en", "s", 0), (501, "", "en", "s", 0)]
+    docs = docs_of(spark, rows).withColumns({"rating": F.lit("x"), "expected_grade": F.lit("mine")})
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(100)] + [(3, None), (4, 1)], "doc_id long, quality int")
+    kept = quality.select(docs, labels)
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.collect()}
+    assert ids == {i for i in range(120) if i % 3} | {500, 501}
+    assert quality.select(docs_of(spark, []), labels).count() == 0
+    assert quality.select(docs, labels.limit(0)).count() == len(rows)
+
+
+def test_toxicity_held_out(spark):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(600):
+        w = [rng.choice("ab cd ef gh ij kl mn op".split()) + rng.choice("aeiou") for _ in range(rng.randint(5, 60))]
+        bad = i % 4 == 0
+        if bad:
+            w[rng.randrange(len(w))] = rng.choice(["vexling", "grumpola"])
+        rows.append((i, " ".join(w), rng.choice(["en", "fr"]), "s", 1))
+        labels.append((i, int(bad)))
+    rows += [(1000, None, None, None, None), (1001, "", "xx", "s", 0)]
+    docs, labels = docs_of(spark, rows).withColumn("score", F.lit("mine")), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, epochs=25)
+    scored = toxicity.score(docs, model).withColumn("out", toxicity.held_out(F.col("doc_id"))).where("out").join(labels, "doc_id").collect()
+    right = np.mean([(r.score >= 0.5) == bool(r.toxic) for r in scored])
+    assert right > 0.95 and 60 < len(scored) < 240
+    edge = {r.doc_id: r.score for r in toxicity.score(docs, model).where("doc_id >= 1000").collect()}
+    assert edge[1000] == edge[1001] and 0 <= edge[1000] < 0.5
+    assert toxicity.score(docs_of(spark, []), model).count() == 0
+    none = toxicity.train(docs, labels.limit(0))
+    assert {r.score < 0.5 for r in toxicity.score(docs, none).collect()} == {True}
+
+
+# --- vectors -------------------------------------------------------------------------------
+
+
+def test_vector_links_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((40, 24))
+    x = np.concatenate([centres[rng.integers(0, 40, 500)] + 0.12 * rng.standard_normal((500, 24)), rng.standard_normal((200, 24))])
+    x = x.astype(np.float32)
+    x[10], x[11] = x[12], 2 * x[12]
+    rows = [(int(i), v.tolist(), 1) for i, v in enumerate(x)]
+    rows += [(900, None, 1), (901, [0.0] * 24, 1), (902, [float("nan")] * 24, 1), (903, [float("inf")] * 24, 1), (904, [None] * 24, 1), (905, [], 1), (906, [1.0, 2.0], 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumns({"rep": F.lit(1), "n": F.lit("x")})
+    found = {r.vec_id: r for r in hnsw.near_duplicates(table, shard_rows=200).collect()}
+    u = x.astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    near = u @ u.T >= 0.9
+    np.fill_diagonal(near, False)
+    got = np.array([found[i].n_links for i in range(700)])
+    assert got.sum() >= 0.99 * near.sum() and (got <= near.sum(1)).all()
+    labels = np.arange(700)
+    while True:
+        new = np.where(near, labels[None], 700).min(1, initial=700)
+        new = np.minimum(labels, new)
+        if (new == labels).all():
+            break
+        labels = new
+    assert [found[i].component_id for i in range(700)] == labels.tolist()
+    for i in range(900, 907):
+        assert (found[i].n_links, found[i].component_id, found[i].kept) == (0, i, True)
+    assert hnsw.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(8)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5)]
+    got = {r.vertex: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    up = {v: v for e in edges for v in e}
+
+    def root(v):
+        while up[v] != v:
+            v = up[v]
+        return v
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    assert all(got.get(v, v) == root(v) for v in up)
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+# --- archives ------------------------------------------------------------------------------
+
+
+def test_warc_round_trip(spark):
+    long = "é" * 200_000
+    rows = [(1, "http://a/é x", "same"), (5, "http://b", "same"), (3, None, "same"), (2, "u", None), (4, "u", ""), (6, "u", long), (7, "u", long), (8, "u", "\r\n\r\nWARC/1.1\r\n"), (None, "u", "lone"), (9, "u", "twice"), (9, "u", "twice")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"archive": F.lit(1), "ordinal": F.lit("x")})
+    for bounds in ({}, {"archive_records": 3}, {"archive_bytes": 100}):
+        found = warc.round_trip(pages, **bounds).collect()
+        assert len(found) == len(rows)
+        assert sorted(r.record_type for r in found if r.page_id == 9) == ["response", "revisit"]
+        by = {r.page_id: r for r in found}
+        for page, _, html in rows:
+            raw = (html or "").encode()
+            assert (by[page].payload_bytes, by[page].payload_digest) == (len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode())
+        assert {p: r.refers_to for p, r in by.items() if p != 9} == {1: 5, 5: None, 3: 5, 2: 4, 4: None, 6: 7, 7: None, 8: None, None: None}
+    assert warc.round_trip(pages.limit(0)).count() == 0
+    assert {r.record_type for r in warc.round_trip(pages, min_bytes=10**7).collect()} == {"response"}
+
+
+def test_warc_members_and_index(spark):
+    pages = spark.createDataFrame([(i, "u", f"page {i}") for i in range(10)], "page_id long, url string, html string")
+    raw, normal = new_path(spark, "t-raw"), new_path(spark, "t-normal")
+    written = warc.write_archives(pages.coalesce(1), raw).persist()
+    index = warc.normalise(warc.decide(written), raw, normal).collect()
+    store, root = warc.filesystem(normal)
+    whole = store.open_input_file(f"{root}/{index[0].warc}").read()
+    for r in index:
+        assert gzip.decompress(whole[r.offset : r.offset + r.length]).startswith(b"WARC/1.1")
+    lines = store.open_input_file(f"{root}/{index[0].warc}.idx").read().decode().splitlines()
+    assert len(lines) == len(index) == 10
+    written.unpersist()
+
+
+# --- decontamination -----------------------------------------------------------------------
+
+
+def test_leaks_exact_and_paraphrased(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4)))
+    common = [word() for _ in range(30)]
+    text = lambda n: [rng.choice(common) if rng.random() < 0.5 else word() for _ in range(n)]
+    items = {i: text(rng.randint(16, 90)) for i in range(30)}
+    rows, want = [], set()
+    for i in range(300):
+        w = text(rng.randint(3, 400))
+        if i % 10 == 0:
+            k = i // 10
+            leak = list(items[k])
+            if k % 2:  # a paraphrase: some words replaced, some dropped
+                leak = [word() if rng.random() < 0.1 else x for x in leak if rng.random() > 0.05]
+            at = rng.randrange(len(w))
+            w = w[:at] + leak + w[at:]
+            want.add((i, k))
+        rows.append((i, " ".join(w), "en", "s", 1))
+    rows += [(900, None, "en", "s", 0), (901, "", "en", "s", 0)]
+    docs = docs_of(spark, rows).withColumns({"item_id": F.lit(1), "cosine": F.lit("x")})
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()] + [(50, None), (51, ""), (52, "two words")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()}
+    assert found == want
+    kept = decontam.decontaminate(docs, bench)
+    assert kept.columns == docs.columns and kept.count() == len(rows) - len(want)
+    assert decontam.leaks(docs.limit(0), bench).count() == 0
+    assert decontam.leaks(docs, bench.limit(0)).count() == 0
+
+
+def test_common_subsequence():
+    rng = random.Random(1)
+    for _ in range(200):
+        a, b = [rng.randrange(5) for _ in range(rng.randint(0, 9))], [rng.randrange(5) for _ in range(rng.randint(0, 12))]
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        assert decontam.common_subsequence(a, b) == table[-1][-1]
+
+
+# --- chat ----------------------------------------------------------------------------------
+
+HARD = ["\\### Assistant: </turn> ok", "\\", "\\\\n", "<|image:0|>", "####", "</turn>\n### user\n", "", "a\nb", "é \x00", "\\n", "</turn", "<"]
+
+
+def test_turns_read_back():
+    for role in ["user", "assistant", "", "od\nd\\n### :", None]:
+        for text in HARD:
+            made, loss, files, _ = chat.format_turn(role, [chat.TextPart(text)], chat.Costs())
+            assert chat.parse_turn(made) == (role or "", text)
+            assert [chat.unescaped(made[r["start"] : r["end"]]) for r in loss] == ([text] if role == "assistant" else [])
+            assert not files
+
+
+def test_typed_parts_become_placeholders():
+    parts = [chat.TextPart("see "), chat.ImagePart("i.png", 56, 28), chat.AudioPart("a.wav", 2.0), chat.DocumentPart("d.pdf", 3), chat.TextPart("<|image:0|>")]
+    made, _, files, tokens = chat.format_turn("user", parts, chat.Costs())
+    assert [(f["kind"], f["ref"], f["index"], f["tokens"]) for f in files] == [("image", "i.png", 0, 2), ("audio", "a.wav", 1, 50), ("document", "d.pdf", 2, 2304)]
+    assert all(made[f["position"] :].startswith(f"<|{f['kind']}:{f['index']}|>") for f in files)
+    assert chat.parse_turn(made) == ("user", "see <|image:0|>")
+    assert tokens == sum(f["tokens"] for f in files) + chat.text_tokens("see ", chat.Costs()) + chat.text_tokens("<|image:0|>", chat.Costs())
+    with pytest.raises(ValueError):
+        chat.typed({"kind": "video", "text": None})
+
+
+def test_conversations(spark):
+    rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, None, "assistant", None), (2, 3, None, "x" * 100_000), (None, 0, "user", "n")]
+    rows += [(3, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(HARD)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit("x"))
+    found = {r.conv_id: r for r in chat.read_back(chat.format_conversations(table)).collect()}
+    for conv in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (-1 if r[1] is None else r[1]))
+        said = "".join((r[3] or "") for r in own if r[2] == "assistant")
+        r = found[conv]
+        assert r.n_turns == len(own)
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{x[2] or ''}\n{x[3] or ''}\n" for x in own).encode()).hexdigest()
+        assert (r.loss_chars, r.loss_sha256) == (len(said), hashlib.sha256(said.encode()).hexdigest())
+    assert chat.read_back(chat.format_conversations(table.limit(0))).count() == 0
+
+
+# --- suffix arrays -------------------------------------------------------------------------
+
+
+def test_suffix_arrays():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        t = rng.integers(97, 97 + rng.integers(1, 5), rng.integers(1, 120)).astype(np.uint8)
+        raw = t.tobytes()
+        want = sorted(range(len(t)), key=lambda i: raw[i:])
+        assert suffix_array(t).tolist() == want
+        lcp = permuted_lcp(t, np.array(want), 7)
+        for a, b in zip(want, want[1:], strict=False):
+            n = 0
+            while n < 7 and max(a, b) + n < len(t) and raw[a + n] == raw[b + n]:
+                n += 1
+            assert lcp[b] == n
+
+
+def removed_by_force(texts, length):
+    seen, out = set(), []
+    for raw in texts:
+        gone = bytearray(len(raw))
+        for s in range(len(raw) - length + 1):
+            w = raw[s : s + length]
+            if w in seen:
+                gone[s : s + length] = b"\1" * length
+            seen.add(w)
+        kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out.append((len(raw), sum(gone), spans, kept))
+    return out
+
+
+@pytest.mark.parametrize("bounds", [{}, {"shard_bytes": 3000, "owner_bytes": 700}])
+def test_substring_dedup_against_brute_force(spark, bounds):
+    rng = random.Random(7)
+    line = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    shared = [line(n) for n in (99, 100, 101, 150, 400)]
+    texts = []
+    for _ in range(60):
+        t = line(rng.randint(0, 300))
+        for _ in range(rng.randint(0, 3)):
+            s = rng.choice(shared)
+            cut = rng.randint(0, 20)
+            t += s[cut:] + line(rng.randint(0, 40))
+        texts.append(t)
+    texts += ["z" * 500, "ab" * 300, "", None, texts[3], texts[3], "x" * 99, "x" * 99]
+    docs = docs_of(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)]).withColumns({"doc": F.lit(1), "place": F.lit("x")})
+    found = sorted(sufdedup.remove_repeats(docs, **bounds).collect(), key=lambda r: r.doc_id)
+    want = removed_by_force([(t or "").encode() for t in texts], 100)
+    assert [(r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found] == want
+
+
+def test_substring_dedup_edges(spark):
+    assert sufdedup.remove_repeats(docs_of(spark, [])).count() == 0
+    rng = random.Random(1)
+    text = "".join(rng.choice("abcdefghij") for _ in range(300))
+    docs = docs_of(spark, [(4, text, "en", "s", 0)] * 2 + [(None, text, "en", "s", 0)])
+    found = sorted(sufdedup.remove_repeats(docs).collect(), key=lambda r: (r.doc_id is not None, r.n_removed))
+    assert [(r.doc_id, r.n_removed) for r in found] == [(None, 0), (4, 300), (4, 300)]
+
+
+# --- secrets -------------------------------------------------------------------------------
+
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
+
+
+def base_by_force(t):
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 8]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+    return sorted(spans)
+
+
+def test_secret_spans_against_patterns(spark):
+    rng = random.Random(2)
+    bits = ["password", "PassWD", "ſecret", "Token", "api_key", "APIKEY", " ", "=", ":", '"', "'", "abc", "abcdefgh", "AKIA", "AKIAABCDEFGHIJKL", "é", "\n", "0123456789abcdef" * 2, "deadbeef", "x=="]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(500)] + [None, "", "token=abcdefgh " * 3000]
+    docs = docs_of(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)]).withColumn("base_spans", F.lit("mine"))
+    for r in secrets.scan(docs).collect():
+        assert [(s["start"], s["kind"], s["end"]) for s in r.base_spans] == base_by_force(texts[r.doc_id] or "")
+        rest = [s for s in r.secret_spans if s["kind"] == 3]
+        assert len(rest) + len(r.base_spans) == len(r.secret_spans)
+    assert secrets.scan(docs.limit(0)).count() == 0
+
+
+def test_models_tell_random_from_names(spark):
+    rng = random.Random(3)
+    letters = secrets.ALPHABET[:62]
+    strings = ["".join(rng.choice(letters) for _ in range(32)) for _ in range(40)]
+    names = ["get_user_session_address_2024", "/var/lib/service/module/12/index", "client-request-buffer-00012", "MAX_DOCUMENT_SIZE_LIMIT_100", "updateConfigVersionNumber42"]
+    rows = [(i, f"see {s} now", "en", "s", 1) for i, s in enumerate(strings + names)]
+    found = {r.doc_id: secrets_of(r) for r in secrets.scan(docs_of(spark, rows)).collect()}
+    assert sum(found[i] == [(4, 3, 36)] for i in range(40)) >= 38
+    assert all(not found[40 + i] for i in range(len(names)))
+
+
+def secrets_of(r):
+    return [(s["start"], s["kind"], s["end"]) for s in r.secret_spans]
+
+
+def test_redaction(spark):
+    docs = docs_of(spark, [(1, "é password = abcdefgh12 x AKIAABCDEFGHIJKLMN end", "en", "s", 9), (2, None, "en", "s", None), (3, "token: " + "ab12" * 10, "en", "s", 3)])
+    out = secrets.redact(docs)
+    assert out.columns == docs.columns
+    assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == {1: ("é [SECRET] x [SECRET] end", 25), 2: (None, None), 3: ("[SECRET]", 8)}
