@@ -58,7 +58,7 @@ def span_pvalue_sql(x: str, n: str, mean: float, sd: float, cov: float, read_max
     """Two-sided p-value of a mean fragment length over n spanning fragments.
 
     Where the part of short fragments that cannot span is not negligible, the
-    adjusted model is taken if it explains the mean better.
+    adjusted model is taken if the mean lies at most as many deviations from it.
     """
     mu, var = _number(mean), f"({_number(sd * sd)} / {n} + ({n} - 1) * {_number(cov)} / {n})"
     plain = _two_sided(x, mu, var)
@@ -67,8 +67,8 @@ def span_pvalue_sql(x: str, n: str, mean: float, sd: float, cov: float, read_max
         return plain
     mean2, square2 = mean + sd * sd / gap, sd * sd - (sd * sd / gap) ** 2
     mu2, var2 = _number(mean2), f"({_number(square2)} / {n} + ({n} - 1) * {_number(cov)} / {n})"
-    log = lambda m, v: f"(-({x} - {m}) * ({x} - {m}) / ({_number(2.0)} * {v}) - ln({v}) / {_number(2.0)})"
-    return f"(CASE WHEN {x} >= {mu} AND {x} <= {mu2} THEN {_number(1.0)} WHEN {log(mu2, var2)} > {log(mu, var)} THEN {_two_sided(x, mu2, var2)} ELSE {plain} END)"
+    off = lambda m, v: f"(({x} - {m}) * ({x} - {m}) / {v})"
+    return f"(CASE WHEN {x} >= {mu} AND {x} <= {mu2} THEN {_number(1.0)} WHEN {off(mu2, var2)} <= {off(mu, var)} THEN {_two_sided(x, mu2, var2)} ELSE {plain} END)"
 
 
 def _two_sided(x: str, mean: str, var: str) -> str:

@@ -93,7 +93,7 @@ def task_windows(tasks: DataFrame, references: DataFrame) -> DataFrame:
     return rows.drop("seq").withColumn("window", F.when(turn, reverse_complement(F.col("window"))).otherwise(F.col("window")))
 
 
-def predict_breaks(tasks: DataFrame, windows: DataFrame, candidates: DataFrame) -> DataFrame:
+def predict_breaks(windows: DataFrame, candidates: DataFrame) -> DataFrame:
     """Best split, junction sequence and break positions per cluster with split reads.
 
     candidates: cluster_id, fragment, read_end, read. Clusters without a split vanish.
