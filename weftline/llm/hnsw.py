@@ -298,3 +298,16 @@ def near_duplicates(vectors: DataFrame, least: float = COSINE, **options) -> Dat
 
 def op4_embedding_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP4_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r(v, w) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.w FROM r JOIN l ON l.a = r.v),
+c AS (SELECT v, min(w) AS component_id FROM r GROUP BY 1),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY 1)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id JOIN c ON c.v = vec_id
+"""

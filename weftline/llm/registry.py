@@ -14,4 +14,10 @@ QUERIES = {
     "op9_suffix_dedup": sufdedup.op9_suffix_dedup,
     "op10_secret_scan": secrets.op10_secret_scan,
 }
-ORACLES = {"op1_source_mixing": mixing.OP1_SQL, "op6_warc_pages": warc.OP6_SQL}
+ORACLES = {
+    "op1_source_mixing": mixing.OP1_SQL,
+    "op4_embedding_dedup": hnsw.OP4_SQL,
+    "op6_warc_pages": warc.OP6_SQL,
+    "op8_chat_format": chat.OP8_SQL,
+    "op10_secret_scan": secrets.OP10_SQL,
+}

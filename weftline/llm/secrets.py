@@ -80,10 +80,11 @@ def labelled_samples(spark: SparkSession, n: int = 4000) -> DataFrame:
     made = F.when(shape == 0, b64).when(shape == 1, F.translate(b64, "+/=", "-_")).when(shape == 2, F.upper(F.regexp_replace(b64, "[+/=]", ""))).otherwise(digest)
     random = spark.range(n).select(made.alias("sample"), F.lit(1).alias("label"))
     words = F.split(F.lit(_FRAGMENTS), " ")
-    pick = lambda k: F.element_at(words, (F.pmod(F.hash(F.col("id"), F.lit(k)), F.size(words)) + 1).cast("int"))
-    number = F.pmod(F.hash(F.col("id"), F.lit(9)), F.lit(100000)).cast("string")
+    drawn = lambda k, n: (F.conv(F.substring(F.md5(F.concat_ws("-", F.col("id"), F.lit(k))), 1, 8), 16, 10).cast("long") % n).cast("int")
+    pick = lambda k: F.element_at(words, drawn(k, F.size(words)) + 1)
+    number = drawn(9, F.lit(100000)).cast("string")
     names = [F.concat_ws("_", pick(1), pick(2), pick(3)), F.concat(pick(1), F.initcap(pick(2)), F.initcap(pick(3)), number), F.concat_ws("-", pick(1), pick(2), number), F.concat_ws("/", F.lit(""), pick(1), pick(2), number), F.upper(F.concat_ws("_", pick(1), pick(2), number)), F.concat_ws("=", pick(1), number)]
-    kind = F.pmod(F.hash(F.col("id"), F.lit(7)), F.lit(len(names)))
+    kind = drawn(7, F.lit(len(names)))
     ordinary = F.coalesce(*[F.when(kind == k, x) for k, x in enumerate(names)])
     return random.unionByName(spark.range(n).select(ordinary.alias("sample"), F.lit(0).alias("label")))
 
@@ -168,3 +169,41 @@ def op10_secret_scan(spark, sf_dir: str) -> DataFrame:
     found = scan(docs).drop("text")
     count = lambda k: F.size(F.filter("base_spans", lambda s: s["kind"] == k)).cast("long")
     return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(listed(F.col("base_spans")), 256).alias("base_sha256"), listed(F.col("secret_spans")).alias("spans"))
+
+
+def _located_sql(kind: int, pattern: str, keep: str = "TRUE", source: str = "d") -> str:
+    """SQL of the places of a pattern's matches: doc_id, kind, start, hit."""
+    p = pattern.replace("'", "''")
+    return f"""SELECT doc_id, {kind} AS kind, (sum(length(gap)) OVER w + coalesce(sum(length(hit)) OVER w, 0) - length(hit))::BIGINT AS start, hit FROM (
+      SELECT doc_id, unnest(gaps[:len(hits)]) AS gap, unnest(hits) AS hit, unnest(range(len(hits))) AS i FROM (
+        SELECT doc_id, string_split_regex(t, '{p}') AS gaps, regexp_extract_all(t, '{p}') AS hits FROM {source}))
+      WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) QUALIFY {keep}"""
+
+
+_PICK = "(('0x' || substr(md5(concat_ws('-', id, {k})), 1, 8))::BIGINT % {n})"
+_NAMES = "WITH w AS (SELECT string_split('" + _FRAGMENTS + "', ' ') AS words), s AS (SELECT range AS id, sha256('sample-' || range) AS x FROM range(4000)), " + "n AS (SELECT id, " + ", ".join(f"words[1 + {_PICK.format(k=k, n='len(words)')}] AS w{k}" for k in (1, 2, 3)) + f", {_PICK.format(k=9, n=100000)}::VARCHAR AS num, {_PICK.format(k=7, n=6)} AS form FROM s, w), "
+OP10_SQL = f"""
+{_NAMES}
+samples AS (
+  SELECT 1 AS label, CASE id % 4 WHEN 0 THEN b WHEN 1 THEN translate(b, '+/=', '-_') WHEN 2 THEN upper(regexp_replace(b, '[+/=]', '', 'g')) ELSE x END AS sample FROM (SELECT *, base64(unhex(x)) AS b FROM s)
+  UNION ALL
+  SELECT 0, CASE form WHEN 0 THEN concat_ws('_', w1, w2, w3) WHEN 1 THEN concat(w1, upper(w2[1]), w2[2:], upper(w3[1]), w3[2:], num) WHEN 2 THEN concat_ws('-', w1, w2, num)
+              WHEN 3 THEN concat_ws('/', '', w1, w2, num) WHEN 4 THEN upper(concat_ws('_', w1, w2, num)) ELSE concat_ws('=', w1, num) END FROM n),
+letters AS (SELECT unnest(string_split('{ALPHABET}', '')) AS c),
+grams AS (SELECT label, sample[i:i + 1] AS gram, count(*) AS k FROM (SELECT label, sample, unnest(range(1, length(sample))) AS i FROM samples) GROUP BY ALL),
+counts AS (SELECT l.label, a.c AS a, b.c AS b, coalesce(g.k, 0) + 0.5::DOUBLE AS k FROM (VALUES (0), (1)) l(label), letters a, letters b LEFT JOIN grams g ON g.label = l.label AND g.gram = a.c || b.c),
+logs AS (SELECT label, a || b AS gram, ln(k / sum(k) OVER (PARTITION BY label, a)) AS p FROM counts),
+ratios AS (SELECT x.gram, round(1000 * (x.p - y.p))::BIGINT AS r FROM logs x JOIN logs y ON x.gram = y.gram AND x.label = 1 AND y.label = 0),
+d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS (
+  {_located_sql(0, ASSIGN, "length(regexp_extract(hit, '" + ASSIGN.replace("'", "''") + "', 2)) >= 8")}
+  UNION ALL {_located_sql(1, ACCESS_LONG)}
+  UNION ALL {_located_sql(2, HEX)}),
+tokens AS (SELECT * FROM ({_located_sql(3, TOKEN)}) k WHERE regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')
+  AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = k.doc_id AND b.start < k.start + length(k.hit) AND b.start + length(b.hit) > k.start)),
+judged AS (SELECT doc_id, kind, start, hit FROM (SELECT *, unnest(range(1, length(hit))) AS i FROM tokens) x JOIN ratios ON gram = hit[i:i + 1] GROUP BY doc_id, kind, start, hit HAVING sum(r) > {MIN_LLR} * (length(hit) - 1)),
+spans AS (SELECT doc_id, kind, start, concat_ws(':', ['assign', 'access', 'hex', 'random'][kind + 1], start, start + length(hit)) AS span FROM (SELECT * FROM base UNION ALL SELECT * FROM judged)),
+listed AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2, string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base_list, string_agg(span, ',' ORDER BY start, kind) AS all_list FROM spans GROUP BY 1)
+SELECT d.doc_id, coalesce(n0, 0)::BIGINT AS n_assign, coalesce(n1, 0)::BIGINT AS n_access, coalesce(n2, 0)::BIGINT AS n_hex, sha256(coalesce(base_list, '')) AS base_sha256, coalesce(all_list, '') AS spans
+FROM d LEFT JOIN listed ON listed.doc_id = d.doc_id
+"""

@@ -110,6 +110,11 @@ def decide(written: DataFrame, min_bytes: int = 0) -> DataFrame:
     return rows.withColumn("record_type", F.when(first, "response").otherwise("revisit")).withColumn("refers_to", F.when(~first, F.col("best.page_id"))).drop("best")
 
 
+def _spread(rows: DataFrame, file: str) -> DataFrame:
+    """One partition per file on average: a few short rows stand for a whole archive."""
+    return rows.repartition(max(1, rows.select(file).distinct().count()), file)
+
+
 def inflated_records(source, size: int = _CHUNK) -> Iterator[tuple[bytes, bytes]]:
     """Header and block of every record of one whole-file gzip stream, in one pass."""
     inflate, kept = zlib.decompressobj(31), bytearray()
@@ -159,7 +164,8 @@ def normalise(decided: DataFrame, path: str, out_path: str) -> DataFrame:
             out.write("".join(f"{json.dumps(dict(zip(('ordinal', 'offset', 'length', 'type'), r[1:], strict=True)))}\n" for r in rows).encode())
         return pd.DataFrame(rows, columns=["warc", "ordinal", "offset", "length", "record_type"])
 
-    return decided.select("archive", "ordinal", "record_type", "refers_to").groupBy("archive").applyInPandas(run, INDEXED)
+    rows = decided.select("archive", "ordinal", "record_type", "refers_to")
+    return _spread(rows, "archive").groupBy("archive").applyInPandas(run, INDEXED)
 
 
 def read_archives(index: DataFrame, path: str) -> DataFrame:
@@ -190,7 +196,7 @@ def read_archives(index: DataFrame, path: str) -> DataFrame:
         made = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
         return made.astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    return index.groupBy("warc").applyInPandas(run, READ)
+    return _spread(index, "warc").groupBy("warc").applyInPandas(run, READ)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0, **bounds) -> DataFrame:
