@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.llm import chat, decontam, hnsw, mixing, neardup, quality, secrets, sufdedup, toxicity, warc
+from weftline.llm import chat, decontam, graph, hnsw, mixing, neardup, quality, secrets, sufdedup, toxicity, warc
 from weftline.llm.graph import components
 from weftline.llm.scratch import new_path
 from weftline.llm.suffix import permuted_lcp, suffix_array
@@ -225,7 +225,9 @@ def test_vector_links_against_brute_force(spark):
     assert hnsw.near_duplicates(table.limit(0)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("small", [0, 10**6])
+def test_components(spark, monkeypatch, small):
+    monkeypatch.setattr(graph, "SMALL_EDGES", small)
     rng = random.Random(8)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5)]
     got = {r.vertex: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
