@@ -304,7 +304,8 @@ def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFr
     rows = materialise(signatures(docs), "mh-rows")
     copies = materialise(rows.groupBy("digest").agg(F.min("doc_id").alias("rep")), "mh-copies")
     ids = rows.select("doc_id", "digest").join(copies, "digest").select("doc_id", "rep")
-    reps = rows.join(copies.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("rep"))).select("rep", "weight", "marks", "bands").dropDuplicates(["rep"])
+    reps = rows.join(copies.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("rep"))).select("rep", "weight", "marks", "bands")
+    reps = materialise(reps.dropDuplicates(["rep"]), "mh-reps")
     keys = reps.select("rep", "weight", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = materialise(keys.join(shared, "key"), "mh-buckets")
