@@ -29,11 +29,11 @@ def pair_entropy(seq: Column) -> Column:
 
     Each pair is counted without overlaps of itself and divided by length - 1.
     """
-    total = F.lit(0.0)
-    for pair in PAIRS:
-        p = F.regexp_count(seq, F.lit(pair)) / (F.length(seq) - 1)
-        total = total - F.when(p > 0, p * F.log2(p)).otherwise(0.0)
-    return F.when(F.length(seq) > 1, total)
+    n = F.length(seq)
+    counts = F.array(*[(n - F.length(F.replace(seq, F.lit(pair), F.lit("")))) / 2 for pair in PAIRS])
+    shares = F.transform(counts, lambda c: c / (n - 1))
+    total = F.aggregate(shares, F.lit(0.0), lambda a, p: a - F.when(p > 0, p * F.log2(p)).otherwise(0.0))
+    return F.when(n > 1, total)
 
 
 def trimmed(seq: Column, n: int) -> Column:
