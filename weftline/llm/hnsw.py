@@ -19,6 +19,9 @@ as often as they occur; repeated ids are separate rows of one vertex.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -217,14 +220,29 @@ def audited_beam(graph: Graph, least: float, seed: int = 3, queries: int = AUDIT
 
 def prepared(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with their class, and one row per distinct usable vector: rep, n, unit."""
-    x = F.col("embedding").cast("array<double>")
-    top = F.aggregate(x, F.lit(0.0), lambda a, v: F.greatest(a, F.abs(v)))
-    ok = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & (top > 0)
-    scaled = F.transform(x, lambda v: v / top)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, v: a + v * v))
-    rows = vectors.select(F.col("vec_id").cast("long"), F.when(F.coalesce(ok, F.lit(False)), F.transform(scaled, lambda v: v / norm + F.lit(0.0))).alias("unit"))
-    rows = rows.select("vec_id", F.when(F.size("unit") > 0, F.col("unit")).alias("unit"))
-    rows = materialise(rows.withColumn("mark", F.when(F.col("unit").isNotNull() & F.col("vec_id").isNotNull(), F.sha2(F.array_join(F.col("unit"), ","), 256))), "hnsw-rows")
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            lists = batch.column(1)
+            flat, at = lists.values, np.asarray(lists.offsets)
+            values = flat.to_numpy(zero_copy_only=False).astype(np.float64)  # nulls become nan
+            there = lists.is_valid().to_numpy(zero_copy_only=False)
+            units, marks = [], []
+            for i in range(batch.num_rows):
+                v = values[at[i] : at[i + 1]] if there[i] else values[:0]
+                top = np.abs(v).max() if len(v) else 0.0
+                if not (np.isfinite(top) and top > 0):
+                    units.append(None)
+                    marks.append(None)
+                    continue
+                v = v / top
+                v = v / np.sqrt((v * v).sum()) + 0.0  # one zero only
+                units.append(v)
+                marks.append(hashlib.sha256(v.tobytes()).digest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(units, pa.list_(pa.float64())), pa.array(marks, pa.binary())], names=["vec_id", "unit", "mark"])
+
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(run, "vec_id long, unit array<double>, mark binary")
+    rows = materialise(rows.withColumn("mark", F.when(F.col("vec_id").isNotNull(), F.col("mark"))), "hnsw-rows")
     reps = materialise(rows.where("mark IS NOT NULL").groupBy("mark").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("unit").alias("unit")), "hnsw-reps")
     return rows.drop("unit"), reps
 
