@@ -311,6 +311,49 @@ def test_leaks_exact_and_paraphrased(spark):
     assert decontam.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_leaks_short_and_amid_repeats(spark):
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4)))
+    vocabulary = [word() for _ in range(400)]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = {i: text(rng.choice([5, 6, 10, 16, 30])) for i in range(60)}
+    rows, want = [], set()
+    for i in range(180):
+        k = i // 3
+        other = items[(k + 7) % 60]
+        kind = i % 3
+        if kind == 0:  # plain text
+            w = text(150)
+        elif kind == 1:  # repeats of one word of another item
+            w = [other[0]] * 150
+        else:  # repeats of a line of words of other items
+            w = [items[(k + j) % 60][1] for j in range(8, 14)] * 25
+        at = rng.randrange(len(w))
+        rows.append((i, " ".join(w[:at] + items[k] + w[at:]), "en", "s", 1))
+        want.add((i, k))
+    # the passage without its answer, whole and with a word put in
+    asked = text(20)
+    rows += [(900, " ".join(text(100) + asked + text(100)), "en", "s", 1), (901, " ".join(text(100) + asked[:9] + ["zzzz"] + asked[9:] + text(100)), "en", "s", 1)]
+    want |= {(900, 99), (901, 99)}
+    bench = spark.createDataFrame([(k, " ".join(w), None) for k, w in items.items()] + [(99, " ".join(asked), "qqqq")], "item_id long, text string, answer string")
+    found = {(r.doc_id, r.item_id) for r in decontam.leaks(docs_of(spark, rows), bench).collect()}
+    assert want <= found
+
+
+def test_edited_leak_amid_repeats(spark):
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4)))
+    vocabulary = [word() for _ in range(400)]
+    items = {i: [rng.choice(vocabulary) for _ in range(16)] for i in range(60)}
+    rows = []
+    for k in range(60):  # a word is put in, so that no stretch is verbatim
+        w = [items[(k + 7) % 60][0]] * 150
+        rows.append((k, " ".join(w[:70] + items[k][:8] + ["zzzz"] + items[k][8:] + w[70:]), "en", "s", 1))
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontam.leaks(docs_of(spark, rows), bench).collect()}
+    assert {(k, k) for k in range(60)} <= found
+
+
 def test_common_subsequence():
     rng = random.Random(1)
     for _ in range(200):

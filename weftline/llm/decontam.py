@@ -7,6 +7,13 @@ whose latent cosine with a passage is high becomes a candidate, and candidates
 are checked on words: the share of the passage's term weight in the region, the
 longest common subsequence of content words, and the answer (a given one whole,
 or a quarter of the passage's eight rarest words). Edited and reordered passages are thus found too.
+A term counts once in each half of a window, so repeats cannot drown a passage,
+and the cosine bound falls with the root of a short passage's length.
+
+Verbatim passages need no candidate: the hash of the first MIN_WORDS words is
+looked up at every word and the whole passage compared there. Such a stretch is
+a window by itself with cosine 1, and it needs no answer; neither does a region
+that holds all words of the passage in order.
 
 The benchmark goes through in blocks of a fixed number of passages, each a
 search against all documents, so what a worker holds is bounded.
@@ -27,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.scratch import by_ids, materialise
-from weftline.llm.textbytes import U64, Words, batches, fold
+from weftline.llm.textbytes import U64, Words, batches, fold, mix, run_sums
 
 TERM_BITS = 17
 TERMS = 1 << TERM_BITS
@@ -38,6 +45,8 @@ MIN_WORDS = 5
 #: Passages that one search holds.
 SEARCH_PASSAGES = 20_000
 COSINE, MASS, COMMON = 0.4, 0.45, 0.6
+#: Words below which a passage lowers the cosine bound.
+SHORT = 16
 #: Words in more than this share of documents are no content words.
 FREQUENT = 0.1
 
@@ -178,6 +187,11 @@ def common_subsequence(a: list, b: list) -> int:
     return len(a) - bin(v).count("1")
 
 
+def run_hashes(sums: np.ndarray, inverse: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n words from each start, by the prefix sums of word hashes."""
+    return mix((sums[start + n] - sums[start]) * inverse[start])
+
+
 @dataclass
 class Passage:
     item: int
@@ -185,6 +199,7 @@ class Passage:
     term: np.ndarray
     mass: np.ndarray
     content: list
+    every: bool  # the content is all words, as too few are rare
     answer: list
     given: bool
 
@@ -204,15 +219,67 @@ class Searcher:
             z = w @ space[self.index[t]]
             latent.append(z / max(float(np.linalg.norm(z)), 1e-9))
             content = self.content(words)
+            every = len(self.rare_words(words)) < 3
             rare = sorted(set(words.tolist()), key=lambda x: (-idf[x >> (64 - TERM_BITS)], x))[:8]
             said = [int(np.int64(x).view(np.uint64)) for x in answer]
-            self.passages.append(Passage(item, words, t, idf[t] / idf[t].sum(), content, said or rare, bool(said)))
+            self.passages.append(Passage(item, words, t, idf[t] / idf[t].sum(), content, every, said or rare, bool(said)))
+        self.ease = np.sqrt(np.minimum([len(p.words) / SHORT for p in self.passages], 1)).astype(np.float32)
+        texts: dict[bytes, list] = {}
+        for k, p in enumerate(self.passages):
+            texts.setdefault(p.words.tobytes(), []).append(k)
+        self.texts = list(texts.values())
+        own = [self.passages[k[0]].words for k in self.texts]
+        start = np.array([run_hashes(*run_sums(w), np.zeros(1, np.int64), MIN_WORDS)[0] for w in own], U64)
+        #: distinct hashes of first words, and a filter by their upper bits
+        self.heads, head = np.unique(start, return_inverse=True)
+        self.filter = np.zeros(1 << 16, bool)
+        self.filter[self.heads >> U64(48)] = True
+        #: per length the heads it occurs with, and the sorted hashes and numbers of its texts
+        self.lengths = []
+        size = np.array([len(w) for w in own], np.int64)
+        for n in np.unique(size).tolist():
+            some = np.flatnonzero(size == n)
+            whole = np.array([run_hashes(*run_sums(own[k]), np.zeros(1, np.int64), n)[0] for k in some], U64)
+            order = np.argsort(whole, kind="stable")
+            starts = np.zeros(len(self.heads), bool)
+            starts[head[some]] = True
+            self.lengths.append((n, starts, whole[order], some[order]))
         self.latent = np.array(latent, np.float32).reshape(len(latent), space.shape[1]).T
 
+    def rare_words(self, words: np.ndarray) -> np.ndarray:
+        return words[self.idf[(words >> U64(64 - TERM_BITS)).astype(np.int64)] > self.frequent]
+
     def content(self, words: np.ndarray) -> list:
-        kept = words[self.idf[(words >> U64(64 - TERM_BITS)).astype(np.int64)] > self.frequent]
+        kept = self.rare_words(words)
         return (kept if len(kept) >= 3 else words).tolist()
 
+    def verbatim(self, ids: np.ndarray, first: np.ndarray) -> list[tuple[int, int]]:
+        """Document and passage of every passage that a document holds word for word."""
+        if len(ids) < MIN_WORDS or not len(self.heads):
+            return []
+        sums, inverse = run_sums(ids)
+        key = run_hashes(sums, inverse, np.arange(len(ids) - MIN_WORDS + 1), MIN_WORDS)
+        at = np.flatnonzero(self.filter[key >> U64(48)])
+        head = np.minimum(np.searchsorted(self.heads, key[at]), len(self.heads) - 1)
+        same = self.heads[head] == key[at]
+        at, head = at[same], head[same]
+        doc = np.searchsorted(first, at, "right") - 1
+        found = set()
+        for n, starts, hashes, texts in self.lengths:
+            fits = np.flatnonzero(starts[head] & (at + n <= first[doc + 1]))
+            whole = run_hashes(sums, inverse, at[fits], n)
+            where = np.searchsorted(hashes, whole, "left")
+            while len(fits):
+                equal = np.flatnonzero(where < len(hashes))
+                equal = equal[hashes[where[equal]] == whole[equal]]
+                fits, whole, where = fits[equal], whole[equal], where[equal]
+                for k, t in zip(fits.tolist(), texts[where].tolist(), strict=True):
+                    pair = (int(doc[k]), t)
+                    if pair not in found and np.array_equal(ids[at[k] : at[k] + n], self.passages[self.texts[t][0]].words):
+                        found.add(pair)
+                where = where + 1
+        return [(d, k) for d, t in sorted(found) for k in self.texts[t]]
+
     def candidates(self, term: np.ndarray, first: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Window's first word, its end, passage and cosine of all pairs above the bound."""
         counts = np.diff(first)
@@ -226,12 +293,18 @@ class Searcher:
         known = np.flatnonzero(row >= 0)
         sums = np.zeros((len(start), self.space.shape[1]), np.float32)
         at = np.searchsorted(known, start)
-        full = at < np.append(at[1:], len(known))
+        # a term counts once in a block
+        block = np.repeat(np.arange(len(start)), np.diff(np.append(at, len(known))))
+        once = np.sort(block * len(self.space) + row[known])
+        once = once[np.append(True, once[1:] != once[:-1])] if len(once) else once
+        rows = once % len(self.space)
+        at = np.searchsorted(once, np.arange(len(start)) * len(self.space))
+        full = at < np.append(at[1:], len(rows))
         for lo in range(0, len(start), 512):
             some = np.flatnonzero(full[lo : lo + 512]) + lo
             if len(some):
-                end = at[lo + 512] if lo + 512 < len(start) else len(known)
-                sums[some] = np.add.reduceat(self.space[row[known[at[some[0]] : end]]], at[some] - at[some[0]], axis=0)
+                end = at[lo + 512] if lo + 512 < len(start) else len(rows)
+                sums[some] = np.add.reduceat(self.space[rows[at[some[0]] : end]], at[some] - at[some[0]], axis=0)
         more = np.zeros_like(sums)
         paired = np.append(doc[1:] == doc[:-1], False)
         more[:-1][paired[:-1]] = sums[1:][paired[:-1]]
@@ -240,7 +313,7 @@ class Searcher:
         found = []
         for lo in range(0, self.latent.shape[1], 1024):
             near = windows @ self.latent[:, lo : lo + 1024]
-            w, p = np.nonzero(near >= cosine * norm[:, None])
+            w, p = np.nonzero(near >= norm[:, None] * (cosine * self.ease[lo : lo + 1024]))
             found.append((w, p + lo, near[w, p] / norm[w]))
         w, p, c = (np.concatenate(x) for x in zip(*found, strict=True))
         return start[w], np.minimum(start[w] + 2 * BLOCK, first[doc[w] + 1]), p, c
@@ -249,14 +322,16 @@ class Searcher:
         """The share of content words in common order, if all checks hold."""
         if sum(m for t, m in zip(p.term.tolist(), p.mass.tolist(), strict=True) if t in present) < mass:
             return None
-        region = self.content(words)
+        region = words.tolist() if p.every else self.content(words)
         share = common_subsequence(p.content, region) / len(p.content)
         if share < common:
             return None
         inside = set(words.tolist())
         said = sum(x in inside for x in p.answer)
         # without a given answer a paraphrase may lack rare words, but not most of them
-        return share if said == len(p.answer) or not p.given and 4 * said >= len(p.answer) else None
+        if said == len(p.answer) or not p.given and 4 * said >= len(p.answer):
+            return share
+        return share if common_subsequence(p.words.tolist(), words.tolist()) == len(p.words) else None
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, mass: float = MASS, common: float = COMMON) -> DataFrame:
@@ -280,7 +355,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, mass: f
                 ids, term, first = terms(data, offsets)
                 begin, end, passage, near = search.candidates(term, first, cosine)
                 doc = np.searchsorted(first, begin, "right") - 1
-                out, last, present = [], None, set()
+                out, last, present = [(d, search.passages[k].item, 1.0, 1.0) for d, k in search.verbatim(ids, first)], None, set()
                 for k in range(len(begin)):
                     p, d = search.passages[passage[k]], doc[k]
                     lo, hi = max(begin[k] - len(p.words), first[d]), min(end[k] + len(p.words), first[d + 1])
