@@ -360,6 +360,33 @@ def test_discovery_finds_a_planted_junction(spark):
     assert tasks.count() == 2 * len({r.cluster_id for r in found})
 
 
+def test_clusters_cross_bin_edges_and_exchanged_ends(spark):
+    rows = []
+    for f in range(6):  # ends on either side of a bin edge
+        a, b = 32_768 - 30 + 12 * f, 98_304 - 30 + 12 * f
+        rows += [(f, 0, "1", "+", a, a + 50), (f, 1, "2", "-", b, b + 50)]
+        # read ends exchanged in every other fragment, on two chromosomes and in one bin
+        k = f % 2
+        rows += [(10 + f, k, "3", "+", 10_000 + f, 10_050 + f), (10 + f, 1 - k, "4", "-", 20_000 + f, 20_050 + f)]
+        rows += [(20 + f, k, "5", "+", 10_000 + f, 10_050 + f), (20 + f, 1 - k, "5", "+", 20_000 + f, 20_050 + f)]
+    aln = spark.createDataFrame(rows, "fragment long, read_end int, ref_name string, strand string, s long, e long")
+    found = pipeline.find_clusters(aln, 250.0, 40.0).collect()
+    whole = {}
+    for r in found:
+        whole.setdefault(r.cluster_id, []).append(r)
+    assert sorted({x.fragment for x in group} == set(range(10 * k, 10 * k + 6)) for k, group in enumerate(sorted(whole.values(), key=lambda g: min(x.fragment for x in g)))) == [True] * 3
+    assert sorted((r.fragment, r.read_end, r.ref_name, r.strand, r.s, r.e) for r in found) == sorted(rows)
+    assert all(len({(x.ref_name, x.s // 15_000) for x in group if x.cluster_end == k and x.fragment >= 10}) <= 1 for group in whole.values() for k in (0, 1))
+
+
+def test_binned_clusters_cross_bin_edges(spark):
+    rows = [(c, f, x, 100.0, 50, 50) for c in (1, 2) for f, x in enumerate((3980.0, 3990.0, 4010.0, 4020.0))]
+    pairs = spark.createDataFrame(rows, "cluster_id long, fragment long, x double, y double, len1 long, len2 long")
+    found = cl.binned_clusters(pairs, "cluster_id", 4000, 4000.0, 1500.0, least=3).collect()
+    assert sorted((r.cluster_id, r.fragment) for r in found) == [(c, f) for c in (1, 2) for f in range(4)]
+    assert len({(r.cluster_id, r.xbin, r.component) for r in found}) == 2
+
+
 def test_predicted_break_sequence(spark):
     rng = random.Random(9)
     seq = lambda n: "".join(rng.choice("ACGT") for _ in range(n))

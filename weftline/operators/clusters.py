@@ -144,6 +144,23 @@ def discordant_clusters(pairs: DataFrame, keys: list[str], mean: float, sd: floa
     return pairs.groupBy(*keys).applyInPandas(solve, schema)
 
 
+def binned_clusters(pairs: DataFrame, key: str, size: int, mean: float, sd: float, precision: float = 0.95, least: int = 5) -> DataFrame:
+    """Rows key, xbin, component, fragment of the clusters along x of every key.
+
+    A pair lies in every bin within mean + 10 sd of its x, so no cluster is cut
+    at an edge; bins below 0 hold the minus strand, whose x is negative. Equal
+    clusters are given once, in the smallest bin.
+    """
+    reach = int(mean + 10 * sd)
+    place = F.abs("x")
+    at = F.explode(F.sequence(F.floor(F.greatest(place - reach, F.lit(0)) / size), F.floor((place + reach) / size)))
+    binned = pairs.withColumn("xbin", at).withColumn("xbin", F.when(F.col("x") < 0, -1 - F.col("xbin")).otherwise(F.col("xbin")))
+    found = discordant_clusters(binned, [key, "xbin"], mean, sd, precision, least)
+    sets = found.groupBy(key, "xbin", "component").agg(F.sort_array(F.collect_list("fragment")).alias("members"))
+    once = sets.groupBy(key, F.col("xbin") < 0, "members").agg(F.min(F.struct("xbin", "component")).alias("at"))
+    return once.select(key, "at.xbin", "at.component", F.explode("members").alias("fragment"))
+
+
 def set_cover(members: DataFrame, least: int = 1) -> DataFrame:
     """Greedy cover: cluster_id, fragment, each fragment in the cluster that claimed it.
 

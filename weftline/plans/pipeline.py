@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import fusions as fu
 from weftline.functions import stats as st
-from weftline.functions.intervals import length, overlaps
+from weftline.functions.intervals import bins, length, overlaps
 from weftline.functions.sequences import reverse_complement, window
 from weftline.operators import alignment as al
 from weftline.operators import clusters as cl
@@ -58,17 +58,27 @@ def discordant(rows: DataFrame, genes: DataFrame, settings: Settings = Settings(
 
 
 def find_clusters(rows: DataFrame, mean: float, sd: float, settings: Settings = Settings()) -> DataFrame:
-    """Cluster rows of discordant alignments: bin pairs, mixture, cover, new numbers."""
+    """Cluster rows of discordant alignments: bin pairs, mixture, cover, new numbers.
+
+    An end lies in every bin that it touches when widened by the reach, so the
+    pairs of one junction share a pair of bins wherever the edges are; the cover
+    removes clusters found twice. The smaller end by reference, strand, bin and
+    position comes first, whichever read end it is.
+    """
     reach = int(mean + 10 * sd)
-    side = lambda k: rows.where(F.col("read_end") == k).select("fragment", *[F.col(c).alias(f"{c}{k}") for c in ("ref_name", "strand", "s", "e")], F.floor(F.col("s") / 32768).alias(f"bin{k}"), F.when(F.col("strand") == "+", F.col("e")).otherwise(-F.col("s")).alias("x" if k == 0 else "y"), length(F.col("s"), F.col("e")).alias(f"len{k + 1}"))
     near = rd.same_region(rows, reach)
-    pairs = rd.keep_ids(side(0).join(side(1), "fragment"), near, "fragment", "fragment", invert=True)
+    cut = rd.keep_ids(rows, near, "fragment", "fragment", invert=True).withColumn("bin", F.explode(bins(F.greatest(F.col("s") - reach, F.lit(0)), F.col("e") + reach, 32768)))
+    side = lambda k, x: cut.where(F.col("read_end") == k).select("fragment", F.struct("ref_name", "strand", "bin", "s", "e", "read_end").alias(x))
+    both = side(0, "a").join(side(1, "b"), "fragment").select("fragment", F.least("a", "b").alias("end0"), F.greatest("a", "b").alias("end1"))
+    names = [F.col(f"end{k}.{c}").alias(f"{c}{k}") for k in (0, 1) for c in ("ref_name", "strand", "bin", "s", "e", "read_end")]
+    outer = lambda k: F.when(F.col(f"strand{k}") == "+", F.col(f"e{k}")).otherwise(-F.col(f"s{k}"))
+    pairs = both.select("fragment", *names).withColumns({"x": outer(0), "y": outer(1), "len1": length(F.col("s0"), F.col("e0")), "len2": length(F.col("s1"), F.col("e1"))})
     keys = ["ref_name0", "strand0", "bin0", "ref_name1", "strand1", "bin1"]
     found = cl.discordant_clusters(pairs, keys, mean, sd, settings.clustering_precision, settings.span_count_threshold)
     numbered = cl.renumbered(found, [*keys, "component"]).select(*keys, F.col("new_id").alias("cluster_id"), "fragment")
     covered = cl.set_cover(numbered.select("cluster_id", "fragment"), settings.span_count_threshold)
     kept = numbered.join(covered, ["cluster_id", "fragment"]).join(pairs, [*keys, "fragment"])
-    ends = F.array(*[F.struct(F.lit(k).alias("cluster_end"), F.lit(k).alias("read_end"), F.col(f"ref_name{k}").alias("ref_name"), F.col(f"strand{k}").alias("strand"), F.col(f"s{k}").alias("s"), F.col(f"e{k}").alias("e")) for k in (0, 1)])
+    ends = F.array(*[F.struct(F.lit(k).alias("cluster_end"), F.col(f"read_end{k}").alias("read_end"), F.col(f"ref_name{k}").alias("ref_name"), F.col(f"strand{k}").alias("strand"), F.col(f"s{k}").alias("s"), F.col(f"e{k}").alias("e")) for k in (0, 1)])
     return cl.without_mixed_mt(kept.select("cluster_id", "fragment", F.explode(ends).alias("x")).select("cluster_id", "x.cluster_end", "fragment", "x.read_end", "x.ref_name", "x.strand", "x.s", "x.e"), settings.mt_chromosome)
 
 

@@ -830,14 +830,14 @@ def components(spark, d):
 
 @query(None)
 def em_clusters(spark, d):
-    from weftline.operators.clusters import discordant_clusters
+    from weftline.operators.clusters import binned_clusters
 
     rows = ad.aln(spark, d)
     end = F.when(F.col("strand") == "+", F.col("e")).otherwise(-F.col("s"))
     ends = rows.select("cluster_id", "fragment", "read_end", end.alias("x"), iv.length(F.col("s"), F.col("e")).alias("len"), F.col("s").alias("s"))
     side = lambda k, n: rd.first_per_position(ends.where(F.col("read_end") == k), ["cluster_id", "fragment"], ["s", "len"]).select("cluster_id", "fragment", F.col("x").alias(n), F.col("len").alias(f"len{k + 1}"))
-    pairs = side(0, "x").join(side(1, "y"), ["cluster_id", "fragment"]).withColumn("xbin", F.floor(F.col("x") / 4000))
-    return discordant_clusters(pairs, ["cluster_id", "xbin"], 4000.0, 1500.0, least=3)
+    pairs = side(0, "x").join(side(1, "y"), ["cluster_id", "fragment"])
+    return binned_clusters(pairs, "cluster_id", 32768, 4000.0, 1500.0, least=3)
 
 
 @query(None)
