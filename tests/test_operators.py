@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
 from weftline.functions import sequences as sq
 from weftline.functions import stats as st
 from weftline.operators import alignment as al
@@ -18,6 +19,8 @@ from weftline.operators import intervals as ij
 from weftline.operators import reads as rd
 from weftline.operators.graphs import components
 from weftline.plans import pipeline
+from weftline.plans.registry import QUERIES
+from weftline.sources import adapters as ad
 from weftline.sources import config, formats, readers, sinks
 
 
@@ -399,3 +402,25 @@ def test_predicted_break_sequence(spark):
     assert out[0].sequence.replace("|", "") == junction
     assert out[0].sequence.split("|")[0] == w0[:40]
     assert out[0].break0 == 1000 + 40 - 1
+
+
+# --- whole tables --------------------------------------------------------------------------
+
+
+def test_every_point_and_cluster(spark):
+    rows, genes = ad.aln(spark, SMALL).collect(), ad.gene(spark, SMALL).collect()
+    points = {(r.ref_name, r.s) for r in rows}
+    want = set()
+    for c, s in points:
+        own = [(max(0, g.gs - s, s - g.ge), g.gene_id) for g in genes if g.chromosome == c]
+        if own:
+            want.add((c, s, *min(own)))
+    got = QUERIES["nearest_gene_all"](spark, SMALL).collect()
+    assert len(got) == len(want) and {(r.chromosome, r.s, r.distance, r.gene_id) for r in got} == want
+    bounds, of = {}, {}
+    for r in rows:
+        lo, hi = bounds.get((r.cluster_id, r.strand), (r.s, r.e))
+        bounds[r.cluster_id, r.strand] = min(lo, r.s), max(hi, r.e)
+        of.setdefault(r.fragment, set()).add(r.cluster_id)
+    want = sorted((r.fragment, r.line, c) for r in rows for c in of[r.fragment] if (c, r.strand) in bounds and r.s <= bounds[c, r.strand][1] and bounds[c, r.strand][0] <= r.e)
+    assert sorted((r.fragment, r.line, r.cluster_id) for r in QUERIES["supporting_reads_all"](spark, SMALL).collect()) == want

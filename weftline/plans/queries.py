@@ -230,6 +230,12 @@ def nearest_gene(spark, d):
     return ij.nearest(points, ad.gene(spark, d), "chromosome", "s", "gene_id", ("gs", "ge"), 500)
 
 
+@query(None)
+def nearest_gene_all(spark, d):
+    """nearest_gene for every point; its SQL compares each point with all genes, so it takes a twentieth."""
+    return ij.nearest(ad.aln(spark, d).select(F.col("ref_name").alias("chromosome"), "s"), ad.gene(spark, d), "chromosome", "s", "gene_id", ("gs", "ge"), 500)
+
+
 @query(f"""WITH {ALN}, b AS (SELECT DISTINCT fragment, read_end, unnest(range(s // 2048, e // 2048 + 1)) AS bin, ref_name, strand FROM aln),
 p AS (SELECT a.fragment, CASE WHEN (a.ref_name, a.strand, a.bin) <= (c.ref_name, c.strand, c.bin) THEN concat(a.ref_name, a.strand, a.bin) ELSE concat(c.ref_name, c.strand, c.bin) END AS lo,
       CASE WHEN (a.ref_name, a.strand, a.bin) <= (c.ref_name, c.strand, c.bin) THEN concat(c.ref_name, c.strand, c.bin) ELSE concat(a.ref_name, a.strand, a.bin) END AS hi FROM b a JOIN b c ON a.fragment = c.fragment AND a.read_end = 0 AND c.read_end = 1)
@@ -924,6 +930,16 @@ def supporting_reads(spark, d):
     return run(rows, ad.member(spark, d), regions).select("fragment", "line", "cluster_id")
 
 
+@query(None)
+def supporting_reads_all(spark, d):
+    """supporting_reads for every cluster, with regions of all its rows."""
+    from weftline.plans.pipeline import supporting_reads as run
+
+    rows = ad.aln(spark, d)
+    regions = rows.groupBy("cluster_id", "strand").agg(F.min("s").alias("rs"), F.max("e").alias("re"))
+    return run(rows, ad.member(spark, d), regions).select("fragment", "line", "cluster_id")
+
+
 @query(f"WITH {MEMBER}, o AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY fragment) AS k FROM member) SELECT cluster_id, fragment, k::BIGINT AS k FROM o WHERE k IN (SELECT n_nationkey FROM nation)")
 def ordinal_lookup(spark, d):
     rows = ad.member(spark, d).withColumn("k", F.row_number().over(Window.partitionBy("cluster_id").orderBy("fragment")))
