@@ -102,6 +102,11 @@ def garbage_filter(spark, d):
     return ad.seq(spark, d).where(~sq.is_garbage(F.col("sequence"), 0.4, 0.1))
 
 
+@query(None)
+def garbage_filter_whole(spark, d):
+    return ad.whole_seq(spark, d).where(~sq.is_garbage(F.col("sequence"), 0.4, 0.1))
+
+
 @query("SELECT p_partkey, p_type FROM part WHERE p_type IN (SELECT DISTINCT p_type FROM part WHERE p_partkey < 3) AND p_brand IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#21')")
 def isin_filter(spark, d):
     part = tab(spark, d, "part")
@@ -476,6 +481,11 @@ def entropy(spark, d):
     return ad.seq(spark, d).where(F.length("sequence") > 1).select("seq_id", sq.pair_entropy(F.col("sequence")).alias("entropy"))
 
 
+@query(None)
+def entropy_whole(spark, d):
+    return ad.whole_seq(spark, d).where(F.length("sequence") > 1).select("seq_id", sq.pair_entropy(F.col("sequence")).alias("entropy"))
+
+
 _REV = "reverse(translate({x}, 'ACGTacgt', 'TGCAtgca'))"
 
 
@@ -484,6 +494,11 @@ def revcomp(spark, d):
     return ad.seq(spark, d).select("seq_id", sq.reverse_complement(F.col("sequence")).alias("rc"))
 
 
+@query(None)
+def revcomp_whole(spark, d):
+    return ad.whole_seq(spark, d).select("seq_id", sq.reverse_complement(F.col("sequence")).alias("rc"))
+
+
 _FOUR = "concat(substring(sequence, 1, 2), substring(sequence, 5, 2))"
 
 
@@ -525,6 +540,13 @@ def kmer_counts(spark, d):
     return run(ad.seq(spark, d), "sequence", 8)
 
 
+@query(None)
+def kmer_counts_whole(spark, d):
+    from weftline.operators.alignment import kmer_counts as run
+
+    return run(ad.whole_seq(spark, d), "sequence", 8)
+
+
 _SOLEXA = "list_aggregate([chr(33 + floor(10 * log10(1 + 10 ** ((ascii(c) - 64) / 10.0::DOUBLE)) + 0.499::DOUBLE)::INT) FOR c IN string_split(q, '')], 'string_agg', '')"
 
 
@@ -870,7 +892,7 @@ def hier_cluster(spark, d):
 
 
 def _seq_pairs(spark, d):
-    rows = ad.seq(spark, d).where(F.length("sequence") >= 20)
+    rows = ad.whole_seq(spark, d).where(F.length("sequence") >= 20)
     return rows.select(F.col("seq_id").alias("id"), F.col("sequence").alias("reference"), F.concat(F.substring("sequence", 4, 10), F.substring("sequence", 15, 12)).alias("sequence"))
 
 
@@ -885,9 +907,12 @@ def local_align(spark, d):
 def split_align(spark, d):
     from weftline.operators.alignment import split_reads
 
-    rows = ad.seq(spark, d).where(F.length("sequence") == 40)
-    read = F.concat(F.substring("sequence", 6, 12), F.substring("sequence", 27, 12))
-    return split_reads(rows.select(F.col("seq_id").alias("fusion_id"), F.col("seq_id").alias("fragment"), F.lit(0).alias("read_end"), read.alias("read"), F.substring("sequence", 1, 20).alias("ref1"), F.substring("sequence", 21, 20).alias("ref2")))
+    # the halves of every text, and a read of 12 letters of each, 3 and 6 letters off the middle
+    half = F.floor(F.length("sequence") / 2).cast("int")
+    rows = ad.whole_seq(spark, d).where(F.length("sequence") >= 40).select("seq_id", "sequence", half.alias("half"))
+    text, at = F.col("sequence"), F.col("half")
+    read = F.concat(F.substring(text, at - 14, F.lit(12)), F.substring(text, at + 7, F.lit(12)))
+    return split_reads(rows.select(F.col("seq_id").alias("fusion_id"), F.col("seq_id").alias("fragment"), F.lit(0).alias("read_end"), read.alias("read"), F.substring(text, F.lit(1), at).alias("ref1"), F.substring(text, at + 1, F.length(text)).alias("ref2")))
 
 
 # --- joins on clusters and reads -----------------------------------------------------------
@@ -1085,6 +1110,16 @@ def spliced_sequence(spark, d):
     return gm.spliced(exons, bases, 5)
 
 
+@query(None)
+def spliced_sequence_whole(spark, d):
+    """A transcript of three exons on every text, each text a chromosome in chunks of 64."""
+    texts = ad.whole_seq(spark, d).select("seq_id", "sequence")
+    chunks = F.explode(F.sequence(F.lit(0), F.floor(F.length("sequence") / 64)))
+    bases = texts.select(F.col("seq_id").alias("chromosome"), chunks.alias("chunk"), F.lit(64).alias("chunk_size"), "sequence").select("chromosome", "chunk", "chunk_size", F.substring("sequence", (F.col("chunk") * 64 + 1).cast("int"), F.lit(64)).alias("seq"))
+    exons = texts.select(F.col("seq_id").alias("transcript_id"), F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("k")).selectExpr("transcript_id", "transcript_id AS chromosome", "CASE WHEN transcript_id % 2 = 0 THEN '+' ELSE '-' END AS strand", "1 + transcript_id % 25 * 3 + k * 120 AS s", "30 + transcript_id % 25 * 3 + k * 120 AS e")
+    return gm.spliced(exons, bases, 5)
+
+
 @query("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN concat('>', split_part(p_name, ' ', 1)) ELSE p_name END AS header FROM part")
 def header_strip(spark, d):
     line = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(">"), F.col("p_name"))).otherwise(F.col("p_name"))

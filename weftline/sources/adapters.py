@@ -29,6 +29,11 @@ def seq(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").selectExpr("doc_id AS seq_id", "substring(regexp_replace(upper(text), '[^ACGT]', ''), 1, 40) AS sequence")
 
 
+def whole_seq(spark: SparkSession, d: str) -> DataFrame:
+    """All ACGT letters of every document; ``seq`` holds the first 40, as its SQL does."""
+    return table(spark, d, "documents").selectExpr("doc_id AS seq_id", "regexp_replace(upper(text), '[^ACGT]', '') AS sequence")
+
+
 def exon(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "part").selectExpr("p_partkey AS transcript_id", "p_partkey div 3 AS gene_id", "concat('c', cast((p_partkey div 3) % 10 as string)) AS chromosome", "CASE WHEN (p_partkey div 3) % 2 = 0 THEN '+' ELSE '-' END AS strand", "p_size", "explode(sequence(0, p_size % 5)) AS k")
     return rows.selectExpr("transcript_id", "gene_id", "chromosome", "strand", "transcript_id * 200 + k * 90 + 1 AS s", "transcript_id * 200 + k * 90 + 20 + p_size AS e", "cast(k as bigint) AS k")
