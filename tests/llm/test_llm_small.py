@@ -73,6 +73,14 @@ def test_mixing_empty_and_clashing(spark):
     assert {r.size for r in out.collect()} <= {"mine"}
 
 
+def test_emit_gives_the_copies_of_mix(spark):
+    rows = [(i, None if i % 7 == 0 else "" if i % 7 == 1 else " \n" if i % 7 == 2 else "w " * (i % 30 + 1), "en", "ab"[i % 2], 1) for i in range(400)]
+    docs = docs_of(spark, [*rows, (900, "", "en", "none", 0)])
+    want = {r.doc_id: r.copies for r in mixing.mix(docs).collect() if r.copies}
+    assert any(k % 7 < 3 for k in want)
+    assert collections.Counter(r.doc_id for r in mixing.emit(docs).collect()) == want
+
+
 # --- near duplicates -----------------------------------------------------------------------
 
 

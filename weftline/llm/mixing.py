@@ -5,10 +5,11 @@ document is emitted ``floor(rate)`` times plus once more with the probability
 of the fraction. The chance is a hash of the document's id, so reruns agree.
 Only DataFrame functions run here.
 
-Defined results: a null or empty text has size 0 and takes 0 words; a null
-source is a source of its own, ordered last; rows with the same id and text
-share their decision; a null id draws from the text; a table without words has
-targets of 0. Columns other than the three read here never matter.
+Defined results: a null or empty text has size 0 and takes 0 words, but is
+emitted at its source's rate like the others; a null source is a source of its
+own, ordered last; rows with the same id and text share their decision; a null
+id draws from the text; a table without words has targets of 0. Columns other
+than the three read here never matter.
 """
 
 from __future__ import annotations
@@ -72,10 +73,11 @@ def with_targets(rows: DataFrame, targets: DataFrame) -> DataFrame:
     return rows.join(targets, rows["source"].eqNullSafe(F.col("__mix_source")), "left").drop("__mix_source")
 
 
-def copies() -> Column:
-    """How often a document with size, target, source_size and chance is emitted."""
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    return (F.floor(rate) + (F.col("chance") < rate - F.floor(rate)).cast("long")).cast("long")
+def copies(target: str = "target", words: str = "source_size", draw: Column | None = None) -> Column:
+    """How often a document is emitted, by its source's target and words and its chance."""
+    draw = F.col("chance") if draw is None else draw
+    rate = F.when(F.col(words) > 0, F.col(target) / F.col(words)).otherwise(F.lit(0.0))
+    return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("long")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -95,10 +97,7 @@ def emit(docs: DataFrame, **options) -> DataFrame:
     targets = materialise(source_targets(sizes, **options), "mix-targets")
     targets = targets.select("source", F.col("source_size").alias("__mix_words"), F.col("target").alias("__mix_target"))
     rows = with_targets(docs, targets)
-    rate = F.when(F.col("__mix_words") > 0, F.col("__mix_target") / F.col("__mix_words")).otherwise(F.lit(0.0))
-    draw = chance(F.col("doc_id"), F.col("text"), "mix-1")
-    n = (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("int")
-    n = F.when(n_words(F.col("text")) > 0, n).otherwise(F.lit(0))
+    n = copies("__mix_target", "__mix_words", chance(F.col("doc_id"), F.col("text"), "mix-1")).cast("int")
     return rows.withColumn("mix_copy", F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")))).select(*names, "mix_copy")
 
 
