@@ -253,6 +253,26 @@ def test_components(spark, monkeypatch, small):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_audit_sees_small_groups_and_falls_back():
+    rng = np.random.default_rng(4)
+    unit = lambda v: (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    large = unit(np.eye(32)[:1] + 0.01 * rng.standard_normal((400, 32)))
+    small = unit(np.repeat(rng.standard_normal((400, 32)), 2, axis=0) + 0.01 * rng.standard_normal((800, 32)))
+
+    class OnlyLarge:  # finds no link of a small group but a vector's own
+        x = np.concatenate([large, small])
+
+        def within(self, q, least, beam):
+            a, b = np.nonzero(q @ self.x.T >= least)
+            keep = (b < 400) | (b % 2 == 0)
+            return a[keep], b[keep]
+
+    graph = OnlyLarge()
+    assert hnsw.audited_beam(graph, 0.9)[1] < hnsw.AUDIT_RECALL
+    found = set(zip(*(v.tolist() for v in hnsw.search(graph, 0.9)(graph.x)), strict=True))
+    assert found == set(zip(*(v.tolist() for v in np.nonzero(graph.x @ graph.x.T >= 0.9 - 1e-5)), strict=True))
+
+
 # --- archives ------------------------------------------------------------------------------
 
 

@@ -8,8 +8,9 @@ beam's result the search floods along graph edges as long as it meets vectors
 above the bound, so a group larger than the beam is found whole.
 
 Recall is audited in each shard: sampled queries are compared with all vectors
-of the shard, and the beam widens until the audit passes. Cosines of links are
-computed in double precision. Components are found by star contraction.
+of the shard, and the beam widens until the audit passes; a shard that no beam
+passes is compared by brute force. Cosines of links are computed in double
+precision. Components are found by star contraction.
 
 Defined results: a null or zero vector, or one with null or non-finite
 components, links with nothing and is kept; vectors of different lengths link
@@ -20,7 +21,7 @@ as often as they occur; repeated ids are separate rows of one vertex.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -199,6 +200,8 @@ def audited_beam(graph: Graph, least: float, seed: int = 3, queries: int = AUDIT
     """A beam whose results on sampled queries hold nearly all that brute force finds.
 
     Half of the sample are vectors of the shard, half lie beside such vectors.
+    Recall is the mean over queries that have pairs, so a large group of near
+    copies does not stand for the small ones. A widest beam may still fall short.
     """
     n = len(graph.x)
     if not n:
@@ -208,16 +211,34 @@ def audited_beam(graph: Graph, least: float, seed: int = 3, queries: int = AUDIT
     noise = rng.standard_normal(q.shape).astype(np.float32)
     q = q + np.where(np.arange(queries)[:, None] % 2 == 0, 0, 0.3 / np.sqrt(q.shape[1])) * noise
     q /= np.linalg.norm(q, axis=1, keepdims=True)
-    truth = (q @ graph.x.T >= least + 1e-5).sum()
+    truth = (q @ graph.x.T >= least + 1e-5).sum(1)
+    asked = truth > 0
     while True:
         a, b = graph.within(q, least, beam)
-        hit = (np.einsum("nd,nd->n", q[a], graph.x[b]) >= least + 1e-5).sum()
-        got = 1.0 if not truth else hit / truth
+        hit = np.bincount(a[np.einsum("nd,nd->n", q[a], graph.x[b]) >= least + 1e-5], minlength=queries)
+        got = float(np.minimum(hit[asked] / truth[asked], 1).mean()) if asked.any() else 1.0
         if got >= recall or beam >= min(MAX_BEAM, n):
-            return beam, float(got)
+            return beam, got
         beam *= 2
 
 
+def search(graph: Graph, least: float) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """How a shard is searched: by its graph, or by brute force in blocks if no beam passes the audit."""
+    beam, got = audited_beam(graph, least)
+    if got >= AUDIT_RECALL:
+        return lambda q: graph.within(q, least, beam)
+
+    def every(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        out = [np.zeros((2, 0), np.int64)]
+        for lo in range(0, len(q), 256):
+            row, col = np.nonzero(q[lo : lo + 256].astype(np.float32) @ graph.x.T >= least - 1e-5)
+            out.append(np.stack([row + lo, col]))
+        a, b = np.concatenate(out, axis=1)
+        return a, b
+
+    return every
+
+
 def prepared(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with their class, and one row per distinct usable vector: rep, n, unit."""
 
@@ -280,10 +301,10 @@ def links(reps: DataFrame, least: float = COSINE, shard_rows: int = SHARD_ROWS)
         order = np.argsort(ids)
         ids, counts, x = ids[order], counts[order], x[order]
         graph = Graph(x)
-        beam, _ = audited_beam(graph, least)
+        within = search(graph, least)
         out = []
         for lo in range(0, len(q), 4096):
-            a, b = graph.within(q[lo : lo + 4096], least, beam)
+            a, b = within(q[lo : lo + 4096])
             good = np.zeros(len(a), bool)
             for k in range(0, len(a), 1 << 16):
                 s = slice(k, k + (1 << 16))
