@@ -137,6 +137,28 @@ def test_near_duplicates_edges(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "9", "None"]
 
 
+def test_near_duplicates_of_one_id(spark):
+    base = [f"v{i}" for i in range(60)]
+    near, other = " ".join(base[:-1] + ["x"]), " ".join(f"u{i}" for i in range(40))
+    table = docs_of(spark, [(3, " ".join(base), "en", "s", 0), (5, near, "en", "s", 0), (5, other, "en", "s", 0), (9, other, "en", "s", 0)])
+    found = sorted((r.doc_id, r.class_id, r.kept) for r in neardup.near_duplicates(table).collect())
+    assert found == [(3, 3, True), (5, 3, False), (5, 5, True), (9, 5, False)]
+    kept = neardup.deduplicate(table.withColumns({"__gone": F.lit(1), "__digest": F.lit(2), "__id": F.lit(3), "rep": F.lit(4)}))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, " ".join(base)), (5, other)]
+
+
+def test_stray_blocks_meet_everything(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "SMALL_BUCKET", 2)
+    rows = [(1, i, 10, 0 if i < 30 else i, 41) for i in range(41)]
+    met = collections.defaultdict(lambda: ([], []))
+    for r in neardup.block_rows(spark.createDataFrame(rows, "key long, rep long, weight long, component long, n long")).collect():
+        met[r.i, r.j][r.side].append(r.rep)
+    pairs = {frozenset(p) for (i, j), (a, b) in met.items() for p in ((x, y) for x in a for y in (a if i == j else b) if x != y)}
+    assert {frozenset((a, b)) for a in range(30, 41) for b in range(41) if a != b} <= pairs
+    assert not any(max(p) < 30 for p in pairs)
+
+
 def test_dart_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(2)
     ids = rng.integers(1, 2**62, 400).astype(np.uint64)
@@ -207,19 +229,23 @@ def test_toxicity_held_out(spark):
 def test_vector_links_against_brute_force(spark):
     rng = np.random.default_rng(3)
     centres = rng.standard_normal((40, 24))
-    x = np.concatenate([centres[rng.integers(0, 40, 500)] + 0.12 * rng.standard_normal((500, 24)), rng.standard_normal((200, 24))])
+    hub = centres[:1] + np.concatenate([0.02 * rng.standard_normal((150, 24)), 0.3 * rng.standard_normal((50, 24))])
+    x = np.concatenate([centres[rng.integers(0, 40, 500)] + 0.12 * rng.standard_normal((500, 24)), hub])
     x = x.astype(np.float32)
     x[10], x[11] = x[12], 2 * x[12]
     rows = [(int(i), v.tolist(), 1) for i, v in enumerate(x)]
     rows += [(900, None, 1), (901, [0.0] * 24, 1), (902, [float("nan")] * 24, 1), (903, [float("inf")] * 24, 1), (904, [None] * 24, 1), (905, [], 1), (906, [1.0, 2.0], 1)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumns({"rep": F.lit(1), "n": F.lit("x")})
-    found = {r.vec_id: r for r in hnsw.near_duplicates(table, shard_rows=200).collect()}
+    table = table.unionByName(spark.createDataFrame([(None, x[12].tolist(), 1)], "vec_id long, embedding array<float>, label int").withColumns({"rep": F.lit(1), "n": F.lit("x")}))
+    every = hnsw.near_duplicates(table, shard_rows=200).collect()
+    assert [(r.n_links, r.component_id, r.kept) for r in every if r.vec_id is None] == [(0, None, True)]
+    found = {r.vec_id: r for r in every}
     u = x.astype(float)
     u /= np.linalg.norm(u, axis=1, keepdims=True)
     near = u @ u.T >= 0.9
     np.fill_diagonal(near, False)
     got = np.array([found[i].n_links for i in range(700)])
-    assert got.sum() >= 0.99 * near.sum() and (got <= near.sum(1)).all()
+    assert got.tolist() == near.sum(1).tolist()
     labels = np.arange(700)
     while True:
         new = np.where(near, labels[None], 700).min(1, initial=700)
@@ -233,9 +259,9 @@ def test_vector_links_against_brute_force(spark):
     assert hnsw.near_duplicates(table.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("small", [0, 10**6])
-def test_components(spark, monkeypatch, small):
-    monkeypatch.setattr(graph, "SMALL_EDGES", small)
+@pytest.mark.parametrize("task_edges", [10, 10**6])
+def test_components(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(graph, "TASK_EDGES", task_edges)
     rng = random.Random(8)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5)]
     got = {r.vertex: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
@@ -259,20 +285,36 @@ def test_audit_sees_small_groups_and_falls_back():
     large = unit(np.eye(32)[:1] + 0.01 * rng.standard_normal((400, 32)))
     small = unit(np.repeat(rng.standard_normal((400, 32)), 2, axis=0) + 0.01 * rng.standard_normal((800, 32)))
 
-    class OnlyLarge:  # finds no link of a small group but a vector's own
+    class OnlyLarge:  # finds nothing of the small groups
         x = np.concatenate([large, small])
 
-        def within(self, q, least, beam):
-            a, b = np.nonzero(q @ self.x.T >= least)
-            keep = (b < 400) | (b % 2 == 0)
-            return a[keep], b[keep]
+        def near(self, q, least, beam):
+            a, b = np.nonzero(q @ self.x[:400].T >= least)
+            return a, b
 
     graph = OnlyLarge()
-    assert hnsw.audited_beam(graph, 0.9)[1] < hnsw.AUDIT_RECALL
-    found = set(zip(*(v.tolist() for v in hnsw.search(graph, 0.9)(graph.x)), strict=True))
+    assert hnsw.audited_beam(graph, np.concatenate([np.zeros(400, int), np.arange(400, 1200)]), 0.9)[1] < hnsw.AUDIT_RECALL
+    found = set(zip(*(v.tolist() for v in hnsw.all_near(graph.x, graph.x, 0.9)), strict=True))
     assert found == set(zip(*(v.tolist() for v in np.nonzero(graph.x @ graph.x.T >= 0.9 - 1e-5)), strict=True))
 
 
+def test_graphs_are_stored_whole_and_recall_is_reported(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = hnsw.Graph(x)
+    again = hnsw.Graph.restored(x, *graph.stored())
+    assert again.entry == graph.entry and all((a == b).all() for a, b in zip(again.layers, graph.layers, strict=True))
+    reps = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "rep long, n long, unit array<double>")
+    seen = hnsw.audits(hnsw.shard_graphs(reps, 0.9, 2)).collect()
+    assert sum(r.vectors for r in seen) == 3000 and all(r.recall >= 0.99 and not r.exact for r in seen)
+    # a shard that no beam passes is searched by brute force
+    graphs = hnsw.shard_graphs(reps, 0.8, 2).withColumn("recall", F.lit(0.5))
+    pairs = (x @ x.T >= 0.8).sum(1) - 1
+    counts = {r.a: r.n for r in hnsw.links(graphs, 2, 0.8).where("b IS NULL").groupBy("a").agg(F.sum("n").alias("n")).collect()}
+    assert [counts.get(i, 0) for i in range(3000)] == pairs.tolist()
+
+
 # --- archives ------------------------------------------------------------------------------
 
 

@@ -1,9 +1,10 @@
 """Connected components of distributed edge tables.
 
-Alternating large and small stars (Kiveris et al., 2014): every round links
-vertices to smaller ones until each component is a star around its smallest
-vertex. Rounds are tables in the shared folder; nothing is collected but sums.
-A graph of few edges, by count, is united in one task instead of many stages.
+Edges are first contracted where they lie: a task unites its own, a bounded
+number, and gives their stars. Then alternating large and small stars (Kiveris
+et al., 2014) link vertices to smaller ones until each component is a star
+around its smallest vertex. Rounds are tables in the shared folder; nothing is
+collected but sums. The steps are the same for every number of edges.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from weftline.llm.scratch import materialise
 
 MAX_ROUNDS = 60
-#: Edges up to which one task unites a graph: 16 bytes each, counted before.
-SMALL_EDGES = 200_000
+#: Edges that one task contracts on average: 16 bytes each.
+TASK_EDGES = 200_000
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -36,12 +37,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _signature(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-
-def _united(edges: DataFrame) -> DataFrame:
-    """The stars of a small graph, by union and find in one task."""
+def _contracted(edges: DataFrame) -> DataFrame:
+    """The edges of each partition as stars around the smallest vertices, by union and find."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         up: dict[int, int] = {}
@@ -60,27 +57,29 @@ def _united(edges: DataFrame) -> DataFrame:
         stars = [x for x in stars if x[0] != x[1]]
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in stars], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
-    return edges.select(F.col("u").cast("long"), F.col("v").cast("long")).repartition(1).mapInArrow(run, "u long, v long")
+    return edges.select(F.col("u").cast("long"), F.col("v").cast("long")).mapInArrow(run, "u long, v long")
+
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every vertex has one link at most, and none that others link to has one."""
+    sides = edges.select(F.col("u").alias("x"), F.lit(1).alias("from"), F.lit(0).alias("to")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("from"), F.lit(1).alias("to")))
+    return sides.groupBy("x").agg(F.sum("from").alias("n"), F.max("to").alias("to")).where("n > 1 OR n = 1 AND to = 1").isEmpty()
 
-def components(edges: DataFrame) -> DataFrame:
+
+def components(edges: DataFrame, task_edges: int | None = None) -> DataFrame:
     """vertex, component (its smallest vertex) of every vertex that has an edge.
 
-    edges: u, v of type long. Self-loops and repeated edges don't matter.
+    edges: u, v of type long. Self-loops and repeated edges don't matter; no
+    edges give no rows.
     """
-    edges = materialise(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
-    before = _signature(edges)
-    small = before[0] <= SMALL_EDGES
-    if small and before[0]:
-        edges = materialise(_united(edges), "cc-edges")
+    edges = materialise(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "cc-edges")
+    tasks = -(-edges.count() // (task_edges or TASK_EDGES))
+    if tasks:
+        edges = materialise(_contracted(edges.repartition(tasks)), "cc-edges")
     for _ in range(MAX_ROUNDS):
-        if small:
+        if not tasks or _are_stars(edges):
             break
         edges = materialise(_small_star(_large_star(edges)), "cc-edges")
-        after = _signature(edges)
-        if after == before:
-            break
-        before = after
     else:
         raise RuntimeError("components did not settle")
-    return edges.select(F.col("u").alias("vertex"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("vertex"), F.col("v").alias("component"))).distinct()
+    return edges.select(F.col("u").alias("vertex"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct())

@@ -1,30 +1,38 @@
 """Embedding near-dedup over hierarchical navigable small-world graphs.
 
 Vectors are dealt to shards by a hash of their id. Every shard builds a graph
-(Malkov and Yashunin, 2016): layers of fewer and fewer points, greedy descent
-through the upper ones, a beam over the lowest. Every distinct vector asks every
-shard; all searches of a block step together as array operations. Around the
-beam's result the search floods along graph edges as long as it meets vectors
-above the bound, so a group larger than the beam is found whole.
+once (Malkov and Yashunin, 2016): layers of fewer and fewer points, greedy
+descent through the upper ones, a beam over the lowest; all searches of a block
+step together as array operations. The graphs are a table in the shared folder.
+Two shards meet in one task, where the vectors of each ask the other's graph.
+
+The graph's links above the bound, verified, join the vectors of a shard into
+clusters. Where a search meets a cluster, the cluster is compared whole: cosines
+in double precision, block by block. So a group larger than the beam is found
+whole, both sides of a pair count it, and what a task gives is a count per
+vector and one link per pair of clusters, not all pairs.
 
 Recall is audited in each shard: sampled queries are compared with all vectors
 of the shard, and the beam widens until the audit passes; a shard that no beam
-passes is compared by brute force. Cosines of links are computed in double
-precision. Components are found by star contraction.
+passes is searched by brute force. :func:`audits` reports beams and recalls.
+Components are found by star contraction.
 
 Defined results: a null or zero vector, or one with null or non-finite
 components, links with nothing and is kept; vectors of different lengths link
 with nothing of another length; equal vectors are searched for once and counted
-as often as they occur; repeated ids are separate rows of one vertex.
+as often as they occur; repeated ids are separate rows of one vertex; a row with
+a null id links with nothing, has a null component and is kept; an empty table
+gives no rows; columns other than the two read here don't matter.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,12 +41,15 @@ from weftline.llm.scratch import materialise
 
 COSINE = 0.9
 #: Vectors of a shard on average; and shards at least, for parallel work.
-SHARD_ROWS, LEAST_SHARDS = 20_000, 6
-#: Queries that one task takes to one shard.
-QUERY_ROWS = 100_000
-DEGREE, BEAM, BUILD_BEAM, MAX_BEAM = 12, 24, 32, 2048
-AUDIT_QUERIES, AUDIT_RECALL = 64, 0.995
-_STEP = 1024
+SHARD_ROWS, LEAST_SHARDS = 20_000, 4
+DEGREE, BEAM, BUILD_BEAM, MAX_BEAM = 12, 12, 32, 2048
+AUDIT_QUERIES, AUDIT_RECALL = 192, 0.99
+#: Distances, as noise of this length on a unit vector, at which the audit asks.
+AUDIT_NOISE = (0.1, 0.3, 0.45)
+#: What single precision may take from a cosine.
+SLACK = 1e-5
+#: Queries that step together, and points of each that do.
+_STEP, _WIDE = 1024, 4
 
 
 class Graph:
@@ -47,7 +58,8 @@ class Graph:
     def __init__(self, vectors: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, seed: int = 7):
         self.x = vectors.astype(np.float32)
         n = len(vectors)
-        level = np.minimum((-np.log(np.random.default_rng(seed).random(n)) / np.log(degree)).astype(int), 6)
+        self.degree = degree
+        self.level = level = np.minimum((-np.log(np.random.default_rng(seed).random(n)) / np.log(degree)).astype(int), 6)
         #: points by falling level, so that the top ones are there first
         self.order = np.argsort(-level, kind="stable")
         self.layers: list[np.ndarray] = []
@@ -103,15 +115,15 @@ class Graph:
         found[found == points[:, None]] = -1
         sims = np.einsum("nd,nkd->nk", self.x[points], self.x[found])
         sims[found < 0] = -3
-        rank = np.argsort(-sims, axis=1, kind="stable")[:, : 3 * width]
+        rank = np.argsort(-sims, axis=1, kind="stable")[:, : 2 * width]
         found, sims = np.take_along_axis(found, rank, 1), np.take_along_axis(sims, rank, 1)
         k = found.shape[1]
         own = self.x[found]
-        between = np.einsum("nid,njd->nij", own, own)
+        nearer = np.concatenate([own[lo : lo + 128] @ own[lo : lo + 128].transpose(0, 2, 1) > sims[lo : lo + 128, :, None] for lo in range(0, len(own), 128)])
         taken = np.zeros(found.shape, bool)
         count = np.zeros(len(points), int)
         for j in range(k):
-            clash = (taken & (between[:, j] > sims[:, j, None])).any(axis=1)
+            clash = (taken[:, :j] & nearer[:, j, :j]).any(axis=1)
             pick = (found[:, j] >= 0) & ~clash & (count < width)
             taken[:, j] = pick
             count += pick
@@ -138,107 +150,135 @@ class Graph:
         at = np.full(len(q), entry)
         for links in layers[:-1]:
             at = self._greedy(q, links, at)
-        links = layers[-1]
-        n = len(q)
+        links, n, size = layers[-1], len(q), len(self.x)
         ids = np.full((n, beam), -1, np.int32)
         sims = np.full((n, beam), -3.0, np.float32)
         open_ = np.zeros((n, beam), bool)
+        seen = np.zeros(n * size, bool)
         ids[:, 0], sims[:, 0], open_[:, 0] = at, np.einsum("nd,nd->n", q, self.x[at]), True
-        active = np.arange(n)
+        seen[np.arange(n) * size + at] = True
+        active, most = np.arange(n), min(_WIDE, beam)
         while len(active):
+            # the best open points of each query step together
             score = np.where(open_[active], sims[active], -4)
-            j = score.argmax(axis=1)
-            going = score[np.arange(len(j)), j] > -4
-            active, j = active[going], j[going]
+            j = np.argpartition(-score, most - 1, axis=1)[:, :most] if beam > most else np.broadcast_to(np.arange(beam), (len(active), beam))
+            valid = np.take_along_axis(score, j, 1) > -4
+            going = valid.any(axis=1)
+            active, j, valid = active[going], j[going], valid[going]
             if not len(active):
                 break
-            open_[active, j] = False
-            near = np.sort(links[ids[active, j]], axis=1)
-            known = (near[:, :, None] == ids[active][:, None, :]).any(axis=2)
-            s = np.einsum("nd,nkd->nk", q[active], self.x[near])
-            s[(near < 0) | known] = -3
-            all_s = np.concatenate([sims[active], s], axis=1)
-            all_i = np.concatenate([ids[active], near], axis=1)
-            all_o = np.concatenate([open_[active], s > -3], axis=1)
+            row, col = np.nonzero(valid)
+            q_at, slot = active[row], j[row, col]
+            open_[q_at, slot] = False
+            near = links[ids[q_at, slot]]
+            k, c = np.nonzero(near >= 0)
+            key = q_at[k] * size + near[k, c]
+            key = np.sort(key[~seen[key]])
+            key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
+            seen[key] = True
+            row, point = np.searchsorted(active, key // size), key % size
+            s = np.einsum("nd,nd->n", q[active[row]], self.x[point])
+            better = s > sims[active].min(axis=1)[row]
+            row, point, s = row[better], point[better], s[better]
+            if not len(row):
+                continue
+            n_new = np.bincount(row, minlength=len(active))
+            place = np.arange(len(row)) - np.repeat(np.cumsum(n_new) - n_new, n_new)
+            wide = int(n_new.max())
+            all_s = np.concatenate([sims[active], np.full((len(active), wide), -3, np.float32)], axis=1)
+            all_i = np.concatenate([ids[active], np.full((len(active), wide), -1, np.int32)], axis=1)
+            all_o = np.concatenate([open_[active], np.zeros((len(active), wide), bool)], axis=1)
+            all_s[row, beam + place], all_i[row, beam + place], all_o[row, beam + place] = s, point, True
             keep = np.argpartition(-all_s, beam - 1, axis=1)[:, :beam]
-            sims[active] = np.take_along_axis(all_s, keep, 1)
-            ids[active] = np.where(sims[active] > -3, np.take_along_axis(all_i, keep, 1), -1)
-            open_[active] = np.take_along_axis(all_o, keep, 1) & (sims[active] > -3)
+            sims[active], ids[active], open_[active] = (np.take_along_axis(z, keep, 1) for z in (all_s, all_i, all_o))
         return ids, sims
 
-    def within(self, q: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Query and point of pairs of at least that cosine, in single precision with slack."""
-        if not len(self.x):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        links, n, slack = self.layers[-1], len(self.x), 1e-5
-        out = []
-        for lo in range(0, len(q), _STEP):
-            part = q[lo : lo + _STEP].astype(np.float32)
-            ids, sims = self._search(part, self.layers, beam, self.entry)
-            row, col = np.nonzero(sims >= least - slack)
-            found = np.unique(row.astype(np.int64) * n + ids[row, col])
-            fresh = found
-            while len(fresh):
-                # flood along the edges of what was found last
-                row, point = fresh // n, fresh % n
-                near = links[point]
-                r, c = np.nonzero(near >= 0)
-                pair = np.unique(row[r] * n + near[r, c])
-                pair = pair[~np.isin(pair, found, assume_unique=True)]
-                good = np.zeros(len(pair), bool)
-                for k in range(0, len(pair), 1 << 16):
-                    some = pair[k : k + (1 << 16)]
-                    good[k : k + (1 << 16)] = np.einsum("nd,nd->n", part[some // n], self.x[some % n]) >= least - slack
-                fresh = pair[good]
-                found = np.union1d(found, fresh)
-            out.append(np.stack([found // n + lo, found % n]))
-        q_at, x_at = np.concatenate(out, axis=1)
-        return q_at, x_at
-
-
-def audited_beam(graph: Graph, least: float, seed: int = 3, queries: int = AUDIT_QUERIES, recall: float = AUDIT_RECALL, beam: int = BEAM) -> tuple[int, float]:
-    """A beam whose results on sampled queries hold nearly all that brute force finds.
-
-    Half of the sample are vectors of the shard, half lie beside such vectors.
+    def stored(self) -> tuple[list[bytes], list[bytes]]:
+        """Per point its links of the lowest layer, and of the layers above, from below."""
+        upper = [b"".join(self.layers[-1 - at][p].tobytes() for at in range(1, top + 1)) for p, top in enumerate(self.level.tolist())]
+        return [row.tobytes() for row in self.layers[-1]], upper
+
+    @classmethod
+    def restored(cls, vectors: np.ndarray, lowest: list[bytes], upper: list[bytes], degree: int = DEGREE) -> Graph:
+        self, n = cls.__new__(cls), len(vectors)
+        self.x, self.degree = vectors.astype(np.float32), degree
+        self.level = np.array([len(u) // (4 * degree) for u in upper], int)
+        self.layers = [np.frombuffer(b"".join(lowest), np.int32).reshape(n, 2 * degree)]
+        for at in range(1, int(self.level.max()) + 1 if n else 0):
+            links = np.full((n, degree), -1, np.int32)
+            some = np.flatnonzero(self.level >= at)
+            links[some] = np.frombuffer(b"".join(upper[p][4 * degree * (at - 1) : 4 * degree * at] for p in some), np.int32).reshape(-1, degree)
+            self.layers.insert(0, links)
+        self.entry = int(np.argsort(-self.level, kind="stable")[0]) if n else -1
+        return self
+
+    def near(self, q: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """Query and point of pairs in the beams of at least that cosine, in single precision with slack."""
+        out = [np.zeros((2, 0), np.int64)]
+        for lo in range(0, len(q) if len(self.x) else 0, _STEP):
+            ids, sims = self._search(q[lo : lo + _STEP].astype(np.float32), self.layers, beam, self.entry)
+            row, col = np.nonzero(sims >= least - SLACK)
+            out.append(np.stack([row + lo, ids[row, col]]))
+        a, b = np.concatenate(out, axis=1)
+        return a, b
+
+
+def all_near(x: np.ndarray, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The same by brute force, in blocks."""
+    out = [np.zeros((2, 0), np.int64)]
+    for lo in range(0, len(q), 256):
+        row, col = np.nonzero(q[lo : lo + 256].astype(np.float32) @ x.T >= least - SLACK)
+        out.append(np.stack([row + lo, col]))
+    a, b = np.concatenate(out, axis=1)
+    return a, b
+
+
+def clusters(graph: Graph, unit: np.ndarray, least: float) -> np.ndarray:
+    """Per point the smallest point that it reaches by links of the lowest layer above the bound."""
+    row, col = np.nonzero(graph.layers[-1] >= 0)
+    a, b = row, graph.layers[-1][row, col].astype(np.int64)
+    good = np.zeros(len(a), bool)
+    for k in range(0, len(a), 1 << 16):
+        s = slice(k, k + (1 << 16))
+        good[s] = np.einsum("nd,nd->n", unit[a[s]], unit[b[s]]) >= least
+    a, b = a[good], b[good]
+    label = np.arange(len(unit))
+    while len(a):
+        high, low = np.maximum(label[a], label[b]), np.minimum(label[a], label[b])
+        if (high == low).all():
+            break
+        np.minimum.at(label, high, low)
+        while (label[label] != label).any():
+            label = label[label]
+    return label
+
+
+def audited_beam(graph: Graph, label: np.ndarray, least: float, seed: int = 3, queries: int = AUDIT_QUERIES, recall: float = AUDIT_RECALL, beam: int = BEAM) -> tuple[int, float]:
+    """A beam whose clusters, met by sampled queries, hold nearly all that brute force finds; and its recall.
+
+    Queries lie beside vectors of the shard, as near copies in another shard do.
     Recall is the mean over queries that have pairs, so a large group of near
     copies does not stand for the small ones. A widest beam may still fall short.
     """
     n = len(graph.x)
-    if not n:
-        return beam, 1.0
     rng = np.random.default_rng(seed)
     q = graph.x[rng.integers(0, n, queries)]
     noise = rng.standard_normal(q.shape).astype(np.float32)
-    q = q + np.where(np.arange(queries)[:, None] % 2 == 0, 0, 0.3 / np.sqrt(q.shape[1])) * noise
-    q /= np.linalg.norm(q, axis=1, keepdims=True)
-    truth = (q @ graph.x.T >= least + 1e-5).sum(1)
-    asked = truth > 0
+    noise *= np.resize(np.array(AUDIT_NOISE, np.float32), queries)[:, None] / np.linalg.norm(noise, axis=1, keepdims=True)
+    q = (q + noise) / np.linalg.norm(q + noise, axis=1, keepdims=True)
+    truth = q @ graph.x.T >= least + SLACK
+    asked = truth.any(1)
     while True:
-        a, b = graph.within(q, least, beam)
-        hit = np.bincount(a[np.einsum("nd,nd->n", q[a], graph.x[b]) >= least + 1e-5], minlength=queries)
-        got = float(np.minimum(hit[asked] / truth[asked], 1).mean()) if asked.any() else 1.0
+        a, b = graph.near(q, least, beam)
+        met = np.zeros((queries, n), bool)
+        met[a, label[b]] = True
+        hit = (truth & met[:, label]).sum(1)
+        got = float((hit[asked] / truth[asked].sum(1)).mean()) if asked.any() else 1.0
         if got >= recall or beam >= min(MAX_BEAM, n):
             return beam, got
         beam *= 2
 
 
-def search(graph: Graph, least: float) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    """How a shard is searched: by its graph, or by brute force in blocks if no beam passes the audit."""
-    beam, got = audited_beam(graph, least)
-    if got >= AUDIT_RECALL:
-        return lambda q: graph.within(q, least, beam)
-
-    def every(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        out = [np.zeros((2, 0), np.int64)]
-        for lo in range(0, len(q), 256):
-            row, col = np.nonzero(q[lo : lo + 256].astype(np.float32) @ graph.x.T >= least - 1e-5)
-            out.append(np.stack([row + lo, col]))
-        a, b = np.concatenate(out, axis=1)
-        return a, b
-
-    return every
-
-
 def prepared(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with their class, and one row per distinct usable vector: rep, n, unit."""
 
@@ -268,71 +308,151 @@ def prepared(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.drop("unit"), reps
 
 
-_LINK = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n_b", pa.int64())])
+_GRAPH = "shard int, width int, at int, rep long, n long, unit array<double>, lowest binary, upper binary, cluster int, beam int, recall double"
+_FOUND = "a long, b long, n long"
 
 
-def _units(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _units(table: pa.Table) -> np.ndarray:
     column = table.column("unit").combine_chunks()
-    width = int(np.diff(np.asarray(column.offsets)).max()) if len(column) else 0
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return table.column("rep").to_numpy(), table.column("n").to_numpy(), flat.reshape(len(column), width)
-
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
-def links(reps: DataFrame, least: float = COSINE, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """All links found between distinct vectors, from either side: a, b, n_b.
 
-    The vectors of a shard and a block of queries meet in one task: shards times
-    blocks tasks, each bounded.
-    """
-    n = reps.count()
-    shards, blocks = max(LEAST_SHARDS, -(-n // shard_rows)), max(1, -(-n // QUERY_ROWS))
-    width = F.size("unit")
-    rows = reps.select("rep", "n", "unit", width.alias("width"))
+def shard_graphs(reps: DataFrame, least: float = COSINE, shards: int = LEAST_SHARDS) -> DataFrame:
+    """A row per distinct vector: its shard, its links in the shard's graph, its cluster, and the shard's audit."""
     shard = F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int")
-    block = F.pmod(F.xxhash64("rep", F.lit(5)), F.lit(blocks)).cast("int")
-    data = rows.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), shard.alias("shard"), "width", "rep", "n", "unit")
-    asked = rows.select(block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "width", "rep", "n", "unit")
-
-    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _LINK.empty_table()
-        ids, counts, x = _units(left)
-        asks, _, q = _units(right)
-        order = np.argsort(ids)
-        ids, counts, x = ids[order], counts[order], x[order]
-        graph = Graph(x)
-        within = search(graph, least)
-        out = []
-        for lo in range(0, len(q), 4096):
-            a, b = within(q[lo : lo + 4096])
-            good = np.zeros(len(a), bool)
-            for k in range(0, len(a), 1 << 16):
-                s = slice(k, k + (1 << 16))
-                good[s] = np.einsum("nd,nd->n", q[lo : lo + 4096][a[s]], x[b[s]]) >= least
-            a, b = a[good], b[good]
-            other = asks[lo + a] != ids[b]
-            out.append((asks[lo + a[other]], ids[b[other]], counts[b[other]]))
-        return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=_LINK)
-
-    found = asked.groupBy("shard", "block", "width").cogroup(data.groupBy("shard", "block", "width"))
-    return found.applyInArrow(lambda key, q, d: run(key, d, q), "a long, b long, n_b long")
-
-
-def near_duplicates(vectors: DataFrame, least: float = COSINE, **options) -> DataFrame:
+    rows = reps.select(shard.alias("shard"), F.size("unit").alias("width"), "rep", "n", "unit")
+
+    def build(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("rep")
+        unit = _units(table)
+        graph, n = Graph(unit), len(unit)
+        label = clusters(graph, unit, least)
+        beam, recall = audited_beam(graph, label, least)
+        lowest, upper = graph.stored()
+        ints = lambda v: pa.array(np.resize(v, n), pa.int32())
+        made = [ints(key[0].as_py()), ints(key[1].as_py()), ints(np.arange(n)), table.column("rep"), table.column("n"), table.column("unit"), pa.array(lowest, pa.binary()), pa.array(upper, pa.binary()), ints(label), ints(beam), pa.array(np.full(n, recall))]
+        return pa.table(made, names=[c.split()[0] for c in _GRAPH.split(", ")])
+
+    return rows.groupBy("shard", "width").applyInArrow(build, _GRAPH)
+
+
+def audits(graphs: DataFrame) -> DataFrame:
+    """Per shard and vector length: vectors, beam, recall of the audit, and whether it is searched by brute force instead."""
+    return graphs.groupBy("shard", "width").agg(F.count("*").alias("vectors"), F.first("beam").alias("beam"), F.first("recall").alias("recall")).withColumn("exact", F.col("recall") < AUDIT_RECALL)
+
+
+class Shard:
+    """A shard's graph as its rows hold it."""
+
+    def __init__(self, table: pa.Table):
+        table = table.sort_by("at")
+        self.rep, self.n, self.unit = table.column("rep").to_numpy(), table.column("n").to_numpy(), _units(table)
+        self.label = table.column("cluster").to_numpy().astype(np.int64)
+        self.beam, self.recall = table.column("beam")[0].as_py(), table.column("recall")[0].as_py()
+        self.graph = Graph.restored(self.unit, table.column("lowest").to_pylist(), table.column("upper").to_pylist())
+        self.count = np.zeros(len(self.rep), np.int64)
+        #: points by cluster, and where each cluster's begin
+        self.members = np.argsort(self.label, kind="stable")
+        self.begin = np.searchsorted(self.label[self.members], np.arange(len(self.rep) + 1))
+
+    def met(self, other: Shard, least: float) -> np.ndarray:
+        """Own clusters times the size of other plus the clusters of other that own vectors meet there."""
+        if other.recall < AUDIT_RECALL:
+            a, b = all_near(other.graph.x, self.unit, least)
+        else:
+            a, b = other.graph.near(self.unit, least, other.beam)
+        return np.unique(self.label[a] * len(other.rep) + other.label[b])
+
+
+def compared(left: Shard, right: Shard, same: bool, least: float) -> list[tuple[int, int]]:
+    """Count the links between two shards, or in one, on both sides; one link of each pair of clusters that has any."""
+    size = len(right.rep)
+    codes = left.met(right, least)
+    if same:
+        c, d = codes // size, codes % size
+        own = np.unique(left.label)
+        codes = np.unique(np.concatenate([np.minimum(c, d) * size + np.maximum(c, d), own * size + own]))
+    else:
+        back = right.met(left, least)
+        codes = np.union1d(codes, back % len(left.rep) * size + back // len(left.rep))
+    c, d = codes // size, codes % size
+    n_c, n_d = left.begin[c + 1] - left.begin[c], right.begin[d + 1] - right.begin[d]
+    links: list[tuple[int, int]] = []
+    # small products as rows of pairs, many at a time
+    small = np.flatnonzero(n_c * n_d <= 1024)
+    group = np.cumsum((n_c * n_d)[small]) // (1 << 15)
+    for k in np.split(small, np.flatnonzero(np.diff(group)) + 1) if len(small) else []:
+        pairs = (n_c * n_d)[k]
+        of = np.repeat(np.arange(len(k)), pairs)
+        turn = np.arange(len(of)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+        a, b = left.members[left.begin[c[k]][of] + turn // n_d[k][of]], right.members[right.begin[d[k]][of] + turn % n_d[k][of]]
+        good = np.einsum("nd,nd->n", left.unit[a], right.unit[b]) >= least
+        if same:
+            good &= (a != b) & ((c[k] != d[k])[of] | (a < b))
+        a, b, of = a[good], b[good], of[good]
+        np.add.at(left.count, a, right.n[b])
+        np.add.at(right.count, b, left.n[a])
+        _, first = np.unique(of, return_index=True)
+        links += zip(left.rep[a[first]].tolist(), right.rep[b[first]].tolist(), strict=True)
+    for k in np.flatnonzero(n_c * n_d > 1024):
+        a, b = left.members[left.begin[c[k]] : left.begin[c[k] + 1]], right.members[right.begin[d[k]] : right.begin[d[k] + 1]]
+        link = None
+        for lo in range(0, len(a), 256):
+            part = a[lo : lo + 256]
+            good = left.unit[part] @ right.unit[b].T >= least
+            if same and c[k] == d[k]:
+                good[part[:, None] >= b[None]] = False
+            left.count[part] += good @ right.n[b]
+            right.count[b] += left.n[part] @ good
+            if link is None and good.any():
+                i, j = np.argwhere(good)[0]
+                link = (int(left.rep[part[i]]), int(right.rep[b[j]]))
+        links += [link] if link else []
+    if same:
+        # a cluster hangs together by verified links
+        far = np.flatnonzero(left.label != np.arange(len(left.rep)))
+        links += zip(left.rep[far].tolist(), left.rep[left.label[far]].tolist(), strict=True)
+    return links
+
+
+def links(graphs: DataFrame, shards: int, least: float = COSINE) -> DataFrame:
+    """Counts of links (a, null, n) and links that join clusters (a, b, null), by pairs of shards.
+
+    Each pair of shards is one task: what a task holds is two shards.
+    """
+    pairs = F.sequence(F.lit(0), F.lit(shards - 1))
+    rows = graphs.withColumn("other", F.explode(pairs)).withColumns({"i": F.least("shard", "other"), "j": F.greatest("shard", "other")})
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        i, j = key[0].as_py(), key[1].as_py()
+        sides = [table.filter(pa.compute.equal(table.column("shard"), s)) for s in ((i,) if i == j else (i, j))]
+        if not all(s.num_rows for s in sides):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+        held = [Shard(s) for s in sides]
+        del table, sides
+        found = compared(held[0], held[-1], i == j, least)
+        some = [(s.rep[s.count > 0], s.count[s.count > 0]) for s in held]
+        a = np.concatenate([*(r for r, _ in some), np.array([x[0] for x in found], np.int64)])
+        n = pa.array([*np.concatenate([c for _, c in some]).tolist(), *[None] * len(found)], pa.int64())
+        b = pa.array([*[None] * (len(a) - len(found)), *(x[1] for x in found)], pa.int64())
+        return pa.table({"a": pa.array(a), "b": b, "n": n})
+
+    return rows.groupBy("i", "j", "width").applyInArrow(run, _FOUND)
+
+
+def near_duplicates(vectors: DataFrame, least: float = COSINE, shard_rows: int = SHARD_ROWS, least_shards: int = LEAST_SHARDS) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector."""
     rows, reps = prepared(vectors)
-    pairs = materialise(links(reps, least, **options), "hnsw-links")
-    # a pair that only one side found counts for both
-    size = reps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"))
-    one_way = pairs.select("a", "b").join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    back = one_way.select(F.col("b").alias("a"), F.col("a").alias("b")).join(size, "b").select("a", "b", "n_b")
-    n_links = pairs.unionByName(back).groupBy(F.col("a").alias("rep")).agg(F.sum("n_b").alias("others"))
-    parts = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("vertex", "rep")
+    shards = max(least_shards, -(-reps.count() // shard_rows))
+    graphs = materialise(shard_graphs(reps, least, shards), "hnsw-graphs")
+    found = materialise(links(graphs, shards, least), "hnsw-found")
+    n_links = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
+    parts = components(found.where("b IS NOT NULL").select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("vertex", "rep")
     classes = reps.select("mark", "rep", "n").join(n_links, "rep", "left").join(parts, "rep", "left")
     classes = classes.select("mark", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    done = rows.join(classes, "mark", "left")
-    component = F.coalesce("component_id", "vec_id")
-    return done.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    usable, alone = rows.where("mark IS NOT NULL"), rows.where("mark IS NULL").select("vec_id", F.lit(None).cast("binary").alias("mark"), F.lit(0).alias("n_links"), F.col("vec_id").alias("component_id"))
+    done = usable.join(classes, "mark").select("vec_id", "mark", "n_links", "component_id").unionByName(alone)
+    return done.select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def op4_embedding_dedup(spark, sf_dir: str) -> DataFrame:

@@ -6,17 +6,21 @@ Poisson process over ranks; a dart counts if its height is under the weight.
 Of the darts that aim at one coordinate the earliest is the signature there,
 so two texts agree in a coordinate with their weighted Jaccard similarity.
 
-Exact copies are one representative first. Representatives that share a band
-of coordinates are compared in rounds: all members of a bucket with its
-smallest, then members of different components with each other, small buckets
-as pairs and large ones in blocks inside tasks. No bucket is left with a pair
-that is neither joined nor compared. Links are verified on the full multisets.
+Each distinct text is one vertex, whatever its copies and ids. Vertices that
+share a band of coordinates are compared in rounds: all members of a bucket
+with its smallest, then the members outside the bucket's largest component with
+all others, small buckets as pairs and large ones in blocks inside tasks. No
+bucket is left with a pair that is neither joined nor compared. Links are
+verified on the full multisets. Texts of any length are read whole.
 
 Defined results: a row with a null text or id is a class of its own and kept;
 equal texts are copies, empty ones too; a text of fewer than five words is one
-shingle of all its words; different texts under one id share its class; the
-kept row of a class has the smallest doc_id; repeated rows appear repeatedly
-here, and once after :func:`deduplicate`; an empty table gives no rows.
+shingle of all its words; different texts under one id are decided one by one,
+so one may stay and the other go; class_id is the smallest doc_id of a class and
+the row kept is of that id (of several such texts the first by digest); repeated
+rows appear repeatedly here, and once after :func:`deduplicate`; an empty table
+gives no rows; further columns, whatever their names, pass through
+:func:`deduplicate` unchanged.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.graph import components
-from weftline.llm.scratch import by_ids, materialise
+from weftline.llm.scratch import BROADCAST_IDS, by_ids, fresh, materialise
 from weftline.llm.textbytes import U64, Words, arrays, batches, mix
 
 SHINGLE = 5
@@ -40,6 +44,8 @@ SIMILARITY = 0.8
 SLACK = 6
 #: Members up to which a bucket's pairs are rows; larger ones are compared in blocks.
 SMALL_BUCKET, BLOCK = 8, 512
+#: Documents and bytes of a slice, as darts take memory per document too.
+SLICE_DOCS, SLICE_BYTES = 1024, 1 << 19
 _SALTS = mix(np.arange(1, 64, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
 
 
@@ -128,7 +134,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
     k = bands * rows
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in batches(stream, "text"):
+        for batch, data, offsets in batches(stream, "text", SLICE_BYTES, SLICE_DOCS):
             n = batch.num_rows
             ids, doc, count = weighted(*shingles(data, offsets))
             sign = dart_signatures(ids, doc, count, n, k).reshape(n, bands, rows)
@@ -149,7 +155,7 @@ def multisets(docs: DataFrame) -> DataFrame:
     """rep and the shingle multiset as distinct hashes: occurrence i of a shingle is its own element."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in batches(stream, "text"):
+        for batch, data, offsets in batches(stream, "text", SLICE_BYTES, SLICE_DOCS):
             ids, doc, count = weighted(*shingles(data, offsets))
             every = np.repeat(ids, count)
             turn = np.arange(len(every)) - np.repeat(np.cumsum(count) - count, count)
@@ -212,31 +218,25 @@ def small_pairs(mixed: DataFrame, tested: DataFrame, least: float) -> DataFrame:
     return pairs.join(tested, ["a", "b"], "left_anti")
 
 
-def joining_links(members: list[np.ndarray], component: np.ndarray, cut: int, least: float) -> list[tuple[int, int]]:
-    """Pairs of similar multisets that join different components, a forest of them.
-
-    With ``cut`` above 0 only pairs across it are compared: the rest are another block's.
-    """
-    n = len(members)
+def joining_links(left: list[np.ndarray], right: list[np.ndarray], c_left: np.ndarray, c_right: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Pairs of similar multisets, one of either side, that join different components: a forest."""
+    members, n = [*left, *right], len(left)
     size = np.array([len(m) for m in members])
-    every, owner = np.concatenate(members), np.repeat(np.arange(n), size)
+    every, owner = np.concatenate(members), np.repeat(np.arange(len(members)), size)
     order = np.argsort(every, kind="stable")
     every, owner = every[order], owner[order]
     number = np.cumsum(np.append(True, every[1:] != every[:-1])) - 1
     often = np.bincount(number) > 1  # what one text has alone is in no intersection
     column = np.cumsum(often) - 1
     owner, number = owner[often[number]], column[number[often[number]]]
-    common = np.zeros((n, n), np.float32)
+    common = np.zeros((n, len(right)), np.float32)
     at = np.searchsorted(number, np.arange(0, int(often.sum()) + 4096, 4096))
     for k, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)):
-        part = np.zeros((n, 4096), np.float32)
+        part = np.zeros((len(members), 4096), np.float32)
         part[owner[lo:hi], number[lo:hi] - 4096 * k] = 1
-        common += part @ part.T
-    similar = (common >= least * (size[:, None] + size[None] - common)) & (component[:, None] != component[None])
-    similar &= np.triu(np.ones((n, n), bool), 1)
-    if cut:
-        similar[:cut, :cut] = similar[cut:, cut:] = False
-    label = {c: c for c in component.tolist()}
+        common += part[:n] @ part[n:].T
+    similar = (common >= least * (size[:n, None] + size[None, n:] - common)) & (c_left[:, None] != c_right[None])
+    label = {c: c for c in [*c_left.tolist(), *c_right.tolist()]}
 
     def root(c: int) -> int:
         while label[c] != c:
@@ -245,73 +245,98 @@ def joining_links(members: list[np.ndarray], component: np.ndarray, cut: int, le
 
     out = []
     for i, j in zip(*(x.tolist() for x in np.nonzero(similar)), strict=True):
-        a, b = root(int(component[i])), root(int(component[j]))
+        a, b = root(int(c_left[i])), root(int(c_right[j]))
         if a != b:
             label[max(a, b)] = min(a, b)
             out.append((i, j))
     return out
 
 
+def block_rows(mixed: DataFrame) -> DataFrame:
+    """key, i, j, side, rep, component: what meets in block i, j of a larger bucket.
+
+    Strays, the members outside the bucket's largest component, lie in blocks
+    from 0, the members of that component in the blocks after them. Blocks of
+    strays meet all blocks, so rows grow with strays times members, not with
+    the square of the members.
+    """
+    rows = mixed.where(F.col("n") > SMALL_BUCKET)
+    sizes = rows.groupBy("key", "component").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.max("size").alias("n_main"))
+    rows = rows.join(largest, "key").withColumn("stray", F.col("component") != F.col("main"))
+    blocks = lambda n: F.greatest(F.ceil(n / BLOCK).cast("int"), F.lit(1))
+    rows = rows.withColumns({"strays": blocks(F.col("n") - F.col("n_main")), "mains": blocks(F.col("n_main"))})
+    dealt = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    rows = rows.withColumn("own", F.when(F.col("stray"), dealt(F.col("strays"))).otherwise(F.col("strays") + dealt(F.col("mains"))))
+    others = F.when(F.col("stray"), F.sequence(F.lit(0), F.col("strays") + F.col("mains") - 1)).otherwise(F.sequence(F.lit(0), F.col("strays") - 1))
+    rows = rows.select("key", "rep", "component", "own", F.explode(others).alias("other"))
+    return rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "component")
+
+
 def large_links(mixed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Links across components in larger buckets, compared in blocks against blocks.
 
     A task holds two blocks of at most BLOCK multisets on average, and gives a
     forest of links, not all pairs.
     """
-    rows = mixed.where(F.col("n") > SMALL_BUCKET).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.select("key", "rep", "component", "own", other.alias("other"))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "component")
-    rows = rows.join(sets, "rep").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own", "rep")
+    rows = block_rows(mixed).join(sets, "rep").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "rep")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         key = None
 
         def solve() -> list[tuple[int, int]]:
-            own = np.array([h[0] for h in held])
-            cut = int((own == own[0]).sum()) if own[0] != own[-1] else 0
-            found = joining_links([h[3] for h in held], np.array([h[2] for h in held]), cut, least)
-            return [(held[i][1], held[j][1]) for i, j in found]
+            sides = [[h for h in held if h[0] == s] for s in ((0, 0) if key[1] == key[2] else (0, 1))]
+            if not all(sides):
+                return []
+            found = joining_links(*([h[3] for h in s] for s in sides), *(np.array([h[2] for h in s]) for s in sides), least)
+            return [(sides[0][i][1], sides[1][j][1]) for i, j in found]
 
         out: list[tuple[int, int]] = []
         for batch in stream:
+            if not batch.num_rows:
+                continue
             flat, at = batch.column("members").flatten().to_numpy(), np.asarray(batch.column("members").offsets)
             at = at - at[0]
             keys = zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j")), strict=True)
-            rest = zip(*(batch.column(c).to_pylist() for c in ("own", "rep", "component")), strict=True)
+            rest = zip(*(batch.column(c).to_pylist() for c in ("side", "rep", "component")), strict=True)
             for r, (k, x) in enumerate(zip(keys, rest, strict=True)):
                 if k != key:
-                    if len(held) > 1:
+                    if held:
                         out += solve()
                     held, key = [], k
-                held.append((*x, flat[at[r] : at[r + 1]]))
-        if len(held) > 1:
+                held.append((*x, flat[at[r] : at[r + 1]].copy()))
+        if held:
             out += solve()
         yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return rows.select("key", "i", "j", "own", "rep", "component", "members").mapInArrow(run, "a long, b long").distinct()
+    return rows.select("key", "i", "j", "side", "rep", "component", "members").mapInArrow(run, "a long, b long").distinct()
 
 
-def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Of texts with ids: id and representative, and the components of verified links.
+def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """doc_id and digest of all rows; the distinct texts as rep, digest and smallest doc_id; the components of verified links.
 
     docs: doc_id, digest, text. The first round compares every bucket's smallest
     member with the others; the second compares, inside buckets, what then lies
     in different components. So each pair in a bucket is joined or compared.
     """
     rows = materialise(signatures(docs), "mh-rows")
-    copies = materialise(rows.groupBy("digest").agg(F.min("doc_id").alias("rep")), "mh-copies")
-    ids = rows.select("doc_id", "digest").join(copies, "digest").select("doc_id", "rep")
-    reps = rows.join(copies.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("rep"))).select("rep", "weight", "marks", "bands")
+    copies = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    copies = materialise(copies.select(F.monotonically_increasing_id().alias("rep"), "digest", "doc_id"), "mh-copies")
+    # one row of each text carries its signature: that of the smallest id
+    reps = rows.join(copies, ["digest", "doc_id"]).select("rep", "weight", "marks", "bands")
     reps = materialise(reps.dropDuplicates(["rep"]), "mh-reps")
     keys = reps.select("rep", "weight", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = materialise(keys.join(shared, "key"), "mh-buckets")
     marks = materialise(reps.select("rep", "marks").join(buckets.select("rep").distinct(), "rep", "left_semi"), "mh-marks")
-    texts = docs.select(F.col("doc_id").alias("rep"), "text")
-    sets = lambda ids: materialise(multisets(by_ids(texts, ids.distinct(), "rep", "left_semi")).dropDuplicates(["rep"]), "mh-sets")
+
+    def sets(ids: DataFrame) -> DataFrame:
+        wanted = materialise(copies.join(ids.distinct(), "rep", "left_semi").select(F.col("doc_id").alias("w_id"), F.col("digest").alias("w_digest"), "rep"), "mh-wanted")
+        held = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+        texts = docs.join(held, (F.col("doc_id") == F.col("w_id")) & (F.col("digest") == F.col("w_digest"))).select("rep", "text")
+        return materialise(multisets(texts).dropDuplicates(["rep"]), "mh-sets")
+
     both = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("rep"))
     edges = lambda pairs: pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
     tested = materialise(star_pairs(buckets, least), "mh-pairs")
@@ -324,17 +349,26 @@ def links(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFr
     if not more.isEmpty():
         # what is joined already enters as one link per member
         classes = components(classes.select(F.col("vertex").alias("u"), F.col("component").alias("v")).unionByName(edges(more)))
-    return ids, classes
+    return rows.select("doc_id", "digest"), copies, classes
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id and kept of every row of docs; class_id is the smallest doc_id of the class."""
+def decided(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """doc_id, digest, class_id and kept of every row; the digest is null where id or text is."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     whole = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
-    ids, classes = links(rows.where(whole).withColumn("digest", F.unhex(F.sha2("text", 256))), least)
-    found = ids.join(classes.withColumnRenamed("vertex", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("class_id"))
-    found = found.unionByName(rows.where(~whole).select("doc_id", F.col("doc_id").alias("class_id")))
-    return found.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
+    rows = rows.withColumn("digest", F.when(whole, F.unhex(F.sha2("text", 256))))
+    ids, copies, classes = links(rows.where(whole), least)
+    owned = copies.join(classes.withColumnRenamed("vertex", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    owned = materialise(owned, "mh-owned")
+    first = owned.groupBy("component").agg(F.min(F.struct("doc_id", "digest")).alias("first"))
+    owned = owned.join(first, "component").select("digest", F.col("first.doc_id").alias("class_id"), (F.col("first.digest") == F.col("digest")).alias("leads"))
+    found = ids.join(owned, "digest").select("doc_id", "digest", "class_id", (F.col("leads") & (F.col("doc_id") == F.col("class_id"))).alias("kept"))
+    return found.unionByName(rows.where(~whole).select("doc_id", "digest", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept")))
+
+
+def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id and kept of every row of docs; class_id is the smallest doc_id of the class."""
+    return decided(docs, least).select("doc_id", "class_id", "kept")
 
 
 def deduplicate(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -342,15 +376,18 @@ def deduplicate(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
     Of rows that repeat both id and text one stays.
     """
-    decided = materialise(near_duplicates(docs, least), "mh-decided")
-    gone = decided.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = by_ids(docs, gone, "doc_id", "left_anti")
-    repeated = decided.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__again")).count().where("count > 1").select("__again")
+    found = materialise(decided(docs, least).where("digest IS NOT NULL"), "mh-decided")
+    of_id, of_text = fresh("__gone", *docs.columns), fresh("__digest", *docs.columns)
+    gone = found.where("NOT kept").select(F.col("doc_id").alias(of_id), F.col("digest").alias(of_text)).distinct()
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    mine = (F.col("doc_id").cast("long") == F.col(of_id)) & (F.unhex(F.sha2(F.col("text").cast("string"), 256)) == F.col(of_text))
+    kept = docs.join(gone, mine, "left_anti")
+    repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
-    again = kept.join(repeated, kept["doc_id"] == F.col("__again"), "left_semi")
-    once = kept.join(repeated, kept["doc_id"] == F.col("__again"), "left_anti")
-    return once.unionByName(again.dropDuplicates(["doc_id", "text"]))
+    again = by_ids(kept, repeated, "doc_id", "left_semi")
+    return by_ids(kept, repeated, "doc_id", "left_anti").unionByName(again.dropDuplicates(["doc_id", "text"]))
 
 
 def op2_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
         return found.rstrip("/")
     master = spark.sparkContext.master
     if not (master == "local" or master.startswith("local[")):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="weftline-")
@@ -58,12 +58,19 @@ def purge(spark: SparkSession) -> None:
 BROADCAST_IDS = 2_000_000
 
 
+def fresh(name: str, *taken: str) -> str:
+    """``name``, or the first of name_1, name_2, ... that is no column of the tables."""
+    used = {t.lower() for t in taken}
+    return next(n for n in (name, *(f"{name}_{i}" for i in range(1, len(used) + 2))) if n.lower() not in used)
+
+
 def by_ids(rows: DataFrame, ids: DataFrame, column: str, how: str) -> DataFrame:
     """Semi or anti join of rows on a table of distinct ids in one column.
 
     Counted first: few ids are broadcast, so that wide rows needn't be shuffled.
     """
-    wanted = ids.toDF("__id")
+    key = fresh("__id", *rows.columns)
+    wanted = ids.toDF(key)
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    return rows.join(wanted, rows[column] == F.col("__id"), how)
+    return rows.join(wanted, F.col(column) == F.col(key), how)

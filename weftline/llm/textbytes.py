@@ -58,13 +58,14 @@ def arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of documents of at most ``limit`` bytes together, or of one document."""
+def slices(offsets: np.ndarray, limit: int = SLICE_BYTES, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``most`` documents and ``limit`` bytes together, or of one document."""
     n, lo = len(offsets) - 1, 0
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
-        yield lo, min(hi, n)
-        lo = min(hi, n)
+        hi = min(hi, n, lo + (most or n))
+        yield lo, hi
+        lo = hi
 
 
 def fold(data: np.ndarray) -> np.ndarray:
@@ -127,11 +128,11 @@ def run_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, inverse
 
 
-def batches(stream: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def batches(stream: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES, most: int | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the incoming batches with the bytes and offsets of their texts."""
     for batch in stream:
         if not batch.num_rows:
             continue
         data, offsets = arrays(batch.column(batch.schema.get_field_index(text)))
-        for lo, hi in slices(offsets, limit):
+        for lo, hi in slices(offsets, limit, most):
             yield batch.slice(lo, hi - lo), data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
