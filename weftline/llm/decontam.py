@@ -18,9 +18,18 @@ that holds all words of the passage in order.
 The benchmark goes through in blocks of a fixed number of passages, each a
 search against all documents, so what a worker holds is bounded.
 
-Defined results: a null or empty text matches nothing; benchmark rows with a
-null or empty text or fewer than MIN_WORDS words match nothing; repeated items
-match each by themselves; repeated documents give one row per id and item.
+Items of fewer than MIN_WORDS words are found by their words alone: word for word
+anywhere if one of them is rare in the corpus, else only as a whole document.
+
+Rows are decided one by one, so ids, null or repeated, don't matter to
+:func:`decontaminate`. Texts of any length are searched whole.
+
+Defined results: a null or empty text matches nothing; benchmark rows with a null
+or wordless text match nothing; items with a null id match like others, under a
+null item_id; repeated items match each by themselves; rows of documents with
+the same id, null included, give one row per id and item; an empty corpus or
+benchmark gives no rows and removes none; further columns pass through
+:func:`decontaminate` unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.scratch import by_ids, materialise
+from weftline.llm.scratch import materialise
 from weftline.llm.textbytes import U64, Words, batches, fold, mix, run_sums
 
 TERM_BITS = 17
@@ -97,11 +106,11 @@ def passages(benchmark: DataFrame, idf: np.ndarray) -> DataFrame:
             out = []
             for i, (item, own) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 words = ids[first[i] : first[i + 1]].astype(np.int64)
-                if len(words) < MIN_WORDS:
+                if not len(words):
                     continue
                 raw = np.frombuffer((own or "").encode(), np.uint8)
                 said = terms(raw, np.array([0, len(raw)]))[0].astype(np.int64).tolist()
-                n = -(-len(words) // PASSAGE)
+                n = -(-len(words) // PASSAGE)  # every part of a longer one has half of PASSAGE at least
                 for part, piece in enumerate(np.array_split(words, n)):
                     out.append((item, part, piece.tolist(), said))
             if out:
@@ -209,6 +218,9 @@ class Searcher:
 
     def __init__(self, rows: list, idf: np.ndarray, frequent: float, term: np.ndarray, space: np.ndarray):
         self.idf, self.frequent = idf, frequent
+        short = [r for r in rows if len(r[1]) < MIN_WORDS]
+        rows = [r for r in rows if len(r[1]) >= MIN_WORDS]
+        self.short = self.short_items(short)
         self.index = np.full(TERMS, -1, np.int32)
         self.index[term] = np.arange(len(term))
         self.space = space * idf[term][:, None]  # a term's contribution to a window
@@ -223,6 +235,9 @@ class Searcher:
             rare = sorted(set(words.tolist()), key=lambda x: (-idf[x >> (64 - TERM_BITS)], x))[:8]
             said = [int(np.int64(x).view(np.uint64)) for x in answer]
             self.passages.append(Passage(item, words, t, idf[t] / idf[t].sum(), content, every, said or rare, bool(said)))
+        #: rare terms of passages; without two of them near it no window is confirmed, but for passages of common words
+        self.rare = (self.index >= 0) & (idf > frequent)
+        self.prune = not any(p.every for p in self.passages)
         self.ease = np.sqrt(np.minimum([len(p.words) / SHORT for p in self.passages], 1)).astype(np.float32)
         texts: dict[bytes, list] = {}
         for k, p in enumerate(self.passages):
@@ -253,6 +268,49 @@ class Searcher:
         kept = self.rare_words(words)
         return (kept if len(kept) >= 3 else words).tolist()
 
+    def short_items(self, rows: list) -> list[tuple[int, dict[int, list], dict[int, list]]]:
+        """Per number of words the items by the hash of their words: those with a rare word, and the others."""
+        out = []
+        for n in sorted({len(r[1]) for r in rows}):
+            found: tuple[dict, dict] = ({}, {})
+            for item, words, _ in rows:
+                if len(words) == n:
+                    words = np.asarray(words, np.int64).view(np.uint64)
+                    key = int(run_hashes(*run_sums(words), np.zeros(1, np.int64), n)[0])
+                    found[not len(self.rare_words(words))].setdefault(key, []).append(item)
+            out.append((n, *found))
+        return out
+
+    def short_matches(self, ids: np.ndarray, first: np.ndarray) -> list[tuple[int, int | None]]:
+        """Document and item of every short item that a document holds."""
+        found: set = set()
+        sums, inverse = run_sums(ids) if self.short else (None, None)
+        doc = np.repeat(np.arange(len(first) - 1), np.diff(first)) if self.short else None
+        for n, anywhere, whole in self.short:
+            for held, at in ((anywhere, np.flatnonzero(np.arange(len(ids)) + n <= first[doc + 1])), (whole, first[:-1][np.diff(first) == n])):
+                if held and len(at):
+                    key = run_hashes(sums, inverse, at, n)
+                    for k in np.flatnonzero(np.isin(key, np.array(list(held), U64))):
+                        found |= {(int(doc[at[k]]), item) for item in held[int(key[k])]}
+        return list(found)
+
+    def found(self, ids: np.ndarray, term: np.ndarray, first: np.ndarray, cosine: float, mass: float, common: float) -> list[tuple[int, int | None, float, float]]:
+        """Document, item, cosine and share of every match in a slice of documents."""
+        out = [(d, self.passages[k].item, 1.0, 1.0) for d, k in self.verbatim(ids, first)]
+        out += [(d, item, 1.0, 1.0) for d, item in self.short_matches(ids, first)]
+        begin, end, passage, near = self.candidates(term, first, cosine)
+        doc = np.searchsorted(first, begin, "right") - 1
+        last, present = None, set()
+        for k in range(len(begin)):
+            p, d = self.passages[passage[k]], doc[k]
+            lo, hi = max(begin[k] - len(p.words), first[d]), min(end[k] + len(p.words), first[d + 1])
+            if (lo, hi) != last:
+                last, present = (lo, hi), set(term[lo:hi].tolist())
+            share = self.confirm(p, ids[lo:hi], present, mass, common)
+            if share is not None:
+                out.append((int(d), p.item, float(near[k]), float(share)))
+        return out
+
     def verbatim(self, ids: np.ndarray, first: np.ndarray) -> list[tuple[int, int]]:
         """Document and passage of every passage that a document holds word for word."""
         if len(ids) < MIN_WORDS or not len(self.heads):
@@ -291,6 +349,20 @@ class Searcher:
             return none
         row = self.index[term]
         known = np.flatnonzero(row >= 0)
+        paired = np.append(doc[1:] == doc[:-1], False)
+        if self.prune:
+            # what confirm() looks at reaches PASSAGE words beyond a window
+            rare = np.add.reduceat(self.rare[term].astype(np.int32), start)
+            total = np.concatenate([[0], np.cumsum(rare)])
+            reach = PASSAGE // BLOCK
+            lo = np.maximum(np.arange(len(start)) - reach, np.searchsorted(doc, doc))
+            hi = np.minimum(np.arange(len(start)) + 2 + reach, np.searchsorted(doc, doc, "right"))
+            wanted = total[hi] - total[lo] >= 2
+            used = wanted.copy()
+            used[1:] |= wanted[:-1] & paired[:-1]
+            known = known[used[np.searchsorted(start, known, "right") - 1]]
+        else:
+            wanted = np.ones(len(start), bool)
         sums = np.zeros((len(start), self.space.shape[1]), np.float32)
         at = np.searchsorted(known, start)
         # a term counts once in a block
@@ -306,9 +378,9 @@ class Searcher:
                 end = at[lo + 512] if lo + 512 < len(start) else len(rows)
                 sums[some] = np.add.reduceat(self.space[rows[at[some[0]] : end]], at[some] - at[some[0]], axis=0)
         more = np.zeros_like(sums)
-        paired = np.append(doc[1:] == doc[:-1], False)
         more[:-1][paired[:-1]] = sums[1:][paired[:-1]]
-        windows = sums + more
+        windows = (sums + more)[wanted]
+        start, doc = start[wanted], doc[wanted]
         norm = np.maximum(np.linalg.norm(windows, axis=1), 1e-6)
         found = []
         for lo in range(0, self.latent.shape[1], 1024):
@@ -334,36 +406,31 @@ class Searcher:
         return share if common_subsequence(p.words.tolist(), words.tolist()) == len(p.words) else None
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, mass: float = MASS, common: float = COMMON) -> DataFrame:
-    """doc_id, item_id, cosine and lcs_share of every document that holds a benchmark passage."""
+def searches(docs: DataFrame, benchmark: DataFrame):
+    """Per block of passages what a worker searches with, as a broadcast of bounded size."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    frequencies, n_docs = document_frequencies(rows)
+    frequencies, n_docs = document_frequencies(docs.select(F.col("text").cast("string").alias("text")))
     idf = idf_weights(frequencies, n_docs)
     frequent = float(np.log((n_docs + 1) / (FREQUENT * n_docs + 1)) + 0.05)
     parts = materialise(passages(benchmark, idf), "lsa-passages")
-    term, space = latent_space(parts, idf)
+    term, space = latent_space(parts.where(F.size("words") >= MIN_WORDS), idf)
     n_blocks = max(1, -(-parts.count() // SEARCH_PASSAGES))
-    found = None
     for block in range(n_blocks):
-        own = parts.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(n_blocks)) == block).select("item_id", "words", "answer").collect()
-        held = spark.sparkContext.broadcast((sorted((r.item_id, r.words, r.answer) for r in own if r.item_id is not None), idf, frequent, term, space))
+        own = parts.where(F.pmod(F.xxhash64("item_id", "part", "words"), F.lit(n_blocks)) == block).select("item_id", "words", "answer").collect()
+        rows = sorted(((r.item_id, r.words, r.answer) for r in own), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+        yield spark.sparkContext.broadcast((rows, idf, frequent, term, space))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, mass: float = MASS, common: float = COMMON) -> DataFrame:
+    """doc_id, item_id, cosine and lcs_share of every document that holds a benchmark passage."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+    found = None
+    for held in searches(docs, benchmark):
 
         def run(stream: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             search = Searcher(*held.value)
             for batch, data, offsets in batches(stream, "text", 1 << 19):
-                ids, term, first = terms(data, offsets)
-                begin, end, passage, near = search.candidates(term, first, cosine)
-                doc = np.searchsorted(first, begin, "right") - 1
-                out, last, present = [(d, search.passages[k].item, 1.0, 1.0) for d, k in search.verbatim(ids, first)], None, set()
-                for k in range(len(begin)):
-                    p, d = search.passages[passage[k]], doc[k]
-                    lo, hi = max(begin[k] - len(p.words), first[d]), min(end[k] + len(p.words), first[d + 1])
-                    if (lo, hi) != last:
-                        last, present = (lo, hi), set(term[lo:hi].tolist())
-                    share = search.confirm(p, ids[lo:hi], present, mass, common)
-                    if share is not None:
-                        out.append((int(d), p.item, float(near[k]), float(share)))
+                out = search.found(*terms(data, offsets), cosine, mass, common)
                 if out:
                     names = batch.column(0).to_pylist()
                     yield pa.RecordBatch.from_arrays([pa.array([names[o[0]] for o in out], pa.int64()), *(pa.array([o[k] for o in out], t) for k, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.float64())))], names=["doc_id", "item_id", "cosine", "lcs_share"])
@@ -373,10 +440,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, mass: f
     return found.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max("lcs_share").alias("lcs_share"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **bounds) -> DataFrame:
-    """The rows of docs whose id is in no leak."""
-    gone = materialise(leaks(docs, benchmark, **bounds).select("doc_id").distinct(), "lsa-leaks")
-    return by_ids(docs, gone, "doc_id", "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, mass: float = MASS, common: float = COMMON) -> DataFrame:
+    """The rows of docs that hold no benchmark passage; each row is judged by its own text."""
+    kept = docs
+    for held in searches(docs, benchmark):
+
+        def run(stream: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            search = Searcher(*held.value)
+            for batch, data, offsets in batches(stream, "text", 1 << 19):
+                clean = np.ones(batch.num_rows, bool)
+                clean[[o[0] for o in search.found(*terms(data, offsets), cosine, mass, common)]] = False
+                yield batch.filter(pa.array(clean))
+
+        kept = kept.mapInArrow(run, docs.schema)
+    return kept
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -8,8 +8,9 @@ Only DataFrame functions run here.
 Defined results: a null or empty text has size 0 and takes 0 words, but is
 emitted at its source's rate like the others; a null source is a source of its
 own, ordered last; rows with the same id and text share their decision; a null
-id draws from the text; a table without words has targets of 0. Columns other
-than the three read here never matter.
+id draws from the text; a table without words has targets of 0, an empty table
+gives no rows; texts of any length are counted whole. Columns other than the
+three read here never matter, but :func:`emit` replaces one named like its own.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.scratch import materialise
+from weftline.llm.scratch import fresh, materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Sources up to which their targets are broadcast; beyond, the join shuffles.
@@ -67,10 +68,11 @@ def document_sizes(docs: DataFrame) -> DataFrame:
 
 def with_targets(rows: DataFrame, targets: DataFrame) -> DataFrame:
     """Join targets to rows by source, null matching null; few sources are broadcast."""
-    targets = targets.withColumnRenamed("source", "__mix_source")
+    key = fresh("__mix_source", *rows.columns, *targets.columns)
+    targets = targets.withColumnRenamed("source", key)
     if targets.count() <= BROADCAST_SOURCES:
         targets = F.broadcast(targets)
-    return rows.join(targets, rows["source"].eqNullSafe(F.col("__mix_source")), "left").drop("__mix_source")
+    return rows.join(targets, F.col("source").eqNullSafe(F.col(key)), "left").drop(key)
 
 
 def copies(target: str = "target", words: str = "source_size", draw: Column | None = None) -> Column:
@@ -87,18 +89,19 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     return with_targets(sizes, targets).withColumn("copies", copies())
 
 
-def emit(docs: DataFrame, **options) -> DataFrame:
+def emit(docs: DataFrame, copy: str = "mix_copy", **options) -> DataFrame:
     """The mixed corpus: the rows of docs, each as often as the mix takes it.
 
-    ``mix_copy`` numbers the copies of a row from 1.
+    ``copy`` numbers the copies of a row from 1; a column of docs with that name is replaced.
     """
-    names = docs.columns
+    docs = docs.drop(copy)
     sizes = docs.select("source", n_words(F.col("text")).alias("size"))
     targets = materialise(source_targets(sizes, **options), "mix-targets")
-    targets = targets.select("source", F.col("source_size").alias("__mix_words"), F.col("target").alias("__mix_target"))
-    rows = with_targets(docs, targets)
-    n = copies("__mix_target", "__mix_words", chance(F.col("doc_id"), F.col("text"), "mix-1")).cast("int")
-    return rows.withColumn("mix_copy", F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")))).select(*names, "mix_copy")
+    words, target = fresh("__mix_words", *docs.columns), fresh("__mix_target", *docs.columns)
+    rows = with_targets(docs, targets.select("source", F.col("source_size").alias(words), F.col("target").alias(target)))
+    n = copies(target, words, chance(F.col("doc_id"), F.col("text"), "mix-1")).cast("int")
+    every = F.explode(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")))
+    return rows.withColumn(copy, every).drop(words, target)
 
 
 def op1_source_mixing(spark, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.llm.scratch import fresh
 from weftline.llm.textbytes import U64, Words, batches, mix
 
 BUCKETS = 1 << 16
@@ -158,9 +159,10 @@ def score(docs: DataFrame, model: Model, expected: str = "expected_grade", tail:
 
 def select(docs: DataFrame, ratings: DataFrame, least: float = 0.5, **options) -> DataFrame:
     """The rows of docs whose tail probability reaches ``least``; texts without words stay."""
-    scored = score(docs, train(docs, ratings, **options), "__grade", "__tail")
+    grade, tail = fresh("__grade", *docs.columns), fresh("__tail", *docs.columns)
+    scored = score(docs, train(docs, ratings, **options), grade, tail)
     wordless = F.coalesce(~F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    return scored.where((F.col("__tail") >= least) | wordless).select(*docs.columns)
+    return scored.where((F.col(tail) >= least) | wordless).drop(grade, tail)
 
 
 def op3_quality(spark, sf_dir: str) -> DataFrame:

@@ -5,9 +5,14 @@ Markov chain of random strings explains better than one of ordinary
 identifiers; both chains are counted from labelled samples. Everything is
 DataFrame functions; positions are code points, ends exclusive.
 
+A text is worked on in chunks of about CHUNK_CHARS that end where no match of
+any pattern can go on, so the work grows with the length of a text and not with
+its square. Where no such place comes a chunk is as long as it takes.
+
 Defined results: a null or empty text has no spans; spans of one kind never
-overlap, spans of different kinds may; added tokens never overlap a base span;
-rows are independent, so ties, repeated rows and further columns don't matter.
+overlap, spans of different kinds may; an added token never lies within one
+base span; an empty table gives no rows; rows are independent, so ties, repeated
+rows and further columns don't matter.
 """
 
 from __future__ import annotations
@@ -17,6 +22,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.llm.scratch import fresh
+
 #: Kinds in the order in which spans that start together are listed.
 KINDS = ("assign", "access", "hex", "random")
 _WORDS = ("password", "passwd", "secret", "token", "api_?key")
@@ -30,6 +37,10 @@ TOKEN = "[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Thousandths of a nat per transition above which a token counts as random.
 MIN_LLR = 350
+#: Code points of a chunk; it ends before a character of no pattern, or before spaces that no assignment spans.
+CHUNK_CHARS = 2000
+_CUT = r"""(?=[^A-Za-z0-9+/_.=\-"':\x20]|(?<![:=\x20])\x20+[^:=\x20]|\z)"""
+CHUNK = rf"(?s).{{1,{CHUNK_CHARS}}}{_CUT}|.+?{_CUT}"
 _FRAGMENTS = "get set user name list data file path node index value count total page item order config default version update create delete handler service client server request response session account address message number string array object model table column report status error result system module package import export public private static final main test build release window button image document section content filter search cache queue worker thread process memory buffer stream reader writer parser"
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -111,27 +122,43 @@ def log_ratio(token: Column, ratios: list[int]) -> Column:
 
 
 def model_spans(text: Column, base: Column, ratios: list[int]) -> Column:
-    """Tokens that look random and overlap no base span."""
+    """Tokens that look random and don't lie within one base span."""
 
     def judged(x: Column) -> Column:
         end = x["start"] + F.length(x["hit"])
         shape = x["hit"].rlike("[0-9]") & x["hit"].rlike("[A-Za-z]")
-        free = ~F.exists(base, lambda b: (b["start"] < end) & (b["end"] > x["start"]))
+        free = ~F.exists(base, lambda b: (b["start"] <= x["start"]) & (b["end"] >= end))
         return shape & free & (log_ratio(x["hit"], ratios) > F.lit(MIN_LLR) * (F.length(x["hit"]) - 1))
 
     return _as_spans(F.filter(located(text, TOKEN), judged), 3)
 
 
+def scanned(text: Column, ratios: list[int]) -> Column:
+    """The chunks of a text in order, each with its base spans and all spans by places in the chunk."""
+    found = lambda c: let(base_spans(c), lambda b: F.struct(c.alias("chunk"), b.alias("base"), F.array_sort(F.concat(b, model_spans(c, b, ratios))).alias("all")))
+    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(CHUNK), F.lit(0)), found)
+
+
+def whole_spans(parts: Column, name: str) -> Column:
+    """The spans of all chunks by places in the text."""
+    add = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+    lengths = F.transform(parts, lambda p: F.length(p["chunk"]))
+    blocks = lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / F.lit(256)).cast("int")), lambda b: add(F.slice(p, b * 256 + 1, F.lit(256))))
+    moved = lambda s, at: F.struct((s["start"] + at).alias("start"), s["kind"].alias("kind"), (s["end"] + at).alias("end"))
+    own = lambda sums: F.transform(parts, lambda p, i: F.when(F.size(p[name]) > 0, let(_running(sums, i), lambda at: F.transform(p[name], lambda s: moved(s, at)))).otherwise(F.array().cast(_SPAN)))
+    shifted = let(lengths, lambda p: let(F.struct(p.alias("parts"), blocks(p).alias("blocks")), lambda sums: F.flatten(own(sums))))
+    return F.when(F.exists(parts, lambda p: F.size(p[name]) > 0), shifted).otherwise(F.array().cast(_SPAN))
+
+
 def scan(docs: DataFrame, samples: DataFrame | None = None, text: str = "text", base: str = "base_spans", spans: str = "secret_spans") -> DataFrame:
     """docs with two more columns: base spans, and all spans with the models' tokens.
 
     Columns of docs with these names are replaced; give others to keep them.
     """
     ratios = train(labelled_samples(docs.sparkSession) if samples is None else samples)
-    whole = F.coalesce(F.col(text), F.lit(""))
-    found = let(base_spans(whole), lambda b: F.struct(b.alias("base"), F.array_sort(F.concat(b, model_spans(whole, b, ratios))).alias("all")))
-    rows = docs.withColumn("__secrets", found)
-    return rows.withColumn(base, F.col("__secrets.base")).withColumn(spans, F.col("__secrets.all")).drop("__secrets")
+    held = fresh("__secrets", *docs.columns, base, spans)
+    rows = docs.withColumn(held, scanned(F.col(text), ratios))
+    return rows.withColumns({base: whole_spans(F.col(held), "base"), spans: whole_spans(F.col(held), "all")}).drop(held)
 
 
 def listed(spans: Column) -> Column:
@@ -156,12 +183,15 @@ def redacted(text: Column, spans: Column, marker: str = "[SECRET]") -> Column:
 
 def redact(docs: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     """The columns of docs; secrets in text are replaced and n_chars, where present, follows."""
-    names = docs.columns
-    rows = scan(docs, samples, base="__base", spans="__spans")
-    rows = rows.withColumn("text", redacted(F.col("text"), F.col("__spans")))
-    if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return rows.select(*names)
+    ratios = train(labelled_samples(docs.sparkSession) if samples is None else samples)
+    held = fresh("__secrets", *docs.columns)
+    rows = docs.withColumn(held, scanned(F.col("text"), ratios))
+    found = F.exists(F.col(held), lambda p: F.size(p["all"]) > 0)
+    clean = F.array_join(F.transform(F.col(held), lambda p: redacted(p["chunk"], p["all"])), "")
+    new = {"text": F.when(found, clean).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(found, F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return rows.withColumns(new).drop(held)
 
 
 def op10_secret_scan(spark, sf_dir: str) -> DataFrame:
@@ -200,7 +230,7 @@ base AS (
   UNION ALL {_located_sql(1, ACCESS_LONG)}
   UNION ALL {_located_sql(2, HEX)}),
 tokens AS (SELECT * FROM ({_located_sql(3, TOKEN)}) k WHERE regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')
-  AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = k.doc_id AND b.start < k.start + length(k.hit) AND b.start + length(b.hit) > k.start)),
+  AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = k.doc_id AND b.start <= k.start AND b.start + length(b.hit) >= k.start + length(k.hit))),
 judged AS (SELECT doc_id, kind, start, hit FROM (SELECT *, unnest(range(1, length(hit))) AS i FROM tokens) x JOIN ratios ON gram = hit[i:i + 1] GROUP BY doc_id, kind, start, hit HAVING sum(r) > {MIN_LLR} * (length(hit) - 1)),
 spans AS (SELECT doc_id, kind, start, concat_ws(':', ['assign', 'access', 'hex', 'random'][kind + 1], start, start + length(hit)) AS span FROM (SELECT * FROM base UNION ALL SELECT * FROM judged)),
 listed AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2, string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base_list, string_agg(span, ',' ORDER BY start, kind) AS all_list FROM spans GROUP BY 1)

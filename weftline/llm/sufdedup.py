@@ -6,7 +6,11 @@ grams. Equal strings have equal owners, so the runs of strings with one owner,
 dealt by the owner's hash, bring all copies of a string into one shard.
 
 Equal runs are represented once, by their earliest occurrence; all others of
-them are wholly repeated. Runs that share an owner but differ are put, with
+them are wholly repeated. That is settled among the documents of a task first,
+so a run that very many documents share is not dealt out as often. Runs are
+taken as equal by 64-bit hashes of them and of their owners both: among n runs
+of one owner two different ones pass for equal with a probability below
+n * n / 2**65. Runs that share an owner but differ are put, with
 their bytes, into shard texts of bounded size. There a suffix array is induced,
 permuted common prefixes of ``length`` group equal strings, and the earliest of
 a group stays. An owner with more runs than a shard text holds has its strings
@@ -15,7 +19,8 @@ dealt by their own hashes instead, streamed in order.
 Defined results: matches never cross documents; a null text is empty; a text
 shorter than ``length`` is kept whole; null ids come before all others; rows
 that share an id are separate documents in the order of their texts' digests,
-equal ones too; an empty table gives no rows.
+equal ones too; an empty table gives no rows; texts of any length are read
+whole; further columns don't matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,6 +41,8 @@ LENGTH = 100
 GRAM = 32
 #: Bytes of a shard text, and of one owner's runs before they are dealt by string.
 SHARD_BYTES, OWNER_BYTES = 1 << 19, 4 << 20
+#: Bytes whose runs are found, and compared with each other, at once.
+SLICE_BYTES = 1 << 20
 _FIRST = -(2**63)
 _RUNS = "owner long, mark long, doc long, place long, shape int"
 #: kind 0: a removed range of a document; 1: a run to compare; 2: a single string by hash
@@ -88,13 +95,24 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def all_runs(rows: DataFrame, length: int) -> DataFrame:
-    """The runs of all documents; place holds the variant above 32 bits of offset."""
+    """The runs of all documents; place holds the variant above 32 bits of offset.
+
+    Of equal runs in a slice the later ones are known to go: their shape is
+    negative and their owner a hash of their own, so that they are dealt evenly.
+    """
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in batches(stream, "text", 1 << 19):
+        for batch, data, offsets in batches(stream, "text", SLICE_BYTES):
             owner, mark, doc, first, shape = runs(data, offsets, length)
-            ids, variants = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(mark), pa.array(ids[doc]), pa.array((variants[doc] << 32) + first), pa.array(shape, pa.int32())], names=["owner", "mark", "doc", "place", "shape"])
+            ids, variants = batch.column(0).to_numpy()[doc], batch.column(1).to_numpy()[doc]
+            place = (variants << 32) + first
+            order = np.lexsort((place, ids, mark))
+            again = (mark[order][1:] == mark[order][:-1]) & (owner[order][1:] == owner[order][:-1])
+            # the same run stands behind the first one of its mark, or another run parts them
+            late = order[1:][again]
+            shape[late] *= -1
+            owner[late] = mix(ids[late].astype(U64) * U64(0x9E3779B97F4A7C15) + place[late].astype(U64)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(mark), pa.array(ids), pa.array(place), pa.array(shape, pa.int32())], names=["owner", "mark", "doc", "place", "shape"])
 
     return rows.mapInArrow(run, _RUNS)
 
@@ -107,7 +125,8 @@ def _found(kind: int, owner, doc, place, shape) -> pa.RecordBatch:
 def sort_out(dealt: DataFrame, length: int) -> DataFrame:
     """From runs: ranges of equal later runs, and first runs whose owner has others.
 
-    A stream sorted by owner, mark and place; only the row before is kept.
+    A stream sorted by owner, mark and place; only the row before is kept. Runs
+    of negative shape pass as ranges.
     """
     rows = dealt.repartition("owner").sortWithinPartitions("owner", "mark", "doc", "place")
 
@@ -116,6 +135,10 @@ def sort_out(dealt: DataFrame, length: int) -> DataFrame:
         rep = None  # owner, doc, place, shape of the last first run, and whether it shares its owner
         for batch in stream:
             owner, mark, doc, place, shape = (batch.column(i).to_numpy() for i in range(5))
+            known = shape < 0
+            if known.any():
+                yield _found(0, owner[known], doc[known], place[known], -shape[known] // 256 + length - 1)
+                owner, mark, doc, place, shape = (x[~known] for x in (owner, mark, doc, place, shape))
             if not len(owner):
                 continue
             first = np.ones(len(owner), bool)

@@ -2,16 +2,19 @@
 
 SA-IS (Nong, Zhang, Chan, 2009): suffixes are classified as larger or smaller
 than their successor, the leftmost-smaller substrings are sorted and named, the
-string of names is ranked recursively, and the whole array is induced from them.
-Induction runs bucket by bucket, each as a few array operations. ``depth`` says
-how many leading bytes must be in order: names are refined only that far.
+string of names is ranked, and the whole array is induced from them. Induction
+runs bucket by bucket, each as a few array operations; runs of one byte enter
+their bucket at once. Names are ranked by doubling rather than by induction, as
+their alphabet is as large as the string; ``depth`` says how many leading bytes
+must be in order, and they are refined only that far. Substrings and common
+prefixes are compared by their bytes, eight at a time.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-from weftline.llm.textbytes import U64, byte_sums, mix
+from weftline.llm.textbytes import U64
 
 
 def smaller_types(text: np.ndarray) -> np.ndarray:
@@ -38,6 +41,30 @@ def _append(sa: np.ndarray, ends: np.ndarray, text: np.ndarray, items: np.ndarra
         ends += counts
 
 
+def runs_before(text: np.ndarray) -> np.ndarray:
+    """How many equal bytes stand right before each position."""
+    at = np.arange(len(text))
+    new = np.append(True, text[1:] != text[:-1])
+    return at - np.maximum.accumulate(np.where(new, at, 0))
+
+
+def _spread_runs(sa: np.ndarray, place: int, ends: np.ndarray, back: np.ndarray, step: int) -> int:
+    """Write a bucket from ``place`` on: the given ends of runs, then what stands one before each, and so on.
+
+    Gives the number of places written. Suffixes nearer to the end of their run
+    come first, among equally near ones the order of the ends holds.
+    """
+    length = back[ends] + 1
+    near = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+    items = np.repeat(ends, length) - near
+    n = len(items)
+    if n > len(ends):
+        items = items[np.argsort(near, kind="stable")]
+    if n:
+        sa[place : place + n * step if place + n * step >= 0 else None : step] = items
+    return n
+
+
 def induce(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """The suffix array induced from the leftmost-smaller suffixes in the order given."""
     n = len(text)
@@ -50,28 +77,42 @@ def induce(text: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> np.ndarray
     low = tails.copy()  # leftmost-smaller suffixes of c stand from low[c] to stop[c]
     heads = start.copy()
     _append(sa, heads, text, np.array([n - 1]), False)
+    back = runs_before(text)
     for c in np.flatnonzero(sizes):
-        done = start[c]
-        while done < heads[c]:
-            items, done = sa[done : heads[c]] - 1, heads[c]
+        heads[c] = start[c] + _spread_runs(sa, start[c], sa[start[c] : heads[c]], back, 1)
+        for items in (sa[start[c] : heads[c]] - 1, sa[low[c] : stop[c]] - 1):
             items = items[items >= 0]
-            _append(sa, heads, text, items[~smaller[items]], False)
-        items = sa[low[c] : stop[c]] - 1
-        items = items[items >= 0]
-        _append(sa, heads, text, items[~smaller[items]], False)
+            _append(sa, heads, text, items[(text[items] != c) & ~smaller[items]], False)
     tails = stop.copy()
     for c in np.flatnonzero(sizes)[::-1]:
-        done = stop[c]
-        while tails[c] < done:
-            items, done = sa[tails[c] : done][::-1] - 1, tails[c]
+        tails[c] = stop[c] - _spread_runs(sa, stop[c] - 1, sa[tails[c] : stop[c]][::-1], back, -1)
+        for items in (sa[tails[c] : stop[c]][::-1] - 1, sa[start[c] : heads[c]][::-1] - 1):
             items = items[items >= 0]
-            _append(sa, tails, text, items[smaller[items]], True)
-        items = sa[start[c] : heads[c]][::-1] - 1
-        items = items[items >= 0]
-        _append(sa, tails, text, items[smaller[items]], True)
+            _append(sa, tails, text, items[(text[items] != c) & smaller[items]], True)
     return sa
 
 
+def eight_bytes(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as one number, the first lowest; zeros follow the end."""
+    long = np.concatenate([text, np.zeros(16, np.uint8)])
+    return np.lib.stride_tricks.sliding_window_view(long, 8)[: len(text) + 8].copy().view("<u8").reshape(-1).astype(U64)
+
+
+def equal_bytes(eight: np.ndarray, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether n_a bytes from a and n_b bytes from b are the same."""
+    same = n_a == n_b
+    at = np.flatnonzero(same)
+    done = 0
+    while len(at):
+        left = n_a[at] - done
+        mask = np.where(left >= 8, ~U64(0), (U64(1) << (U64(8) * np.minimum(left, 7).astype(U64))) - U64(1))
+        alike = ((eight[a[at] + done] ^ eight[b[at] + done]) & mask) == 0
+        same[at[~alike]] = False
+        at = at[alike & (left > 8)]
+        done += 8
+    return same
+
+
 def rank_names(names: np.ndarray, depth: int) -> np.ndarray:
     """The order of the suffixes of a string of names, by refining ranks recursively."""
     rank, k = names.astype(np.int64) + 1, 1
@@ -106,13 +147,12 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
         end = np.append(lms[1:] + 1, n)
         number = np.full(n, -1, np.int64)
         number[lms] = np.arange(len(lms))
-        sums, inverse = byte_sums(text)
-        length = end - lms
-        mark = mix(((sums[end] - sums[lms]) * inverse[lms]) ^ length.astype(U64))
-        mark[-1] = mix(np.array([n], U64) ^ U64(0xABCDEF))[0]  # the last one also ends the text
-        same = mark[number[found]]
+        order = number[found]
+        same = equal_bytes(eight_bytes(text), lms[order[:-1]], lms[order[1:]], (end - lms)[order[:-1]], (end - lms)[order[1:]])
+        # the last one also ends the text
+        same &= (order[:-1] != len(lms) - 1) & (order[1:] != len(lms) - 1)
         names = np.empty(len(lms), np.int64)
-        names[number[found]] = np.cumsum(np.append(False, same[1:] != same[:-1]))
+        names[order] = np.cumsum(np.append(False, ~same))
         lms = lms[rank_names(names, n if depth is None else depth)]
     return induce(text, smaller, lms)
 
@@ -124,14 +164,18 @@ def permuted_lcp(text: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
     before[sa[1:]] = sa[:-1]
     here = np.flatnonzero(before >= 0)
     there = before[here]
-    sums, inverse = byte_sums(text)
     room = np.minimum(limit, n - np.maximum(here, there))
-    low, high = np.zeros(len(here), np.int64), room.copy()
-    while (low < high).any():
-        middle = (low + high + 1) // 2
-        a, b = sums[here + middle] - sums[here], sums[there + middle] - sums[there]
-        equal = a * inverse[here] == b * inverse[there]
-        low, high = np.where(equal, middle, low), np.where(equal, high, middle - 1)
     out = np.zeros(n, np.int64)
-    out[here] = low
+    eight = eight_bytes(text)
+    at, done = here, 0
+    while len(at):
+        differ = eight[at + done] ^ eight[there + done]
+        ended = (differ != 0) | (done + 8 >= room)
+        # the lowest byte that differs is the first
+        first = np.zeros(len(at), np.int64)
+        for k in range(1, 9):
+            first += (differ & ((U64(1) << U64(8 * k)) - U64(1) if k < 8 else ~U64(0))) == 0
+        out[at[ended]] = np.minimum(done + first, room)[ended]
+        at, there, room = at[~ended], there[~ended], room[~ended]
+        done += 8
     return out

@@ -11,7 +11,9 @@ finished task reports are used, so lost executors leave at most orphans.
 
 Defined results: a null payload is empty; of records with equal payloads the
 one with the largest page_id is the response (null ids smallest; among equal
-ids the last written), all others revisit it; an empty table writes nothing.
+ids the last written), all others revisit it; an empty table writes nothing and
+gives no rows; payloads of any length are written whole, and a task holds one;
+further columns don't matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -117,10 +119,11 @@ def _spread(rows: DataFrame, file: str) -> DataFrame:
 
 def inflated_records(source, size: int = _CHUNK) -> Iterator[tuple[bytes, bytes]]:
     """Header and block of every record of one whole-file gzip stream, in one pass."""
-    inflate, kept = zlib.decompressobj(31), bytearray()
+    inflate, kept, chunk = zlib.decompressobj(31), bytearray(), b""
     while True:
-        chunk = source.read(size)
-        kept += inflate.decompress(chunk) if chunk else inflate.flush()
+        # at most so many bytes come out at once, however well they were packed
+        chunk = inflate.unconsumed_tail or source.read(size)
+        kept += inflate.decompress(chunk, size) if chunk else inflate.flush()
         at = 0
         while (end := kept.find(b"\r\n\r\n", at)) >= 0:
             head = bytes(kept[at:end])
@@ -169,7 +172,10 @@ def normalise(decided: DataFrame, path: str, out_path: str) -> DataFrame:
 
 
 def read_archives(index: DataFrame, path: str) -> DataFrame:
-    """Every record of normalised archives, found by the index, one member at a time."""
+    """Every record of normalised archives, one member at a time, found by each archive's sidecar.
+
+    ``index`` only says which archives there are; offsets come from the sidecars.
+    """
 
     def number(urn: str) -> int | None:
         return int(urn) if urn else None
@@ -177,10 +183,13 @@ def read_archives(index: DataFrame, path: str) -> DataFrame:
     def run(group: pd.DataFrame) -> pd.DataFrame:
         store, root = filesystem(path)
         rows = []
-        with store.open_input_file(f"{root}/{group['warc'].iloc[0]}") as source:
-            for offset, length in sorted(zip(group["offset"], group["length"], strict=True)):
-                source.seek(int(offset))
-                raw = zlib.decompress(source.read(int(length)), 31)
+        archive = group["warc"].iloc[0]
+        with store.open_input_stream(f"{root}/{archive}.idx", compression=None) as sidecar:
+            places = [json.loads(line) for line in sidecar.read().decode().splitlines()]
+        with store.open_input_file(f"{root}/{archive}") as source:
+            for place in places:
+                source.seek(place["offset"])
+                raw = zlib.decompress(source.read(place["length"]), 31)
                 end = raw.index(b"\r\n\r\n")
                 h = headers(raw[:end])
                 page, kind = number(h["WARC-Record-ID"][10:-1]), h["WARC-Type"]
@@ -196,7 +205,7 @@ def read_archives(index: DataFrame, path: str) -> DataFrame:
         made = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
         return made.astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    return _spread(index, "warc").groupBy("warc").applyInPandas(run, READ)
+    return _spread(index.select("warc").distinct(), "warc").groupBy("warc").applyInPandas(run, READ)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0, **bounds) -> DataFrame:
