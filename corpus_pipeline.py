@@ -8,7 +8,13 @@
 
 All stages but the last return the columns of documents; the last adds
 ``mix_copy``. The classifiers and graphs have no SQL form, so there is no
-``ORACLE_SQL``: the tests hold the stages against brute force.
+``ORACLE_SQL``: the tests hold every stage against a plain version of it.
+
+Defined results: rows with a null or empty text stay until the last stage, where
+they are emitted at their source's rate; a null doc_id is no copy of any other
+row; rows with the same id are judged by their own texts; repeated rows are one
+after stage 2; texts of any length are read whole; an empty table gives no rows;
+further columns pass through, but one named ``mix_copy`` is replaced.
 """
 
 from __future__ import annotations
