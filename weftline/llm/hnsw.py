@@ -43,7 +43,7 @@ COSINE = 0.9
 #: Vectors of a shard on average; and shards at least, for parallel work.
 SHARD_ROWS, LEAST_SHARDS = 20_000, 4
 DEGREE, BEAM, BUILD_BEAM, MAX_BEAM = 12, 12, 32, 2048
-AUDIT_QUERIES, AUDIT_RECALL = 192, 0.99
+AUDIT_QUERIES, AUDIT_RECALL = 1024, 0.99
 #: Distances, as noise of this length on a unit vector, at which the audit asks.
 AUDIT_NOISE = (0.1, 0.3, 0.45)
 #: What single precision may take from a cosine.
@@ -276,7 +276,7 @@ def audited_beam(graph: Graph, label: np.ndarray, least: float, seed: int = 3, q
         got = float((hit[asked] / truth[asked].sum(1)).mean()) if asked.any() else 1.0
         if got >= recall or beam >= min(MAX_BEAM, n):
             return beam, got
-        beam *= 2
+        beam += beam // 2
 
 
 def prepared(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
