@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -69,3 +69,24 @@ def split_break(strand: Column, seq_start: Column, seq_len: Column, s: Column, f
     if first:
         return F.when(strand == "+", seq_start + s - 1).otherwise(seq_start + seq_len - s)
     return F.when(strand == "+", seq_start + s + 1).otherwise(seq_start + seq_len - s - 2)
+
+
+def exon_boundaries(blocks: DataFrame) -> DataFrame:
+    """The first pair of exon blocks of a junction that meet at exon boundaries, per cluster that has one.
+
+    blocks: cluster_id, side (1 or 2, the gene), block (order in its side),
+    target, strand, q_start, q_end, t_start, t_end, t_size. A block that ends
+    right before a block of the other side starts must reach the end of its exon
+    along its strand, and the other the start of its own. Gives cluster_id,
+    target1, pos1, target2, pos2: the exon positions that override the break.
+    """
+    plus = F.col("strand") == "+"
+    leaves, enters = F.when(plus, F.col("t_size")).otherwise(F.lit(1)), F.when(plus, F.lit(1)).otherwise(F.col("t_size"))
+    out = blocks.where(F.when(plus, F.col("t_end")).otherwise(F.col("t_start")) == leaves)
+    into = blocks.where(F.when(plus, F.col("t_start")).otherwise(F.col("t_end")) == enters)
+    out = out.select("cluster_id", "side", (F.col("q_end") + 1).alias("at"), F.struct("block", "target", leaves.cast("long").alias("pos")).alias("a"))
+    into = into.select("cluster_id", (3 - F.col("side")).alias("side"), F.col("q_start").alias("at"), F.struct("block", "target", enters.cast("long").alias("pos")).alias("b"))
+    met = out.join(into, ["cluster_id", "side", "at"])
+    first, second = F.when(F.col("side") == 1, F.col("a")).otherwise(F.col("b")), F.when(F.col("side") == 1, F.col("b")).otherwise(F.col("a"))
+    best = met.groupBy("cluster_id").agg(F.min(F.struct(first["block"].alias("k1"), second["block"].alias("k2"), first.alias("one"), second.alias("two"))).alias("x"))
+    return best.select("cluster_id", F.col("x.one.target").alias("target1"), F.col("x.one.pos").alias("pos1"), F.col("x.two.target").alias("target2"), F.col("x.two.pos").alias("pos2"))

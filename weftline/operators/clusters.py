@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -121,11 +122,16 @@ def cluster_pairs(x, y, u, mean: float, sd: float, precision: float, least: int)
     return [np.flatnonzero(row) for row in inside if row.sum() >= least]
 
 
-def discordant_clusters(pairs: DataFrame, keys: list[str], mean: float, sd: float, precision: float = 0.95, least: int = 5) -> DataFrame:
+#: Takes x, y, u, mean, sd, precision, least; gives the member numbers of each cluster.
+Clusterer = Callable[..., list[np.ndarray]]
+
+
+def discordant_clusters(pairs: DataFrame, keys: list[str], mean: float, sd: float, precision: float = 0.95, least: int = 5, clusterer: Clusterer = cluster_pairs) -> DataFrame:
     """Rows keys, component, fragment of the clusters in every bin pair.
 
     pairs: keys, fragment, x, y (strand-space ends), len1, len2. A bin pair's
-    fragments are bounded by the guards on multi-mapping and bin size.
+    fragments are bounded by the guards on multi-mapping and bin size. Another
+    ``clusterer`` may take the place of the mixture model.
     """
     schema = ", ".join(f"{k} {t}" for k, t in pairs.select(*keys).dtypes) + ", component int, fragment long"
 
@@ -133,7 +139,7 @@ def discordant_clusters(pairs: DataFrame, keys: list[str], mean: float, sd: floa
         group = group.sort_values(["fragment", "x", "y"], kind="stable")
         rows: list[tuple] = []
         if group["fragment"].nunique() >= least:
-            found = cluster_pairs(group["x"].to_numpy(), group["y"].to_numpy(), mean - group["len1"].to_numpy() - group["len2"].to_numpy(), mean, sd, precision, least)
+            found = clusterer(group["x"].to_numpy(), group["y"].to_numpy(), mean - group["len1"].to_numpy() - group["len2"].to_numpy(), mean, sd, precision, least)
             fragments, key = group["fragment"].to_numpy(), tuple(group[k].iloc[0] for k in keys)
             for c, members in enumerate(found):
                 own = np.unique(fragments[members])
@@ -141,7 +147,12 @@ def discordant_clusters(pairs: DataFrame, keys: list[str], mean: float, sd: floa
                     rows += [(*key, c, int(f)) for f in own]
         return pd.DataFrame(rows, columns=[*keys, "component", "fragment"])
 
-    return pairs.groupBy(*keys).applyInPandas(solve, schema)
+    # groups that can't give a cluster stay out of Python
+    sizes = pairs.select(*keys, "fragment").distinct().groupBy(*keys).agg(F.count("*").alias("__n"))
+    wanted = pairs.join(sizes.where(F.col("__n") >= least).drop("__n"), keys, "left_semi")
+    # work grows faster than bytes, so partitions are not merged by their bytes
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return wanted.repartition(tasks, *keys).groupBy(*keys).applyInPandas(solve, schema)
 
 
 def binned_clusters(pairs: DataFrame, key: str, size: int, mean: float, sd: float, precision: float = 0.95, least: int = 5) -> DataFrame:
@@ -211,9 +222,18 @@ def regions(clusters: DataFrame) -> DataFrame:
 
 
 def renumbered(rows: DataFrame, parts: list[str]) -> DataFrame:
-    """Dense new ids over distinct old ids of all parts; only the distinct ids are ordered."""
-    ids = rows.select(*parts).distinct().withColumn("new_id", F.dense_rank().over(Window.orderBy(*parts)) - 1)
-    return rows.join(ids, parts)
+    """Dense new ids over distinct old ids of all parts.
+
+    The distinct ids are dealt to ranges; each range counts from where the ranges before it end.
+    """
+    from weftline.operators.graphs import checkpointed
+
+    ids = checkpointed(rows.select(*parts).distinct().repartitionByRange(*parts).withColumn("__range", F.spark_partition_id()))
+    sizes = ids.groupBy("__range").agg(F.count("*").alias("__n"))  # a row per range
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*parts)) - 1
+    numbered = ids.withColumn("__place", place).join(F.broadcast(sizes.select("__range", before.alias("__before"))), "__range")
+    return rows.join(numbered.select(*parts, (F.col("__before") + F.col("__place")).alias("new_id")), parts)
 
 
 def without_mixed_mt(clusters: DataFrame, mt: str = "MT") -> DataFrame:

@@ -71,6 +71,37 @@ def exon_position(positions: DataFrame, exons: DataFrame) -> DataFrame:
     return positions.join(exons.withColumn("exon_no", number), ["transcript_id", "exon_no"]).select("transcript_id", "exon_no", "x_pos", at.alias("g_pos"))
 
 
+def remap_extended(points: DataFrame, exons: DataFrame, keys: list[str]) -> DataFrame:
+    """Windows around genomic points, on transcripts: keys, transcript_id, remap_strand, ts, te.
+
+    points: keys, transcript_id, pos, strand, ext_min, ext_max. Along the point's
+    strand the window reaches from ext_min to ext_max beyond the point's exon, or
+    the next one's start; it begins at that exon at the earliest. Points beyond
+    the last exon and windows outside the transcript are left out.
+    """
+    size = F.col("e") - F.col("s") + 1
+    ahead = lambda first: Window.partitionBy("transcript_id").orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
+    sized = exons.select("transcript_id", F.col("strand").alias("t_strand"), "s", "e", F.coalesce(F.sum(size).over(ahead("s")), F.lit(0)).alias("before_plus"), F.coalesce(F.sum(size).over(ahead(F.desc("e"))), F.lit(0)).alias("before_minus"), F.sum(size).over(Window.partitionBy("transcript_id")).alias("t_length"))
+    plus = F.col("strand") == "+"
+    at, first, last = F.when(plus, F.col("pos")).otherwise(-F.col("pos")), F.when(plus, F.col("s")).otherwise(-F.col("e")), F.when(plus, F.col("e")).otherwise(-F.col("s"))
+    before = F.when(plus, F.col("before_plus")).otherwise(F.col("before_minus"))
+    held = points.join(sized, "transcript_id").where(at <= last)
+    own = [*keys, "transcript_id", "pos", "strand", "ext_min", "ext_max"]
+    near = held.groupBy(*own).agg(F.min(F.struct(first.alias("first"), before.alias("before"), "t_strand", "t_length")).alias("x")).select(*own, "x.*")
+    shift = F.when(F.col("strand") == "+", F.col("pos")).otherwise(-F.col("pos")) - F.col("first") + 1
+    edge = lambda ext: F.greatest(shift + F.col(ext), F.lit(1)) + F.col("before")
+    near = near.where(shift + F.col("ext_max") >= 1).withColumns({"lo": edge("ext_min"), "hi": edge("ext_max")}).where("lo <= t_length")
+    same = F.col("strand") == F.col("t_strand")
+    turned = lambda c: F.col("t_length") - F.col(c) + 1
+    return near.select(*keys, "transcript_id", remapped_strand(F.col("strand"), F.col("t_strand")).alias("remap_strand"), F.when(same, F.col("lo")).otherwise(turned("hi")).alias("ts"), F.when(same, F.col("hi")).otherwise(turned("lo")).alias("te"))
+
+
+def unspliced(genes: DataFrame, bases: DataFrame) -> DataFrame:
+    """Whole gene regions as sequences along their strands: gene_id, sequence. genes: gene_id, chromosome, strand, gs, ge."""
+    whole = genes.select(F.col("gene_id").alias("transcript_id"), "chromosome", "strand", F.col("gs").alias("s"), F.col("ge").alias("e"))
+    return spliced(whole, bases).withColumnRenamed("transcript_id", "gene_id")
+
+
 def remapped_strand(strand: Column, model: Column) -> Column:
     return F.when(strand == model, "+").otherwise("-")
 

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows as written to the folder that all executors share."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         at = sc.getConf().get("spark.checkpoint.dir")
@@ -25,13 +26,13 @@ def _checkpointed(df: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame, most: int = 50) -> DataFrame:
     """vertex, component (smallest vertex) of all vertices of u, v."""
-    both = _checkpointed(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct())
-    labels = _checkpointed(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("l")))
+    both = checkpointed(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct())
+    labels = checkpointed(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("l")))
     for _ in range(most):
         near = both.join(labels.withColumnRenamed("u", "v"), "v").groupBy("u").agg(F.min("l").alias("m"))
         step = labels.join(near, "u", "left").select("u", F.least("l", F.coalesce("m", "l")).alias("l"))
         jump = step.select(F.col("u").alias("l"), F.col("l").alias("up"))
-        new = _checkpointed(step.join(jump, "l", "left").select("u", F.least("l", F.coalesce("up", "l")).alias("l")))
+        new = checkpointed(step.join(jump, "l", "left").select("u", F.least("l", F.coalesce("up", "l")).alias("l")))
         moved = new.join(labels.withColumnRenamed("l", "old"), "u").where("l <> old").isEmpty()
         labels = new
         if moved:

@@ -105,3 +105,23 @@ def adjacency(genes: DataFrame, key: str, ident: str, interval: tuple[str, str])
     b = numbered.select(key, F.col(ident).alias("gene2"), "island")
     pairs = a.join(b, [key, "island"]).where(F.col("gene1") != F.col("gene2"))
     return pairs.select(key, F.least("gene1", "gene2").alias("gene1"), F.greatest("gene1", "gene2").alias("gene2")).distinct()
+
+
+def sums_below(points: DataFrame, rows: DataFrame, key: str, at: str, place: str, size: str, name: str, reached: bool = False, width: int = 1 << 20) -> DataFrame:
+    """points with the sum of ``size`` over the rows of their key whose ``place`` is below ``at``, or at it if ``reached``.
+
+    Ranges of places of one key are summed apart; each starts from the sums of
+    the ranges before it, so no key is one task.
+    """
+    names = points.columns
+    # a point stands before or after the rows at its place
+    held = points.select(key, F.col(at).alias("__at"), F.lit(1 if reached else 0).alias("__turn"), F.lit(None).cast("long").alias("__size"), F.struct(*names).alias("__point"))
+    given = rows.select(key, F.col(place).alias("__at"), F.lit(0 if reached else 1).alias("__turn"), F.col(size).cast("long").alias("__size"), F.lit(None).cast(held.schema["__point"].dataType).alias("__point"))
+    both = held.unionByName(given).withColumn("__range", F.floor(F.col("__at") / width))
+    totals = both.groupBy(key, "__range").agg(F.coalesce(F.sum("__size"), F.lit(0)).alias("__n"))
+    ranges = Window.partitionBy(key).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(F.col(key).alias("__key"), F.col("__range").alias("__r"), F.coalesce(F.sum("__n").over(ranges), F.lit(0)).alias("__before"))
+    running = F.sum("__size").over(Window.partitionBy(key, "__range").orderBy("__at", "__turn").rowsBetween(Window.unboundedPreceding, 0))
+    mine = both.withColumn("__sum", F.coalesce(running, F.lit(0))).where("__point IS NOT NULL")
+    found = mine.join(totals, (F.col(key) == F.col("__key")) & (F.col("__range") == F.col("__r")))
+    return found.select(*[F.col(f"__point.{c}").alias(c) for c in names], (F.col("__sum") + F.col("__before")).alias(name))

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.functions.intervals import bin_of, bins
 from weftline.functions.sequences import gene_of
@@ -92,17 +93,18 @@ def merge_read_stats(parts: DataFrame) -> DataFrame:
     return sums.select(F.col("n").alias("frag_count"), average.alias("fraglength_mean"), F.sqrt(F.greatest(F.col("xx") / F.col("n") - average * average, F.lit(0.0))).alias("fraglength_stddev"), "readlength_min", "readlength_max")
 
 
-def sampled_covariance(samples: DataFrame, least: int = 100) -> DataFrame:
-    """Mean of all values and the covariance of two values per sample id.
+def sampled_covariance(samples: DataFrame, draw: str, least: int = 100) -> DataFrame:
+    """Mean and covariance of two draws, with replacement, per sample id that has two values.
 
-    The two are the smallest and the largest by value, so that reruns agree;
-    ids with one value count for the mean only. Too few ids are an error.
+    A draw takes the value whose key in the column ``draw`` has the smallest
+    hash, so that reruns agree and partial results combine before the shuffle.
+    Too few ids are an error.
     """
-    pairs = samples.groupBy("sample_id").agg(F.count("*").alias("n"), F.sum("value").alias("total"), F.min("value").alias("a"), F.max("value").alias("b"))
-    used = F.col("n") >= 2
-    out = pairs.agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.sum(used.cast("long")).alias("ids"), F.covar_pop(F.when(used, F.col("a")), F.when(used, F.col("b"))).alias("covariance"))
+    pick = lambda k: F.min(F.struct(F.md5(F.concat(F.col(draw).cast("string"), F.lit(f"-{k}"))).alias("h"), F.col("value").alias("v")))["v"]
+    pairs = samples.groupBy("sample_id").agg(F.count("*").alias("n"), pick(1).alias("a"), pick(2).alias("b")).where("n >= 2")
+    out = pairs.agg(F.count("*").alias("ids"), F.avg((F.col("a") + F.col("b")) / 2).alias("mean"), F.covar_pop("a", "b").alias("covariance"))
     checked = F.when(F.col("ids") > least, F.col("covariance")).otherwise(F.raise_error(F.lit("too few samples for a covariance")).cast("double"))
-    return out.select((F.col("total") / F.col("n")).alias("mean"), checked.alias("covariance"))
+    return out.select("mean", checked.alias("covariance"))
 
 
 def alignment_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -133,21 +135,37 @@ def first_per_position(rows: DataFrame, keys: list[str], order: list[str]) -> Da
     return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__n = 1").drop("__n")
 
 
-def non_overlapping(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """Per key, in order of position, alignments none of whose bins was taken before."""
-    names = rows.columns
+def non_overlapping(rows: DataFrame, keys: list[str], size: int, order: list[str]) -> DataFrame:
+    """Per key, in the given order, alignments none of whose bins was taken before.
 
-    def pick(group):
-        group = group.sort_values([c for c in ("ref_name", "s", "e") if c in names], kind="stable")
-        taken, keep = set(), []
-        for ref, s, e in zip(group["ref_name"], group["s"], group["e"], strict=True):
-            own = {(ref, b) for b in range(int(s) // size, int(e) // size + 1)}
-            keep.append(not own & taken)
-            if keep[-1]:
-                taken |= own
-        return group[keep]
+    The alignments of a key are folded one after the other in one expression;
+    the guards on multi-mapping reads bound how many there are.
+    """
+    rest = [f for f in rows.schema.fields if f.name not in keys]
+    item = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.struct(*[f.name for f in rest]).alias("row"))
+    start = F.struct(F.array().cast("array<struct<ref:string,bin:bigint>>").alias("taken"), F.array().cast(T.ArrayType(T.StructType(rest))).alias("kept"))
+
+    def step(a: Column, x: Column) -> Column:
+        row = x["row"]
+        own = F.transform(F.sequence(F.floor(row["s"] / size), F.floor(row["e"] / size)), lambda b: F.struct(row["ref_name"].alias("ref"), b.alias("bin")))
+        free = ~F.arrays_overlap(a["taken"], own)
+        more = lambda name, new: F.when(free, F.concat(a[name], new)).otherwise(a[name]).alias(name)
+        return F.struct(more("taken", own), more("kept", F.array(row)))
+
+    groups = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    kept = groups.select(*keys, F.explode(F.aggregate("items", start, step, lambda a: a["kept"])).alias("row"))
+    return kept.select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in rows.columns])
 
-    return rows.groupBy(*keys).applyInPandas(pick, rows.schema)
+
+def merge_ordered(left: DataFrame, right: DataFrame, order: str, qname: str = "qname") -> DataFrame:
+    """Two tables of reads, each in the order of its fragments, as one; ties put the left one first.
+
+    The fragment is the number before /1 or /2 of the read name; ``order`` is a
+    column with the place of a row in its own table.
+    """
+    both = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1)))
+    fragment = F.regexp_extract(qname, r"^(.*)/[12]", 1).cast("long")
+    return both.withColumn("fragment", fragment).orderBy("fragment", "side", order)
 
 
 def bin_pairs(rows: DataFrame, size: int, reach: int, least: int) -> DataFrame:
@@ -159,7 +177,8 @@ def bin_pairs(rows: DataFrame, size: int, reach: int, least: int) -> DataFrame:
     cut = rows.select("fragment", "read_end", F.explode(bins(F.greatest(F.col("s") - reach, F.lit(0)), F.col("e") + reach, size)).alias("bin"), "ref_name", "strand").distinct()
     side = lambda end, x: cut.where(F.col("read_end") == end).select("fragment", F.struct("ref_name", "strand", "bin").alias(x))
     pairs = side(0, "a").join(side(1, "b"), "fragment").select("fragment", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
-    counted = pairs.groupBy("lo", "hi").agg(F.countDistinct("fragment").alias("n_fragments"))
+    # both orders of a pair are one, so a fragment may come twice
+    counted = pairs.distinct().groupBy("lo", "hi").agg(F.count("*").alias("n_fragments"))
     return counted.where(F.col("n_fragments") >= least)
 
 

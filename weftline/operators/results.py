@@ -54,5 +54,10 @@ def circos_rows(results: DataFrame) -> DataFrame:
     return results.select(F.col("cluster_id").alias("link"), F.explode(F.array(side(1), side(2))).alias("x"), "orf").select("link", "x.chromosome", "x.start", "x.end", "orf")
 
 
+def circos_points(cnv: DataFrame, levels: tuple[int, ...]) -> DataFrame:
+    """Plot points of the given copy number levels: chromosome, start, end, value. cnv: chr, start, end, level, value."""
+    return cnv.where(F.col("level").isin(*levels)).select(F.concat(F.lit("hs"), F.col("chr")).alias("chromosome"), "start", "end", "value")
+
+
 def identity_column(pid, size, len1, len2):
     return F.coalesce(adjusted_identity(pid, size, len1, len2), F.lit(0.0))

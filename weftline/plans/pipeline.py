@@ -57,29 +57,49 @@ def discordant(rows: DataFrame, genes: DataFrame, settings: Settings = Settings(
     return rd.both_ends(rd.keep_ids(rows, gone.distinct(), "fragment", "fragment", invert=True))
 
 
+#: A pair of bins: reference, strand and bin of either end.
+BIN_PAIR = ["ref_name0", "strand0", "bin0", "ref_name1", "strand1", "bin1"]
+
+
+def binned_pairs(rows: DataFrame, reach: int, size: int = 32768) -> DataFrame:
+    """The pairs of alignments of a fragment's two ends, in every pair of bins that they touch.
+
+    An end lies in every bin that it touches when widened by the reach, so the
+    pairs of one junction share a pair of bins wherever the edges are. The
+    smaller end by reference, strand, bin and position comes first, whichever
+    read end it is. x and y are the ends' outer positions along their strands.
+    """
+    held = rows.select("fragment", "read_end", "ref_name", "strand", "s", "e")
+    cut = held.withColumn("bin", F.explode(bins(F.greatest(F.col("s") - reach, F.lit(0)), F.col("e") + reach, size)))
+    # of a read's alignments that touch the same range in a bin the first one stays
+    cut = cut.withColumn("place", F.struct("ref_name", "strand", "bin"))
+    cut = rd.non_overlapping(cut, ["fragment", "read_end", "place"], reach, ["s", "e"]).drop("place")
+    end = F.struct("ref_name", "strand", "bin", "s", "e", "read_end")
+    side = lambda k, x: cut.where(F.col("read_end") == k).select("fragment", end.alias(x))
+    both = side(0, "a").join(side(1, "b"), "fragment")
+    both = both.select("fragment", F.least("a", "b").alias("end0"), F.greatest("a", "b").alias("end1"))
+    names = [F.col(f"end{k}.{c}").alias(f"{c}{k}") for k in (0, 1) for c in ("ref_name", "strand", "bin", "s", "e", "read_end")]
+    outer = lambda k: F.when(F.col(f"strand{k}") == "+", F.col(f"e{k}")).otherwise(-F.col(f"s{k}"))
+    sizes = {"len1": length(F.col("s0"), F.col("e0")), "len2": length(F.col("s1"), F.col("e1"))}
+    return both.select("fragment", *names).withColumns({"x": outer(0), "y": outer(1), **sizes})
+
+
 def find_clusters(rows: DataFrame, mean: float, sd: float, settings: Settings = Settings()) -> DataFrame:
     """Cluster rows of discordant alignments: bin pairs, mixture, cover, new numbers.
 
-    An end lies in every bin that it touches when widened by the reach, so the
-    pairs of one junction share a pair of bins wherever the edges are; the cover
-    removes clusters found twice. The smaller end by reference, strand, bin and
-    position comes first, whichever read end it is.
+    The cover removes clusters that several pairs of bins give.
     """
     reach = int(mean + 10 * sd)
     near = rd.same_region(rows, reach)
-    cut = rd.keep_ids(rows, near, "fragment", "fragment", invert=True).withColumn("bin", F.explode(bins(F.greatest(F.col("s") - reach, F.lit(0)), F.col("e") + reach, 32768)))
-    side = lambda k, x: cut.where(F.col("read_end") == k).select("fragment", F.struct("ref_name", "strand", "bin", "s", "e", "read_end").alias(x))
-    both = side(0, "a").join(side(1, "b"), "fragment").select("fragment", F.least("a", "b").alias("end0"), F.greatest("a", "b").alias("end1"))
-    names = [F.col(f"end{k}.{c}").alias(f"{c}{k}") for k in (0, 1) for c in ("ref_name", "strand", "bin", "s", "e", "read_end")]
-    outer = lambda k: F.when(F.col(f"strand{k}") == "+", F.col(f"e{k}")).otherwise(-F.col(f"s{k}"))
-    pairs = both.select("fragment", *names).withColumns({"x": outer(0), "y": outer(1), "len1": length(F.col("s0"), F.col("e0")), "len2": length(F.col("s1"), F.col("e1"))})
-    keys = ["ref_name0", "strand0", "bin0", "ref_name1", "strand1", "bin1"]
-    found = cl.discordant_clusters(pairs, keys, mean, sd, settings.clustering_precision, settings.span_count_threshold)
-    numbered = cl.renumbered(found, [*keys, "component"]).select(*keys, F.col("new_id").alias("cluster_id"), "fragment")
+    pairs = binned_pairs(rd.keep_ids(rows, near, "fragment", "fragment", invert=True), reach)
+    found = cl.discordant_clusters(pairs, BIN_PAIR, mean, sd, settings.clustering_precision, settings.span_count_threshold)
+    numbered = cl.renumbered(found, [*BIN_PAIR, "component"]).select(*BIN_PAIR, F.col("new_id").alias("cluster_id"), "fragment")
     covered = cl.set_cover(numbered.select("cluster_id", "fragment"), settings.span_count_threshold)
-    kept = numbered.join(covered, ["cluster_id", "fragment"]).join(pairs, [*keys, "fragment"])
-    ends = F.array(*[F.struct(F.lit(k).alias("cluster_end"), F.col(f"read_end{k}").alias("read_end"), F.col(f"ref_name{k}").alias("ref_name"), F.col(f"strand{k}").alias("strand"), F.col(f"s{k}").alias("s"), F.col(f"e{k}").alias("e")) for k in (0, 1)])
-    return cl.without_mixed_mt(kept.select("cluster_id", "fragment", F.explode(ends).alias("x")).select("cluster_id", "x.cluster_end", "fragment", "x.read_end", "x.ref_name", "x.strand", "x.s", "x.e"), settings.mt_chromosome)
+    kept = numbered.join(covered, ["cluster_id", "fragment"]).join(pairs, [*BIN_PAIR, "fragment"])
+    end = lambda k: F.struct(F.lit(k).alias("cluster_end"), *[F.col(f"{c}{k}").alias(c) for c in ("read_end", "ref_name", "strand", "s", "e")])
+    ends = kept.select("cluster_id", "fragment", F.explode(F.array(end(0), end(1))).alias("x"))
+    ends = ends.select("cluster_id", "x.cluster_end", "fragment", "x.read_end", "x.ref_name", "x.strand", "x.s", "x.e")
+    return cl.without_mixed_mt(ends, settings.mt_chromosome)
 
 
 def split_tasks(regions: DataFrame, mean: float, sd: float, min_read: int, max_read: int) -> DataFrame:
@@ -93,6 +113,35 @@ def split_tasks(regions: DataFrame, mean: float, sd: float, min_read: int, max_r
     return rows.withColumn("window_start", start).withColumn("window_length", F.col("break_length") + F.lit(max_read)).drop("push")
 
 
+def mate_regions(tasks: DataFrame, exons: DataFrame, mean: float, sd: float, min_read: int, max_read: int) -> DataFrame:
+    """Where the mates of split reads may lie: cluster_id, cluster_end, ref_name, strand, s, e.
+
+    tasks: rows of :func:`split_tasks`; a ref_name ``gene|transcript`` of exons is
+    carried to the genome first. Besides the genomic region there is one for
+    every transcript that overlaps it. exons: gene_id, transcript_id, chromosome,
+    strand, s, e.
+    """
+    longest, shortest = int(mean + 3 * sd), int(mean - 3 * sd)
+    keys = ["cluster_id", "cluster_end"]
+    rows = tasks.select(*keys, "ref_name", "strand", F.col("break_start").cast("long").alias("pos"), (F.lit(shortest) - F.col("break_length") - max_read + 1).cast("long").alias("ext_min"), F.lit(longest - min_read).cast("long").alias("ext_max"))
+    models = exons.groupBy("gene_id", "transcript_id", "chromosome", F.col("strand").alias("t_strand")).agg(F.min("s").alias("gs"), F.max("e").alias("ge"))
+    named = F.concat_ws("|", "gene_id", "transcript_id")
+    known = models.select(named.alias("ref_name"), "transcript_id", "t_strand")
+    rows = rows.join(known, "ref_name", "left")
+    at = rows.where("transcript_id IS NOT NULL").select("transcript_id", F.col("pos").alias("t_pos")).distinct()
+    on = gm.to_genome(at, exons).withColumnsRenamed({"t_pos": "pos", "chromosome": "t_chromosome"})
+    rows = rows.join(on, ["transcript_id", "pos"], "left")
+    strand = F.when(F.col("transcript_id").isNull(), F.col("strand")).otherwise(F.when(F.col("strand") == F.col("t_strand"), "+").otherwise("-"))
+    rows = rows.select(*keys, F.coalesce("t_chromosome", "ref_name").alias("ref_name"), strand.alias("strand"), F.coalesce("g_pos", "pos").alias("pos"), "ext_min", "ext_max")
+    plus = F.col("strand") == "+"
+    rows = rows.withColumns({"s": F.when(plus, F.col("pos") - F.col("ext_max")).otherwise(F.col("pos") + F.col("ext_min")), "e": F.when(plus, F.col("pos") - F.col("ext_min")).otherwise(F.col("pos") + F.col("ext_max"))})
+    found = ij.overlap_join(rows, models.drop("t_strand"), [("ref_name", "chromosome")], ("s", "e"), ("gs", "ge"), 10_000)
+    other = lambda c: F.when(F.col(c) == "+", "-").otherwise("+")
+    points = found.select(*keys, "transcript_id", named.alias("ref_name"), "pos", other("strand").alias("strand"), "ext_min", "ext_max")
+    carried = gm.remap_extended(points, exons, [*keys, "ref_name"]).select(*keys, "ref_name", other("remap_strand").alias("strand"), F.col("ts").alias("s"), F.col("te").alias("e"))
+    return rows.select(*keys, "ref_name", "strand", "s", "e").unionByName(carried)
+
+
 def task_windows(tasks: DataFrame, references: DataFrame) -> DataFrame:
     """The window sequences; end 0 on the strand of its alignments, end 1 on the other.
 

@@ -7,6 +7,7 @@ algorithm has no SQL form.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -333,10 +334,14 @@ def merged_read_stats(spark, d):
     return rd.merge_read_stats(parts)
 
 
-@query("WITH p AS (SELECT l_suppkey AS k, count(*) AS n, sum(l_quantity) AS t, min(l_quantity + l_suppkey) AS a, max(l_quantity - l_suppkey) AS b FROM lineitem GROUP BY 1) SELECT round((SELECT avg(v) FROM (SELECT l_partkey % 150 AS k, l_quantity * (1 + l_partkey % 150) AS v FROM lineitem)), 6) AS mean, round(covar_pop(a, b), 6) AS covariance FROM (SELECT k, count(*) AS n, min(v) AS a, max(v) AS b FROM (SELECT l_partkey % 150 AS k, l_quantity * (1 + l_partkey % 150) AS v FROM lineitem) GROUP BY 1) WHERE n >= 2")
+_DRAW = "concat_ws('-', l_orderkey, l_linenumber, l_suppkey, l_partkey)"
+_PICK = "min(struct_pack(h := md5(concat(draw, '-{k}')), v := value)).v"
+
+
+@query(f"WITH x AS (SELECT l_partkey % 150 AS k, l_quantity * (1 + l_partkey % 150) AS value, {_DRAW} AS draw FROM lineitem), p AS (SELECT k, {_PICK.format(k=1)} AS a, {_PICK.format(k=2)} AS b FROM x GROUP BY 1 HAVING count(*) >= 2) SELECT round(avg((a + b) / 2), 6) AS mean, round(covar_pop(a, b), 6) AS covariance FROM p")
 def cov_samples(spark, d):
-    rows = tab(spark, d, "lineitem").selectExpr("l_partkey % 150 AS sample_id", "l_quantity * (1 + l_partkey % 150) AS value")
-    return rd.sampled_covariance(rows)
+    rows = tab(spark, d, "lineitem").selectExpr("l_partkey % 150 AS sample_id", "l_quantity * (1 + l_partkey % 150) AS value", f"{_DRAW} AS draw")
+    return rd.sampled_covariance(rows, "draw")
 
 
 def _clusters(spark, d):
@@ -463,9 +468,12 @@ def prefix_sum(spark, d):
     return ad.aln(spark, d).select("cluster_id", "fragment", "s", "line", F.sum(iv.length(F.col("s"), F.col("e"))).over(order).alias("running"))
 
 
-@query(None)
+@query(f"""WITH RECURSIVE {ALN}, k AS (SELECT *, row_number() OVER (PARTITION BY fragment, read_end ORDER BY line, ref_name, s, e, strand, cluster_id) AS n, list_transform(range(s // 2000, e // 2000 + 1), lambda b: concat(ref_name, ':', b)) AS own FROM aln),
+  r AS (SELECT fragment, read_end, ref_name, s, e, n, own AS taken, TRUE AS kept FROM k WHERE n = 1
+    UNION ALL SELECT k.fragment, k.read_end, k.ref_name, k.s, k.e, k.n, CASE WHEN list_has_any(r.taken, k.own) THEN r.taken ELSE list_concat(r.taken, k.own) END, NOT list_has_any(r.taken, k.own) FROM r JOIN k ON k.fragment = r.fragment AND k.read_end = r.read_end AND k.n = r.n + 1)
+  SELECT fragment, read_end::BIGINT AS read_end, ref_name, s, e FROM r WHERE kept""")
 def first_non_overlapping(spark, d):
-    return rd.non_overlapping(ad.aln(spark, d), ["fragment", "read_end"], 2000).select("fragment", "read_end", "ref_name", "s", "e")
+    return rd.non_overlapping(ad.aln(spark, d), ["fragment", "read_end"], 2000, ["line", "ref_name", "s", "e", "strand"]).select("fragment", "read_end", "ref_name", "s", "e")
 
 
 # --- sequences -----------------------------------------------------------------------------
@@ -858,14 +866,12 @@ def components(spark, d):
 
 @query(None)
 def em_clusters(spark, d):
-    from weftline.operators.clusters import binned_clusters
+    """The mixture model on every pair of bins that fragments join."""
+    from weftline.operators.clusters import discordant_clusters
+    from weftline.plans.pipeline import BIN_PAIR, binned_pairs
 
-    rows = ad.aln(spark, d)
-    end = F.when(F.col("strand") == "+", F.col("e")).otherwise(-F.col("s"))
-    ends = rows.select("cluster_id", "fragment", "read_end", end.alias("x"), iv.length(F.col("s"), F.col("e")).alias("len"), F.col("s").alias("s"))
-    side = lambda k, n: rd.first_per_position(ends.where(F.col("read_end") == k), ["cluster_id", "fragment"], ["s", "len"]).select("cluster_id", "fragment", F.col("x").alias(n), F.col("len").alias(f"len{k + 1}"))
-    pairs = side(0, "x").join(side(1, "y"), ["cluster_id", "fragment"])
-    return binned_clusters(pairs, "cluster_id", 32768, 4000.0, 1500.0, least=3)
+    pairs = binned_pairs(ad.aln(spark, d), 600, 32768)
+    return discordant_clusters(pairs, BIN_PAIR, 3000.0, 1000.0, least=5)
 
 
 @query(None)
@@ -990,9 +996,11 @@ def mate_window(spark, d):
 @query(f"WITH {ALN}, {EXON}, g AS (SELECT cluster_id, ref_name AS chromosome, min(s) + 9000 AS brk FROM aln GROUP BY ALL) SELECT g.cluster_id, g.chromosome, sum(CASE WHEN x.e < brk THEN x.e - x.s + 1 ELSE 0 END)::BIGINT AS size_before, sum(CASE WHEN x.s > brk THEN x.e - x.s + 1 ELSE 0 END)::BIGINT AS size_after FROM g JOIN exon x ON x.chromosome = g.chromosome GROUP BY ALL")
 def interrupted_counts(spark, d):
     at = ad.aln(spark, d).groupBy("cluster_id", F.col("ref_name").alias("chromosome")).agg((F.min("s") + 9000).alias("brk"))
-    size = iv.length(F.col("s"), F.col("e"))
-    rows = at.join(ad.exon(spark, d), "chromosome")
-    return rows.groupBy("cluster_id", "chromosome").agg(F.sum(F.when(F.col("e") < F.col("brk"), size).otherwise(0)).alias("size_before"), F.sum(F.when(F.col("s") > F.col("brk"), size).otherwise(0)).alias("size_after"))
+    exons = ad.exon(spark, d).withColumn("size", iv.length(F.col("s"), F.col("e")))
+    total = exons.groupBy("chromosome").agg(F.sum("size").alias("total"))  # a row per chromosome
+    rows = ij.sums_below(at.join(total, "chromosome"), exons, "chromosome", "brk", "e", "size", "size_before")
+    rows = ij.sums_below(rows, exons, "chromosome", "brk", "s", "size", "size_reached", reached=True)
+    return rows.select("cluster_id", "chromosome", "size_before", (F.col("total") - F.col("size_reached")).alias("size_after"))
 
 
 _MARK = "m AS (SELECT gene_id, chromosome, gs + k * 100 AS pos FROM (SELECT *, unnest(range(0, (ge - gs) // 100 + 1)) AS k FROM gene))"
@@ -1168,6 +1176,59 @@ def classify(spark, d):
     return run(docs, controls, ["size", "junk", "upper"], F.col("quality")).select("doc_id", "probability")
 
 
-@query("SELECT o_orderkey, round(o_totalprice / 500000, 6) AS probability FROM orders WHERE o_totalprice / 500000 > 0.5")
+@query("SELECT o_orderkey, round(o_totalprice::DECIMAL(18, 2) * 0.000002::DECIMAL(18, 6), 6)::DOUBLE AS probability FROM orders WHERE o_totalprice / 500000 > 0.5")
 def threshold(spark, d):
-    return tab(spark, d, "orders").select("o_orderkey", (F.col("o_totalprice") / 500000).alias("probability")).where("probability > 0.5")
+    # prices are cents, so the quotient is an exact decimal, which both engines round alike
+    quotient = F.col("o_totalprice").cast("decimal(18,2)") * F.lit(Decimal("0.000002")).cast("decimal(18,6)")
+    return tab(spark, d, "orders").where(F.col("o_totalprice") / 500000 > 0.5).select("o_orderkey", F.round(quotient, 6).cast("double").alias("probability"))
+
+
+# --- junctions at exons, mates on transcripts ----------------------------------------------
+
+_BLOCKS = "blocks AS (SELECT l_suppkey AS cluster_id, (1 + l_orderkey % 2)::BIGINT AS side, (l_orderkey * 8 + l_linenumber) AS block, concat('x', l_partkey % 500) AS target, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, 1 + l_partkey % 40 AS q_start, l_partkey % 40 + 1 + l_quantity::INT % 30 AS q_end, 1 + l_partkey % 3 AS t_start, 20 + l_quantity::INT % 30 AS t_end, 20 + l_quantity::INT % 30 + l_orderkey % 3 AS t_size FROM lineitem)"
+
+
+@query(f"""WITH {_BLOCKS}, p AS (SELECT a.cluster_id, a.block AS k1, b.block AS k2, a.target AS target1, b.target AS target2,
+  CASE WHEN a.q_end + 1 = b.q_start THEN CASE WHEN a.strand = '+' THEN a.t_size ELSE 1 END ELSE CASE WHEN a.strand = '+' THEN 1 ELSE a.t_size END END AS pos1,
+  CASE WHEN a.q_end + 1 = b.q_start THEN CASE WHEN b.strand = '+' THEN 1 ELSE b.t_size END ELSE CASE WHEN b.strand = '+' THEN b.t_size ELSE 1 END END AS pos2
+  FROM blocks a JOIN blocks b ON a.cluster_id = b.cluster_id AND a.side = 1 AND b.side = 2
+  AND ((a.q_end + 1 = b.q_start AND (CASE WHEN a.strand = '+' THEN a.t_end = a.t_size ELSE a.t_start = 1 END) AND (CASE WHEN b.strand = '+' THEN b.t_start = 1 ELSE b.t_end = b.t_size END))
+    OR (b.q_end + 1 = a.q_start AND (CASE WHEN b.strand = '+' THEN b.t_end = b.t_size ELSE b.t_start = 1 END) AND (CASE WHEN a.strand = '+' THEN a.t_start = 1 ELSE a.t_end = a.t_size END))))
+  SELECT cluster_id, target1, pos1::BIGINT AS pos1, target2, pos2::BIGINT AS pos2 FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY k1, k2, target1, pos1, target2, pos2) AS n FROM p) WHERE n = 1""")
+def exon_boundaries(spark, d):
+    blocks = tab(spark, d, "lineitem").selectExpr("l_suppkey AS cluster_id", "1 + l_orderkey % 2 AS side", "l_orderkey * 8 + l_linenumber AS block", "concat('x', l_partkey % 500) AS target", "CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand", "1 + l_partkey % 40 AS q_start", "l_partkey % 40 + 1 + cast(l_quantity as int) % 30 AS q_end", "1 + l_partkey % 3 AS t_start", "20 + cast(l_quantity as int) % 30 AS t_end", "20 + cast(l_quantity as int) % 30 + l_orderkey % 3 AS t_size")
+    return fu.exon_boundaries(blocks)
+
+
+_REMAP = """z AS (SELECT *, CASE WHEN st = '+' THEN s ELSE -e END AS f, CASE WHEN st = '+' THEN e ELSE -s END AS l, CASE WHEN st = '+' THEN pos ELSE -pos END AS p,
+    coalesce(sum(e - s + 1) OVER (PARTITION BY {k} ORDER BY CASE WHEN st = '+' THEN s ELSE -e END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off, sum(e - s + 1) OVER (PARTITION BY {k}) AS len FROM y),
+  h AS (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY f) AS n FROM z WHERE p <= l),
+  g AS (SELECT *, greatest(p - f + 1 + lo, 1) + off AS a, greatest(p - f + 1 + hi, 1) + off AS b FROM h WHERE n = 1 AND p - f + 1 + hi >= 1)"""
+
+
+@query(f"WITH {EXON}, q AS (SELECT l_orderkey AS id, l_linenumber AS line, l_partkey AS transcript_id, l_partkey * 200 + l_suppkey % 480 AS pos, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS st, -(l_quantity::INT) AS lo, (l_suppkey % 60) AS hi FROM lineitem), r AS (SELECT DISTINCT * FROM q), y AS (SELECT r.*, x.strand, x.s, x.e FROM r JOIN exon x USING (transcript_id)), {_REMAP.format(k='id, line, transcript_id, pos, st, lo, hi')} SELECT id, line::BIGINT AS line, transcript_id, CASE WHEN st = strand THEN '+' ELSE '-' END AS remap_strand, (CASE WHEN st = strand THEN a ELSE len - b + 1 END)::BIGINT AS ts, (CASE WHEN st = strand THEN b ELSE len - a + 1 END)::BIGINT AS te FROM g WHERE a <= len")
+def remap_extended(spark, d):
+    points = tab(spark, d, "lineitem").selectExpr("l_orderkey AS id", "l_linenumber AS line", "l_partkey AS transcript_id", "l_partkey * 200 + l_suppkey % 480 AS pos", "CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand", "-cast(l_quantity as int) AS ext_min", "l_suppkey % 60 AS ext_max").distinct()
+    return gm.remap_extended(points, ad.exon(spark, d), ["id", "line"])
+
+
+@query(f"""WITH {EXON}, m AS (SELECT gene_id, transcript_id, chromosome, min(s) AS gs, max(e) AS ge FROM exon GROUP BY ALL),
+  t AS (SELECT s_suppkey AS cluster_id, k AS cluster_end, concat('c', s_nationkey % 10) AS ref_name, CASE WHEN (s_suppkey + k) % 2 = 0 THEN '+' ELSE '-' END AS strand, s_suppkey * 600 + k * 90 AS pos, 20 + s_suppkey % 7 AS size FROM (SELECT *, unnest([0, 1]) AS k FROM supplier)),
+  b AS (SELECT *, 110 - size - 30 + 1 AS lo, 290 - 20 AS hi FROM t),
+  w AS (SELECT *, CASE WHEN strand = '+' THEN pos - hi ELSE pos + lo END AS ws, CASE WHEN strand = '+' THEN pos - lo ELSE pos + hi END AS we FROM b),
+  y AS (SELECT w.cluster_id, w.cluster_end, m.gene_id, m.transcript_id, w.pos, CASE WHEN w.strand = '+' THEN '-' ELSE '+' END AS st, w.lo, w.hi, x.strand, x.s, x.e FROM w JOIN m ON m.chromosome = w.ref_name AND w.ws <= m.ge AND m.gs <= w.we JOIN exon x USING (transcript_id)),
+  {_REMAP.format(k='cluster_id, cluster_end, transcript_id')}
+  SELECT cluster_id, cluster_end::BIGINT AS cluster_end, ref_name, strand, ws::BIGINT AS s, we::BIGINT AS e FROM w
+  UNION ALL SELECT cluster_id, cluster_end::BIGINT, concat(gene_id, '|', transcript_id), CASE WHEN st = strand THEN '-' ELSE '+' END, (CASE WHEN st = strand THEN a ELSE len - b + 1 END)::BIGINT, (CASE WHEN st = strand THEN b ELSE len - a + 1 END)::BIGINT FROM g WHERE a <= len""")
+def mate_regions(spark, d):
+    from weftline.plans.pipeline import mate_regions as run
+
+    tasks = tab(spark, d, "supplier").select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("k")).selectExpr("s_suppkey AS cluster_id", "k AS cluster_end", "concat('c', s_nationkey % 10) AS ref_name", "CASE WHEN (s_suppkey + k) % 2 = 0 THEN '+' ELSE '-' END AS strand", "s_suppkey * 600 + k * 90 AS break_start", "20 + s_suppkey % 7 AS break_length")
+    return run(tasks, ad.exon(spark, d), 200.0, 30.0, 20, 30)
+
+
+@query("SELECT o_orderkey AS fragment, concat(o_orderkey, '/', 1 + side) AS qname, side::BIGINT AS side FROM (SELECT o_orderkey, 0 AS side FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL SELECT o_orderkey, 1 FROM orders WHERE o_orderkey % 4 <> 0) ORDER BY 1, 3")
+def merge_ordered(spark, d):
+    rows = tab(spark, d, "orders")
+    side = lambda k, m: rows.where(F.col("o_orderkey") % m != 0).select(F.concat_ws("/", F.col("o_orderkey").cast("string"), F.lit(str(k))).alias("qname"), F.col("o_orderkey").alias("line"))
+    return rd.merge_ordered(side(1, 3), side(2, 4), "line").select("fragment", "qname", "side")

@@ -203,3 +203,13 @@ def paired_mates(rows: DataFrame, first_only: bool = False) -> tuple[DataFrame,
     both = one.join(two, "name").where("NOT failed1 AND NOT failed2").drop("failed1", "failed2")
     alone = one.join(two, "name", "left_anti").select("name").unionByName(two.join(one, "name", "left_anti").select("name"))
     return both, alone
+
+
+def edge_list(spark: SparkSession, path: str) -> DataFrame:
+    """Edges of a bipartite graph, tab-separated: left, right."""
+    return spark.read.option("sep", "\t").schema("left string, right string").csv(path)
+
+
+def first_ends(clusters: DataFrame) -> DataFrame:
+    """Rows of the first end of every cluster: the variant that resolves clusters by one end."""
+    return clusters.where("cluster_end = 0")

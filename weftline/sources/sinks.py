@@ -39,6 +39,21 @@ def write_lines(rows: DataFrame, line: Column, path: str, max_records: int = 0)
     (writer.option("maxRecordsPerFile", max_records) if max_records else writer).text(path)
 
 
+def write_chunks(rows: DataFrame, path: str, record: Column, order: str, size: int) -> DataFrame:
+    """Write records in chunks of ``size`` rows each and give the catalogue: chunk, first_fragment, last_fragment, n.
+
+    ``order`` numbers the rows densely from 0; chunk k is the folder chunk=k.
+    """
+    cut = rows.select(F.floor(F.col(order) / size).alias("chunk"), F.col(order).alias("place"), record.alias("value"))
+    cut.repartition("chunk").sortWithinPartitions("chunk", "place").select("chunk", "value").write.partitionBy("chunk").text(path)
+    return cut.groupBy("chunk").agg(F.min("place").alias("first_fragment"), F.max("place").alias("last_fragment"), F.count("*").alias("n"))
+
+
+def write_round_robin(rows: DataFrame, path: str, record: Column, order: str, parts: int) -> None:
+    """Write row i, numbered by ``order``, to the folder part=i mod parts."""
+    rows.select(F.pmod(F.col(order), F.lit(parts)).alias("part"), record.alias("value")).write.partitionBy("part").text(path)
+
+
 def stripped_header(line: Column) -> Column:
     """A sequence header without its description."""
     return F.when(F.startswith(line, F.lit(">")), F.regexp_replace(line, r"\s.*", "")).otherwise(line)
