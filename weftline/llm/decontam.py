@@ -238,6 +238,10 @@ class Searcher:
         #: rare terms of passages; without two of them near it no window is confirmed, but for passages of common words
         self.rare = (self.index >= 0) & (idf > frequent)
         self.prune = not any(p.every for p in self.passages)
+        #: rows of the space and weights of all passages' terms, one passage after the other
+        self.flat_rows = np.concatenate([self.index[p.term] for p in self.passages]) if self.passages else np.zeros(0, np.int32)
+        self.flat_mass = np.concatenate([p.mass for p in self.passages]) if self.passages else np.zeros(0)
+        self.begins = np.concatenate([[0], np.cumsum([len(p.term) for p in self.passages])]).astype(np.int64)
         self.ease = np.sqrt(np.minimum([len(p.words) / SHORT for p in self.passages], 1)).astype(np.float32)
         texts: dict[bytes, list] = {}
         for k, p in enumerate(self.passages):
@@ -268,6 +272,49 @@ class Searcher:
         kept = self.rare_words(words)
         return (kept if len(kept) >= 3 else words).tolist()
 
+    def massive(self, term: np.ndarray, first: np.ndarray, begin: np.ndarray, passage: np.ndarray, mass: float) -> np.ndarray:
+        """Which candidates may hold the share of term weight that confirm() asks for.
+
+        The blocks within PASSAGE words of a window hold all that confirm() looks
+        at, so what fails here would fail there.
+        """
+        keep = np.zeros(len(begin), bool)
+        if not len(begin):
+            return keep
+        counts = np.diff(first)
+        n_blocks = -(-counts // BLOCK)
+        base, of = np.cumsum(n_blocks) - n_blocks, np.repeat(np.arange(len(counts)), n_blocks)
+        doc = np.searchsorted(first, begin, "right") - 1
+        block = base[doc] + (begin - first[doc]) // BLOCK
+        word_doc = np.repeat(np.arange(len(counts)), counts)
+        at = base[word_doc] + (np.arange(len(term)) - first[word_doc]) // BLOCK
+        row, reach, n_terms = self.index[term], PASSAGE // BLOCK, len(self.space)
+        step = max(1, (1 << 24) // n_terms)  # blocks whose presences are held at once
+        order = np.argsort(block, kind="stable")
+        cuts = np.searchsorted(block[order], np.arange(0, len(of) + step, step))
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            mine = order[a:b]
+            if not len(mine):
+                continue
+            low, high = max(k * step - reach, 0), min((k + 1) * step + 1 + reach, len(of))
+            present = np.zeros((high - low, n_terms), bool)
+            words = slice(*np.searchsorted(at, [low, high]))
+            known = row[words] >= 0
+            present[at[words][known] - low, row[words][known]] = True
+            own = passage[mine]
+            size = self.begins[own + 1] - self.begins[own]
+            pair = np.repeat(np.arange(len(mine)), size)
+            flat = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size) + self.begins[own][pair]
+            there = np.zeros(len(pair), bool)
+            for shift in range(-reach, reach + 2):
+                near = block[mine] + shift
+                valid = (near >= 0) & (near < len(of))
+                near = np.where(valid, near, block[mine])
+                valid &= of[near] == doc[mine]
+                there |= present[near[pair] - low, self.flat_rows[flat]] & valid[pair]
+            keep[mine] = np.bincount(pair, self.flat_mass[flat] * there, len(mine)) >= mass - 1e-4
+        return keep
+
     def short_items(self, rows: list) -> list[tuple[int, dict[int, list], dict[int, list]]]:
         """Per number of words the items by the hash of their words: those with a rare word, and the others."""
         out = []
@@ -299,6 +346,8 @@ class Searcher:
         out = [(d, self.passages[k].item, 1.0, 1.0) for d, k in self.verbatim(ids, first)]
         out += [(d, item, 1.0, 1.0) for d, item in self.short_matches(ids, first)]
         begin, end, passage, near = self.candidates(term, first, cosine)
+        some = self.massive(term, first, begin, passage, mass)
+        begin, end, passage, near = begin[some], end[some], passage[some], near[some]
         doc = np.searchsorted(first, begin, "right") - 1
         last, present = None, set()
         for k in range(len(begin)):
