@@ -130,17 +130,24 @@ def kmer_counts(seqs: DataFrame, column: str, k: int) -> DataFrame:
     return seqs.select(F.explode(every).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
 
 
-def kmer_path(counts: dict[str, int], start: str, goal: str, least: int = 1, most: int = 10_000) -> str | None:
-    """A sequence from start to goal over overlapping k-mers, commonest first."""
-    stack, seen = [(start, start)], {start}
-    while stack and len(seen) <= most:
-        node, text = stack.pop()
+def kmer_path(counts: dict[str, int], start: str, goal: str, least: int = 1) -> str | None:
+    """A sequence from start to goal over overlapping k-mers, commonest first; None if there is none.
+
+    Every k-mer is visited once at most, so the search ends with the counts given.
+    """
+    stack, came = [start], {start: ""}
+    while stack:
+        node = stack.pop()
         if node == goal:
-            return text
+            letters = []
+            while came[node]:
+                letters.append(node[-1])
+                node = came[node]
+            return node + "".join(reversed(letters))
         nexts = [(counts.get(node[1:] + c, 0), c) for c in "ACGT"]
         for n, c in sorted(nexts):
             step = node[1:] + c
-            if n >= least and step not in seen:
-                seen.add(step)
-                stack.append((step, text + c))
+            if n >= least and step not in came:
+                came[step] = node
+                stack.append(step)
     return None
