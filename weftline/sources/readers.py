@@ -68,15 +68,16 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     return sam_rows(spark.read.text(path))
 
 
-def alignments(rows: DataFrame) -> DataFrame:
+def alignments(rows: DataFrame, last: str | None = None) -> DataFrame:
     """fragment, read_end (0 or 1), ref_name, strand, s, e of mapped SAM rows.
 
-    The end comes from the name, or from the mate flags; e ignores the cigar.
+    The end comes from the name, or from the mate flags; e ignores the cigar,
+    unless a column ``last`` holds it.
     """
     suffix = F.regexp_extract("qname", "/([12])$", 1)
     flag = F.col("flag")
     end = F.when(suffix != "", suffix.cast("int") - 1).when(flag.bitwiseAND(0x40) != 0, 0).when(flag.bitwiseAND(0x80) != 0, 1)
-    return rows.where("rname <> '*'").select(F.regexp_replace("qname", "/[12]$", "").alias("fragment"), end.alias("read_end"), F.col("rname").alias("ref_name"), F.when(flag.bitwiseAND(0x10) != 0, "-").otherwise("+").alias("strand"), F.col("pos").alias("s"), (F.col("pos") + F.length("seq") - 1).alias("e"))
+    return rows.where("rname <> '*'").select(F.regexp_replace("qname", "/[12]$", "").alias("fragment"), end.alias("read_end"), F.col("rname").alias("ref_name"), F.when(flag.bitwiseAND(0x10) != 0, "-").otherwise("+").alias("strand"), F.col("pos").alias("s"), (F.col(last) if last else F.col("pos") + F.length("seq") - 1).alias("e"))
 
 
 def tsv(spark: SparkSession, path: str, schema: str, header: bool = False) -> DataFrame:
