@@ -469,7 +469,7 @@ def test_every_point_and_cluster(spark):
         own = [(max(0, g.gs - s, s - g.ge), g.gene_id) for g in genes if g.chromosome == c]
         if own:
             want.add((c, s, *min(own)))
-    got = QUERIES["nearest_gene_all"](spark, SMALL).collect()
+    got = QUERIES["nearest_gene"](spark, SMALL).collect()
     assert len(got) == len(want) and {(r.chromosome, r.s, r.distance, r.gene_id) for r in got} == want
     bounds, of = {}, {}
     for r in rows:
@@ -477,11 +477,11 @@ def test_every_point_and_cluster(spark):
         bounds[r.cluster_id, r.strand] = min(lo, r.s), max(hi, r.e)
         of.setdefault(r.fragment, set()).add(r.cluster_id)
     want = sorted((r.fragment, r.line, c) for r in rows for c in of[r.fragment] if (c, r.strand) in bounds and r.s <= bounds[c, r.strand][1] and bounds[c, r.strand][0] <= r.e)
-    assert sorted((r.fragment, r.line, r.cluster_id) for r in QUERIES["supporting_reads_all"](spark, SMALL).collect()) == want
+    assert sorted((r.fragment, r.line, r.cluster_id) for r in QUERIES["supporting_reads"](spark, SMALL).collect()) == want
 
 
 def test_whole_texts(spark):
-    texts = {r.seq_id: r.sequence for r in ad.whole_seq(spark, SMALL).where("sequence IS NOT NULL").collect()}
+    texts = {r.seq_id: r.sequence for r in ad.seq(spark, SMALL).where("sequence IS NOT NULL").collect()}
     plain = {r.doc_id: "".join(c for c in (r.text or "").upper() if c in "ACGT") for r in ad.table(spark, SMALL, "documents").collect()}
     assert max(len(x) for x in texts.values()) > 40 and all(plain[k] == x for k, x in texts.items())
     back = str.maketrans("ACGT", "TGCA")
@@ -490,22 +490,22 @@ def test_whole_texts(spark):
     for x in texts.values():
         for i in range(len(x) - 7):
             want[x[i : i + 8]] = want.get(x[i : i + 8], 0) + 1
-    assert {r.kmer: r.n for r in run("kmer_counts_whole")} == want
-    assert {r.seq_id: r.rc for r in run("revcomp_whole") if r.rc is not None} == {k: x[::-1].translate(back) for k, x in texts.items()}
+    assert {r.kmer: r.n for r in run("kmer_counts")} == want
+    assert {r.seq_id: r.rc for r in run("revcomp") if r.rc is not None} == {k: x[::-1].translate(back) for k, x in texts.items()}
     bad = lambda x: x and any(x.count(c) > len(x) * 0.4 or c * math.ceil(len(x) * 0.1) in x for c in "ACGTN")
-    assert {r.seq_id: r.sequence for r in run("garbage_filter_whole")} == {k: x for k, x in texts.items() if not bad(x)}
+    assert {r.seq_id: r.sequence for r in run("garbage_filter")} == {k: x for k, x in texts.items() if not bad(x)}
 
     def entropy(x):
         shares = [x.count(a + b) / (len(x) - 1) for a in "ACGT" for b in "ACGT"]
         return -sum(p * math.log2(p) for p in shares if p)
 
-    got = {r.seq_id: r.entropy for r in run("entropy_whole")}
+    got = {r.seq_id: r.entropy for r in run("entropy")}
     assert got.keys() == {k for k, x in texts.items() if len(x) > 1}
     assert all(abs(v - entropy(texts[k])) < 1e-5 for k, v in got.items())
     joined = {k: "".join(x[k % 25 * 3 + 120 * n : k % 25 * 3 + 120 * n + 30] for n in range(3)) for k, x in texts.items()}
     want = {k: (x if k % 2 == 0 else x[::-1].translate(back)) + "AAAAA" for k, x in joined.items()}
-    got = {r.transcript_id: r.sequence for r in run("spliced_sequence_whole")}
-    assert all(v == want[k] for k, v in got.items()) and {k for k, x in joined.items() if x} <= got.keys()
+    got = {r.transcript_id: r.sequence for r in run("spliced_sequence")}
+    assert got == {k: want[k] for k, x in joined.items() if x}
     longest = max(texts, key=lambda k: len(texts[k]))
     query = texts[longest][3:13] + texts[longest][14:26]
     assert {r.id: r.score for r in run("local_align")}[longest] == al.local_score(query, texts[longest])

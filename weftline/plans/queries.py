@@ -103,11 +103,6 @@ def garbage_filter(spark, d):
     return ad.seq(spark, d).where(~sq.is_garbage(F.col("sequence"), 0.4, 0.1))
 
 
-@query(None)
-def garbage_filter_whole(spark, d):
-    return ad.whole_seq(spark, d).where(~sq.is_garbage(F.col("sequence"), 0.4, 0.1))
-
-
 @query("SELECT p_partkey, p_type FROM part WHERE p_type IN (SELECT DISTINCT p_type FROM part WHERE p_partkey < 3) AND p_brand IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#21')")
 def isin_filter(spark, d):
     part = tab(spark, d, "part")
@@ -227,21 +222,15 @@ def strand_overlap_join(spark, d):
     return ij.overlap_join(ad.aln(spark, d), ad.gene(spark, d), [("ref_name", "chromosome"), ("strand", "gstrand")], ("s", "e"), ("gs", "ge"), 500).select("fragment", "line", "s", "gene_id")
 
 
-@query(f"""WITH {ALN}, {GENE}, p AS (SELECT DISTINCT ref_name AS chromosome, s FROM aln WHERE fragment % 20 = 0),
+@query(f"""WITH {ALN}, {GENE}, p AS (SELECT DISTINCT ref_name AS chromosome, s FROM aln),
 x AS (SELECT p.chromosome, p.s, g.gene_id, greatest(0, g.gs - p.s, p.s - g.ge) AS distance FROM p JOIN gene g ON p.chromosome = g.chromosome),
 r AS (SELECT *, row_number() OVER (PARTITION BY chromosome, s ORDER BY distance, gene_id) AS k FROM x)
 SELECT chromosome, s, distance::BIGINT AS distance, gene_id FROM r WHERE k = 1""")
 def nearest_gene(spark, d):
-    points = ad.aln(spark, d).where("fragment % 20 = 0").select(F.col("ref_name").alias("chromosome"), "s")
+    points = ad.aln(spark, d).select(F.col("ref_name").alias("chromosome"), "s")
     return ij.nearest(points, ad.gene(spark, d), "chromosome", "s", "gene_id", ("gs", "ge"), 500)
 
 
-@query(None)
-def nearest_gene_all(spark, d):
-    """nearest_gene for every point; its SQL compares each point with all genes, so it takes a twentieth."""
-    return ij.nearest(ad.aln(spark, d).select(F.col("ref_name").alias("chromosome"), "s"), ad.gene(spark, d), "chromosome", "s", "gene_id", ("gs", "ge"), 500)
-
-
 @query(f"""WITH {ALN}, b AS (SELECT DISTINCT fragment, read_end, unnest(range(s // 2048, e // 2048 + 1)) AS bin, ref_name, strand FROM aln),
 p AS (SELECT a.fragment, CASE WHEN (a.ref_name, a.strand, a.bin) <= (c.ref_name, c.strand, c.bin) THEN concat(a.ref_name, a.strand, a.bin) ELSE concat(c.ref_name, c.strand, c.bin) END AS lo,
       CASE WHEN (a.ref_name, a.strand, a.bin) <= (c.ref_name, c.strand, c.bin) THEN concat(c.ref_name, c.strand, c.bin) ELSE concat(a.ref_name, a.strand, a.bin) END AS hi FROM b a JOIN b c ON a.fragment = c.fragment AND a.read_end = 0 AND c.read_end = 1)
@@ -489,11 +478,6 @@ def entropy(spark, d):
     return ad.seq(spark, d).where(F.length("sequence") > 1).select("seq_id", sq.pair_entropy(F.col("sequence")).alias("entropy"))
 
 
-@query(None)
-def entropy_whole(spark, d):
-    return ad.whole_seq(spark, d).where(F.length("sequence") > 1).select("seq_id", sq.pair_entropy(F.col("sequence")).alias("entropy"))
-
-
 _REV = "reverse(translate({x}, 'ACGTacgt', 'TGCAtgca'))"
 
 
@@ -502,11 +486,6 @@ def revcomp(spark, d):
     return ad.seq(spark, d).select("seq_id", sq.reverse_complement(F.col("sequence")).alias("rc"))
 
 
-@query(None)
-def revcomp_whole(spark, d):
-    return ad.whole_seq(spark, d).select("seq_id", sq.reverse_complement(F.col("sequence")).alias("rc"))
-
-
 _FOUR = "concat(substring(sequence, 1, 2), substring(sequence, 5, 2))"
 
 
@@ -536,7 +515,7 @@ def adjusted_pid(spark, d):
 
 @query(f"WITH {SEQ}, j AS (SELECT seq_id, concat(substring(sequence, 1, 15), '|', substring(sequence, 16)) AS j FROM seq) SELECT seq_id, substring(j, greatest(instr(j, '|') - 10, 1), instr(j, '|') - greatest(instr(j, '|') - 10, 1)) AS left_side, substring(j, instr(j, '|') + 1, 10) AS right_side FROM j")
 def junction_context(spark, d):
-    joined = F.concat(F.substring("sequence", 1, 15), F.lit("|"), F.substring("sequence", 16, 100))
+    joined = F.concat(F.substring("sequence", 1, 15), F.lit("|"), F.expr("substring(sequence, 16)"))
     left, right = sq.junction_context(F.col("j"), 10)
     return ad.seq(spark, d).select("seq_id", joined.alias("j")).select("seq_id", left.alias("left_side"), right.alias("right_side"))
 
@@ -548,13 +527,6 @@ def kmer_counts(spark, d):
     return run(ad.seq(spark, d), "sequence", 8)
 
 
-@query(None)
-def kmer_counts_whole(spark, d):
-    from weftline.operators.alignment import kmer_counts as run
-
-    return run(ad.whole_seq(spark, d), "sequence", 8)
-
-
 _SOLEXA = "list_aggregate([chr(33 + floor(10 * log10(1 + 10 ** ((ascii(c) - 64) / 10.0::DOUBLE)) + 0.499::DOUBLE)::INT) FOR c IN string_split(q, '')], 'string_agg', '')"
 
 
@@ -898,7 +870,7 @@ def hier_cluster(spark, d):
 
 
 def _seq_pairs(spark, d):
-    rows = ad.whole_seq(spark, d).where(F.length("sequence") >= 20)
+    rows = ad.seq(spark, d).where(F.length("sequence") >= 20)
     return rows.select(F.col("seq_id").alias("id"), F.col("sequence").alias("reference"), F.concat(F.substring("sequence", 4, 10), F.substring("sequence", 15, 12)).alias("sequence"))
 
 
@@ -915,7 +887,7 @@ def split_align(spark, d):
 
     # the halves of every text, and a read of 12 letters of each, 3 and 6 letters off the middle
     half = F.floor(F.length("sequence") / 2).cast("int")
-    rows = ad.whole_seq(spark, d).where(F.length("sequence") >= 40).select("seq_id", "sequence", half.alias("half"))
+    rows = ad.seq(spark, d).where(F.length("sequence") >= 40).select("seq_id", "sequence", half.alias("half"))
     text, at = F.col("sequence"), F.col("half")
     read = F.concat(F.substring(text, at - 14, F.lit(12)), F.substring(text, at + 7, F.lit(12)))
     return split_reads(rows.select(F.col("seq_id").alias("fusion_id"), F.col("seq_id").alias("fragment"), F.lit(0).alias("read_end"), read.alias("read"), F.substring(text, F.lit(1), at).alias("ref1"), F.substring(text, at + 1, F.length(text)).alias("ref2")))
@@ -952,20 +924,10 @@ def block_pairs(spark, d):
     return x.join(y, ["cluster_id", "query"]).where("x_end < y_start").select("cluster_id", "query", "b1", "b2", (F.col("y_start") - F.col("x_end")).alias("gap"))
 
 
-@query(f"WITH {ALN}, r AS (SELECT cluster_id, strand, min(s) AS rs, max(e) AS re FROM aln WHERE cluster_id % 10 = 3 AND line = 2 GROUP BY ALL) SELECT a.fragment, a.line::BIGINT AS line, r.cluster_id FROM aln a JOIN r ON a.strand = r.strand AND a.s <= r.re AND r.rs <= a.e WHERE a.fragment IN (SELECT l_orderkey FROM lineitem WHERE l_suppkey = r.cluster_id)")
+@query(f"WITH {ALN}, r AS (SELECT cluster_id, strand, min(s) AS rs, max(e) AS re FROM aln GROUP BY ALL) SELECT a.fragment, a.line::BIGINT AS line, r.cluster_id FROM aln a JOIN r ON a.strand = r.strand AND a.s <= r.re AND r.rs <= a.e WHERE a.fragment IN (SELECT l_orderkey FROM lineitem WHERE l_suppkey = r.cluster_id)")
 def supporting_reads(spark, d):
     from weftline.plans.pipeline import supporting_reads as run
 
-    rows = ad.aln(spark, d)
-    regions = rows.where("cluster_id % 10 = 3 AND line = 2").groupBy("cluster_id", "strand").agg(F.min("s").alias("rs"), F.max("e").alias("re"))
-    return run(rows, ad.member(spark, d), regions).select("fragment", "line", "cluster_id")
-
-
-@query(None)
-def supporting_reads_all(spark, d):
-    """supporting_reads for every cluster, with regions of all its rows."""
-    from weftline.plans.pipeline import supporting_reads as run
-
     rows = ad.aln(spark, d)
     regions = rows.groupBy("cluster_id", "strand").agg(F.min("s").alias("rs"), F.max("e").alias("re"))
     return run(rows, ad.member(spark, d), regions).select("fragment", "line", "cluster_id")
@@ -1106,25 +1068,14 @@ def fasta_rows(spark, d):
     return sinks.table_to_fasta(rows, ["group", "seq_id", "sequence"])
 
 
-_BASES = "b AS (SELECT string_agg(sequence, '' ORDER BY seq_id) AS chr_seq FROM (SELECT * FROM seq ORDER BY seq_id LIMIT 30))"
-
-
-@query(f"WITH {SEQ}, {_BASES}, x AS (SELECT n_nationkey AS transcript_id, k, 1 + n_nationkey * 3 + k * 120 AS s, 30 + n_nationkey * 3 + k * 120 AS e FROM (SELECT *, unnest(range(0, 3)) AS k FROM nation)), j AS (SELECT transcript_id, string_agg(substring(chr_seq, s, e - s + 1), '' ORDER BY s) AS q FROM x, b GROUP BY 1) SELECT transcript_id::BIGINT AS transcript_id, concat(CASE WHEN transcript_id % 2 = 0 THEN q ELSE {_REV.format(x='q')} END, 'AAAAA') AS sequence FROM j")
+@query(f"WITH {SEQ}, x AS (SELECT seq_id AS transcript_id, sequence, 1 + seq_id % 25 * 3 + k * 120 AS s FROM (SELECT *, unnest(range(0, 3)) AS k FROM seq)), j AS (SELECT transcript_id, string_agg(substring(sequence, s, 30), '' ORDER BY s) AS q FROM x WHERE s <= length(sequence) GROUP BY 1) SELECT transcript_id, concat(CASE WHEN transcript_id % 2 = 0 THEN q ELSE {_REV.format(x='q')} END, 'AAAAA') AS sequence FROM j")
 def spliced_sequence(spark, d):
-    seqs = ad.seq(spark, d).orderBy("seq_id").limit(30)
-    whole = seqs.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq_id", "sequence"))), lambda x: x["sequence"]), "").alias("w"))
-    bases = whole.select(F.lit("c").alias("chromosome"), F.explode(F.sequence(F.lit(0), F.floor(F.length("w") / 64))).alias("chunk"), F.lit(64).alias("chunk_size"), "w").select("chromosome", "chunk", "chunk_size", F.substring("w", (F.col("chunk") * 64 + 1).cast("int"), F.lit(64)).alias("seq"))
-    exons = tab(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("transcript_id"), F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("k")).selectExpr("transcript_id", "'c' AS chromosome", "CASE WHEN transcript_id % 2 = 0 THEN '+' ELSE '-' END AS strand", "1 + transcript_id * 3 + k * 120 AS s", "30 + transcript_id * 3 + k * 120 AS e")
-    return gm.spliced(exons, bases, 5)
-
-
-@query(None)
-def spliced_sequence_whole(spark, d):
-    """A transcript of three exons on every text, each text a chromosome in chunks of 64."""
-    texts = ad.whole_seq(spark, d).select("seq_id", "sequence")
+    """A transcript of up to three exons on every text, each text a chromosome in chunks of 64."""
+    texts = ad.seq(spark, d).select("seq_id", "sequence")
     chunks = F.explode(F.sequence(F.lit(0), F.floor(F.length("sequence") / 64)))
     bases = texts.select(F.col("seq_id").alias("chromosome"), chunks.alias("chunk"), F.lit(64).alias("chunk_size"), "sequence").select("chromosome", "chunk", "chunk_size", F.substring("sequence", (F.col("chunk") * 64 + 1).cast("int"), F.lit(64)).alias("seq"))
-    exons = texts.select(F.col("seq_id").alias("transcript_id"), F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("k")).selectExpr("transcript_id", "transcript_id AS chromosome", "CASE WHEN transcript_id % 2 = 0 THEN '+' ELSE '-' END AS strand", "1 + transcript_id % 25 * 3 + k * 120 AS s", "30 + transcript_id % 25 * 3 + k * 120 AS e")
+    places = texts.select(F.col("seq_id").alias("transcript_id"), F.length("sequence").alias("n"), F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("k"))
+    exons = places.selectExpr("transcript_id", "transcript_id AS chromosome", "CASE WHEN transcript_id % 2 = 0 THEN '+' ELSE '-' END AS strand", "1 + transcript_id % 25 * 3 + k * 120 AS s", "30 + transcript_id % 25 * 3 + k * 120 AS e", "n").where("s <= n").drop("n")
     return gm.spliced(exons, bases, 5)
 
 

@@ -26,11 +26,7 @@ def member(spark: SparkSession, d: str) -> DataFrame:
 
 
 def seq(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").selectExpr("doc_id AS seq_id", "substring(regexp_replace(upper(text), '[^ACGT]', ''), 1, 40) AS sequence")
-
-
-def whole_seq(spark: SparkSession, d: str) -> DataFrame:
-    """All ACGT letters of every document; ``seq`` holds the first 40, as its SQL does."""
+    """All ACGT letters of every document."""
     return table(spark, d, "documents").selectExpr("doc_id AS seq_id", "regexp_replace(upper(text), '[^ACGT]', '') AS sequence")
 
 
@@ -50,7 +46,7 @@ def hits(spark: SparkSession, d: str) -> DataFrame:
 ALN = "aln AS (SELECT l_orderkey AS fragment, (l_linenumber % 2)::INT AS read_end, concat('c', (l_suppkey % 10)::VARCHAR) AS ref_name, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, l_partkey * 20 + l_linenumber AS s, l_partkey * 20 + l_linenumber + l_quantity::INT - 1 AS e, l_suppkey AS cluster_id, l_linenumber AS line FROM lineitem)"
 GENE = "gene AS (SELECT p_partkey AS gene_id, concat('c', (p_partkey % 10)::VARCHAR) AS chromosome, p_partkey * 20 AS gs, p_partkey * 20 + p_size * 10 AS ge, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS gstrand FROM part)"
 MEMBER = "member AS (SELECT DISTINCT l_suppkey AS cluster_id, l_orderkey AS fragment FROM lineitem)"
-SEQ = "seq AS (SELECT doc_id AS seq_id, substring(regexp_replace(upper(text), '[^ACGT]', '', 'g'), 1, 40) AS sequence FROM documents)"
+SEQ = "seq AS (SELECT doc_id AS seq_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') AS sequence FROM documents)"
 EXON = "exon AS (SELECT p_partkey AS transcript_id, p_partkey // 3 AS gene_id, concat('c', ((p_partkey // 3) % 10)::VARCHAR) AS chromosome, CASE WHEN (p_partkey // 3) % 2 = 0 THEN '+' ELSE '-' END AS strand, p_partkey * 200 + k * 90 + 1 AS s, p_partkey * 200 + k * 90 + 20 + p_size AS e, k::BIGINT AS k FROM (SELECT *, unnest(range(0, p_size % 5 + 1)) AS k FROM part))"
 FLAGS = "flags AS (SELECT concat(o_orderkey::VARCHAR, '/', (1 + o_orderkey % 2)::VARCHAR) AS qname, o_orderkey AS fragment, ((o_orderkey * 7) % 64 + CASE WHEN o_orderkey % 2 = 0 THEN 64 ELSE 128 END)::INT AS flag, concat('g', (o_custkey % 97)::VARCHAR, '|t', (o_custkey % 7)::VARCHAR) AS rname, concat('NM:i:1', chr(9), 'XM:i:', (o_custkey % 5)::VARCHAR) AS tags, o_custkey AS custkey, o_totalprice AS price, o_orderstatus AS status FROM orders)"
 HITS = "hits AS (SELECT l_suppkey AS cluster_id, l_quantity::INT AS matches, 50 AS q_size, (l_partkey % 5000)::INT AS t_gap_bases, (1 + l_partkey % 3)::INT AS q_start, (50 - l_orderkey % 3)::INT AS q_end, l_linenumber::INT AS block, l_partkey AS t_start, l_partkey + l_quantity::INT * 40 AS t_end, l_orderkey AS query FROM lineitem)"
