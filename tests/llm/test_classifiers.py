@@ -1,8 +1,10 @@
 """Scores of the classifiers against plain versions that take one text and one word at a time."""
 
+import hashlib
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -72,6 +74,57 @@ def test_toxicity_scores_stand_alone(spark, rows):
     assert want[None] == want[""] == want[" \n!"]
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    rng = random.Random(4)
+    made = ["".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4))) for _ in range(60)]
+    text = lambda *extra: " ".join(rng.sample([*rng.choices(made, k=5), *extra], 5 + len(extra)))
+    ids = [i for i in range(6000) if zlib.crc32(str(i).encode()) % 5]
+    bad = sorted(ids[:3000], key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    # one word is common to the first 2,500 rows of its class by a hash, others to the last 500
+    rows = [(i, text("grumpola" if k < 2500 else "vexling"), "en", "s", 1) for k, i in enumerate(bad)] + [(i, text(), "en", "s", 1) for i in ids[3000:4000]]
+    labels = spark.createDataFrame([(i, 1) for i in bad] + [(i, 0) for i in ids[3000:4000]], "doc_id long, toxic int")
+    model = toxicity.train(docs_of(spark, rows), labels, epochs=20)
+    asked = docs_of(spark, [(10_000 + k, text(*w), "en", "s", 1) for k, w in enumerate([("grumpola",), ("vexling",), ()] * 50)])
+    right = {w: [] for w in range(3)}
+    for r in toxicity.score(asked, model).collect():
+        right[(r.doc_id - 10_000) % 3].append((r.score >= 0.5) == ((r.doc_id - 10_000) % 3 < 2))
+    assert min(np.mean(v) for v in right.values()) > 0.9
+    # rows of one language alone beyond the first 2,500 still get it a threshold
+    late = set(bad[2500:]) | set(ids[3000:3500])
+    tongues = docs_of(spark, [(i, t, "fr" if i in late else "en", s, n) for i, t, _, s, n in rows])
+    assert set(toxicity.train(tongues, labels, epochs=1).thresholds) == {"en", "fr"}
+
+
+def test_toxicity_shards_hold_every_row_in_any_order(spark, rows, monkeypatch):
+    docs, labels = docs_of(spark, rows), spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(240)], "doc_id long, toxic int")
+    seen, fit = [], toxicity.fit
+
+    def watched(shards, weights, **options):
+        kept = [s for r in shards.toArrow().to_batches() for s in toxicity.unpacked([r])]
+        words = sorted((p.tobytes(), int(y), lang or "") for parts, labels, _, langs, _ in kept for p, y, lang in zip(parts, labels, langs, strict=True))
+        seen.append((len(kept), words))
+        return fit(shards, weights, **options)
+
+    monkeypatch.setattr(toxicity, "fit", watched)
+    models = [toxicity.train(docs.repartition(1), labels, shard_bytes=4000, epochs=3)]
+    monkeypatch.setattr(toxicity, "PARTIALS", 1)
+    models.append(toxicity.train(docs.repartition(7), labels, shard_bytes=4000, epochs=3))
+    trained = [(t, i % 3 == 0, lang) for i, t, lang, *_ in rows if i is not None and i < 240 and zlib.crc32(str(i).encode()) % 5]
+    want = sorted((alone(toxicity.buckets, t.encode()).astype(np.uint16).tobytes(), int(y), lang or "") for t, y, lang in trained)
+    assert [words for _, words in seen] == [want] * 2 and seen[0][0] == seen[1][0] > 4
+    assert all((a == b).all() for a, b in zip(toxicity.State(models[0], [], []).params(), toxicity.State(models[1], [], []).params(), strict=True))
+    assert models[0].thresholds == models[1].thresholds
+
+
+def test_toxicity_cut_of_counts():
+    rng = np.random.default_rng(6)
+    at = np.sort(rng.choice(1000, 40, replace=False)) / 16
+    zeros, ones = rng.integers(0, 5, 40), rng.integers(0, 5, 40)
+    right = lambda t: zeros[at < t].sum() / zeros.sum() + ones[at >= t].sum() / ones.sum()
+    assert right(toxicity.cut(at, zeros, ones)) == pytest.approx(max(right(t) for t in [*(at - 1e-6), at[-1] + 1]))
+    assert toxicity.cut(at, zeros, 0 * ones) == 0
+
+
 def test_grades_stand_alone(spark, rows):
     docs = docs_of(spark, rows)
     ratings = spark.createDataFrame([(i, 1 if i % 3 == 0 else 2 + 2 * (i % 2)) for i in range(240)] + [(7, None), (None, 1), (8, 1)], "doc_id long, quality int")

@@ -46,12 +46,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove one table."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def purge(spark: SparkSession) -> None:
     """Remove all tables written so far by this application; results read from them are gone."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in _MADE.pop(spark.sparkContext.applicationId, []):
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(conf).delete(at, True)
+        remove(spark, path)
 
 
 #: Ids up to which a filter by ids is broadcast: 16 bytes each in memory.

@@ -1,12 +1,20 @@
-"""Toxicity: a convolutional text classifier, trained in numpy.
+"""Toxicity: a convolutional text classifier, trained in numpy on the executors.
 
 A word is the sum of the hashed embeddings of itself and of its first four and
 five bytes. Filters of several widths run over the words, each keeps its
-maximum over the whole text, and a logistic layer joins them. Training rows are
-a bounded sample (``max_rows`` per class); scoring covers every whole text.
+maximum over the whole text, and a logistic layer joins them. Every labelled
+row outside the held-out fifth trains it, and scoring covers every whole text.
+
+The training rows are written once as shards of hashed words. In each epoch
+every shard goes on from the common state (parameters and moments of Adam) by
+itself; the new state is the mean over the shards, for a word's embedding over
+the shards that met the word. The means are made of sums of integers, so they
+don't depend on the order of tasks. Beside the model one more per fold is
+trained without the fold, and thresholds are cut between the logits that all
+training rows get from the model that didn't see them.
 
 Neither labels, language, source nor id enter a score. Languages only get
-thresholds of their own, fitted on the training sample, for flagging.
+thresholds of their own, for flagging.
 
 Defined results: a null or empty text scores from the biases; a document with
 several labels counts with the highest, null labels don't count; without
@@ -16,6 +24,7 @@ equal texts score alike; an unknown or null language has the common threshold.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -25,13 +34,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.llm import scratch
 from weftline.llm.textbytes import U64, Words, batches, fold
 
 VOCABULARY = 1 << 15
 WIDTH, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
 PAD = VOCABULARY
-#: Training documents of each class at most.
-MAX_ROWS = 2500
+#: Bytes of text that a training shard has about; more shards, not fewer rows, for more text.
+SHARD_BYTES = 8 << 20
+#: Parts of the training rows; thresholds judge each by a model trained on the others.
+FOLDS = 2
+#: Sums of an epoch that reach the driver at most; executors add the others first.
+PARTIALS = 4
+#: Logits are counted in steps of 1 / GRID for the thresholds.
+GRID = 256
+_ONE = 2.0**28
 
 _BREAK = np.ones(256, bool)
 _BREAK[48:58] = _BREAK[65:91] = _BREAK[97:123] = _BREAK[128:] = False
@@ -69,14 +86,16 @@ class Model:
     thresholds: dict[str, float] = field(default_factory=dict)
 
     def convolve(self, rows: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        x = self.embed[rows[0]]
+        x = self.embed.take(rows[0], axis=0)
         for r in rows[1:]:
-            x += self.embed[r]
+            x += self.embed.take(r, axis=0)
         tail = np.zeros((max(WIDTHS) - 1, x.shape[1]), x.dtype)
         x = np.concatenate([x, tail])
         n, pad = rows.shape[1], rows[0] == PAD
-        maps = [sum(x[o : o + n] @ w[o] for o in range(len(w))) for w in self.filters]
-        for m in maps:
+        maps = [x[:n] @ w[0] for w in self.filters]
+        for m, w in zip(maps, self.filters, strict=True):
+            for o in range(1, len(w)):
+                m += x[o : o + n] @ w[o]
             m[pad] = 0  # a window that begins behind the text would reach into the next one
         return x, maps
 
@@ -94,8 +113,26 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(parts: list[np.ndarray], labels: np.ndarray, epochs: int = 12, rate: float = 0.02, batch_words: int = 60_000, seed: int = 5) -> Model:
-    """Train by Adam on batches; gradients flow through the maxima only."""
+@dataclass
+class State:
+    """A model in training: its parameters, Adam's two moments of each, and the steps made."""
+
+    model: Model
+    first: list[np.ndarray]
+    second: list[np.ndarray]
+    step: int = 0
+
+    def params(self) -> list[np.ndarray]:
+        own = self.model
+        return [own.embed, *own.filters, own.bias, own.out, own.shift]
+
+    def copy(self) -> State:
+        own = self.model
+        model = Model(own.embed.copy(), [f.copy() for f in own.filters], own.bias.copy(), own.out.copy(), own.shift.copy())
+        return State(model, [m.copy() for m in self.first], [m.copy() for m in self.second], self.step)
+
+
+def initial(seed: int) -> State:
     rng = np.random.default_rng(seed)
     normal = lambda *shape, scale=0.1: rng.normal(0, scale, shape).astype(np.float32)
     embed = normal(VOCABULARY + 1, WIDTH)
@@ -103,105 +140,243 @@ def fit(parts: list[np.ndarray], labels: np.ndarray, epochs: int = 12, rate: flo
     total = FILTERS * len(WIDTHS)
     model = Model(embed, [normal(w, WIDTH, FILTERS, scale=0.3) for w in WIDTHS], np.zeros(total, np.float32), np.abs(normal(total, scale=0.5)), np.array([-1.0], np.float32))
     model.out[::2] *= -1
-    params = [model.embed, *model.filters, model.bias, model.out, model.shift]
-    moment = [[np.zeros_like(p), np.zeros_like(p)] for p in params]
-    n, step = len(labels), 0
-    share = np.maximum(np.bincount(labels, minlength=2), 1) / n
-    weights = (0.5 / share)[labels].astype(np.float32)
-    for _ in range(epochs):
-        order = rng.permutation(n)
-        sizes = np.cumsum([parts[i].shape[1] + 2 for i in order])
-        for group in np.split(order, np.flatnonzero(np.diff(sizes // batch_words)) + 1):
-            step += 1
-            first = np.concatenate([[0], np.cumsum([parts[i].shape[1] for i in group])])
-            rows, starts = padded(np.concatenate([parts[i] for i in group], axis=1), first)
-            x, maps = model.convolve(rows)
-            doc = np.repeat(np.arange(len(group)), np.diff(np.append(starts, rows.shape[1])))
-            best = [np.maximum.reduceat(m, starts, axis=0) for m in maps]
-            z = np.concatenate(best, axis=1) + model.bias
-            hidden = np.maximum(z, 0)
-            d = ((sigmoid(hidden @ model.out + model.shift[0]) - labels[group]) * weights[group] / len(group)).astype(np.float32)
-            dz = d[:, None] * model.out * (z > 0)
-            gradient = [np.zeros_like(p) for p in params]
-            gradient[-1][0], gradient[-2][:], gradient[-3][:] = d.sum(), hidden.T @ d, dz.sum(0)
-            for k, (m, top) in enumerate(zip(maps, best, strict=True)):
-                row, f = np.nonzero(m == top[doc])
-                _, once = np.unique(doc[row] * FILTERS + f, return_index=True)
-                row, f = row[once], f[once]
-                g = dz[doc[row], k * FILTERS + f] * (rows[0][row] != PAD)
-                use = np.flatnonzero(g)
-                row, f, g = row[use], f[use], g[use]
-                for o in range(WIDTHS[k]):
-                    np.add.at(gradient[1 + k][o].T, f, g[:, None] * x[row + o])
-                    back = g[:, None] * model.filters[k][o][:, f].T
-                    inside = row + o < rows.shape[1]
-                    for r in rows:
-                        np.add.at(gradient[0], r[(row + o)[inside]], back[inside])
-            gradient[0][PAD] = 0
-            for p, mo, g in zip(params, moment, gradient, strict=True):
-                mo[0] += 0.1 * (g - mo[0])
-                mo[1] += 0.01 * (g * g - mo[1])
-                p -= rate * (mo[0] / (1 - 0.9**step)) / (np.sqrt(mo[1] / (1 - 0.99**step)) + 1e-8)
-    return model
-
-
-def cut(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The logit between classes with the best balanced accuracy, midway in its gap."""
-    if len(set(labels.tolist())) < 2:
+    state = State(model, [], [])
+    state.first, state.second = ([np.zeros_like(p) for p in state.params()] for _ in range(2))
+    return state
+
+
+def epoch(state: State, parts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, order: np.ndarray, rate: float, batch_words: int) -> np.ndarray:
+    """Train once over the rows by Adam on batches; returns which embeddings had gradients.
+
+    Gradients flow through the maxima only.
+    """
+    model, params = state.model, state.params()
+    met = np.zeros(VOCABULARY + 1, bool)
+    sizes = np.cumsum([parts[i].shape[1] + 2 for i in order])
+    for group in np.split(order, np.flatnonzero(np.diff(sizes // batch_words)) + 1):
+        state.step += 1
+        first = np.concatenate([[0], np.cumsum([parts[i].shape[1] for i in group])])
+        rows, starts = padded(np.concatenate([parts[i] for i in group], axis=1), first)
+        x, maps = model.convolve(rows)
+        lengths = np.diff(np.append(starts, rows.shape[1]))
+        doc = np.repeat(np.arange(len(group)), lengths)
+        best = [np.maximum.reduceat(m, starts, axis=0) for m in maps]
+        z = np.concatenate(best, axis=1) + model.bias
+        hidden = np.maximum(z, 0)
+        d = ((sigmoid(hidden @ model.out + model.shift[0]) - labels[group]) * weights[labels[group]] / len(group)).astype(np.float32)
+        dz = d[:, None] * model.out * (z > 0)
+        gradient = [np.zeros_like(p) for p in params]
+        gradient[-1][0], gradient[-2][:], gradient[-3][:] = d.sum(), hidden.T @ d, dz.sum(0)
+        for k, (m, top) in enumerate(zip(maps, best, strict=True)):
+            row, f = np.divmod(np.flatnonzero(m == np.repeat(top, lengths, axis=0)), FILTERS)
+            _, once = np.unique(doc[row] * FILTERS + f, return_index=True)
+            row, f = row[once], f[once]
+            g = dz[doc[row], k * FILTERS + f] * (rows[0][row] != PAD)
+            use = np.flatnonzero(g)
+            row, f, g = row[use], f[use], g[use]
+            for o in range(WIDTHS[k]):
+                np.add.at(gradient[1 + k][o].T, f, g[:, None] * x[row + o])
+                back = g[:, None] * model.filters[k][o][:, f].T
+                inside = row + o < rows.shape[1]
+                for r in rows:
+                    np.add.at(gradient[0], r[(row + o)[inside]], back[inside])
+        gradient[0][PAD] = 0
+        met |= gradient[0].any(axis=1)
+        for p, one, two, g in zip(params, state.first, state.second, gradient, strict=True):
+            one += 0.1 * (g - one)
+            two += 0.01 * (g * g - two)
+            p -= rate * (one / (1 - 0.9**state.step)) / (np.sqrt(two / (1 - 0.99**state.step)) + 1e-8)
+    return met
+
+
+def averaged(state: State) -> list[np.ndarray]:
+    """What is averaged: second moments by their roots, which integers can hold."""
+    return [*state.params(), *state.first, *[np.sqrt(v) for v in state.second]]
+
+
+def changes(before: State, after: State, met: np.ndarray) -> np.ndarray:
+    """What a shard changed, as integers: such vectors add exactly, in any order."""
+    out = []
+    for old, new in zip(averaged(before), averaged(after), strict=True):
+        change = np.rint((new.astype(np.float64) - old) * _ONE).astype(np.int64)
+        if len(old) == len(met):
+            change[~met] = 0
+        out.append(change.ravel())
+    steps = after.step - before.step
+    return np.concatenate([*out, met, [steps > 0, steps]])
+
+
+def advance(state: State, total: np.ndarray) -> None:
+    """Move a state by the mean of summed changes."""
+    counts, (shards, steps), at = np.maximum(total[-(VOCABULARY + 3) : -2], 1)[:, None], total[-2:], 0
+    if not shards:
+        return
+    values = averaged(state)
+    for a in values:
+        part = total[at : at + a.size].reshape(a.shape)
+        a += (part / (_ONE * (counts if len(a) == len(counts) else shards))).astype(np.float32)
+        at += a.size
+    for own, root in zip(state.second, values[-len(state.second) :], strict=True):
+        own[:] = np.square(np.maximum(root, 0))
+    state.step += max(round(int(steps) / int(shards)), 1)
+
+
+def sealed(total: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """A sum as one row, its bytes by significance: most of the higher ones are alike."""
+    if total is not None:
+        data = zlib.compress(np.ascontiguousarray(total.astype("<i8").view(np.uint8).reshape(-1, 8).T), 1)
+        yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["total"])
+
+
+def opened(data) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def added(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in stream:
+        for v in batch.column(0):
+            own = opened(v.as_buffer())
+            total = own if total is None else total + own
+    yield from sealed(total)
+
+
+SHARD = "found binary, sizes binary, labels binary, folds binary, langs array<string>"
+
+
+def packed(stream: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a task as shards of about ``limit`` bytes of hashed words, none left out."""
+
+    def shard(rows: list[tuple]) -> pa.RecordBatch:
+        lang, label, part, found = zip(*rows, strict=True)
+        columns = [b"".join(found), np.array([len(f) // 6 for f in found], np.int64).tobytes(), np.array(label, np.int8).tobytes(), np.array(part, np.int8).tobytes()]
+        return pa.RecordBatch.from_arrays([*[pa.array([c], pa.binary()) for c in columns], pa.array([list(lang)], pa.list_(pa.string()))], names=["found", "sizes", "labels", "folds", "langs"])
+
+    rows, size = [], 0
+    for batch in stream:
+        for row in zip(*[batch.column(c).to_pylist() for c in ("lang", "label", "part", "found")], strict=True):
+            rows.append(row)
+            size += len(row[-1])
+            if size >= limit:
+                yield shard(rows)
+                rows, size = [], 0
+    if rows:
+        yield shard(rows)
+
+
+def unpacked(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray, list, int]]:
+    """Hashed words, labels, folds and languages of each shard, and a number made of its content."""
+    for batch in stream:
+        for i in range(batch.num_rows):
+            found, sizes, labels, folds = (np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in enumerate([np.uint16, np.int64, np.int8, np.int8]))
+            ends = 3 * np.cumsum(sizes)
+            parts = [found[b - 3 * n : b].reshape(3, -1) for n, b in zip(sizes, ends, strict=True)]
+            yield parts, labels.astype(np.int64), folds, batch.column(4)[i].as_py(), zlib.crc32(found)
+
+
+def fit(shards: DataFrame, weights: np.ndarray, epochs: int = 12, rate: float = 0.02, batch_words: int = 60_000, seed: int = 5) -> list[Model]:
+    """The model of all rows, then those without fold 0, 1, ..."""
+    spark = shards.sparkSession
+    states = [initial(seed) for _ in range(1 + FOLDS)]
+    for turn in range(epochs):
+        held = spark.sparkContext.broadcast(states)
+
+        def run(stream: Iterator[pa.RecordBatch], held=held, turn=turn) -> Iterator[pa.RecordBatch]:
+            total = None
+            for parts, labels, folds, _, number in unpacked(stream):
+                found = []
+                for k, before in enumerate(held.value):
+                    after, rows = before.copy(), np.flatnonzero(folds != k - 1)
+                    order = np.random.default_rng([seed, turn, number]).permutation(rows)
+                    met = epoch(after, parts, labels, weights, order, rate, batch_words) if len(rows) else np.zeros(VOCABULARY + 1, bool)
+                    found.append(changes(before, after, met))
+                total = np.concatenate(found) if total is None else total + np.concatenate(found)
+            yield from sealed(total)
+
+        path = scratch.new_path(spark, "toxicity-epoch")
+        shards.mapInArrow(run, "total binary").write.parquet(path)
+        sums = spark.read.schema("total binary").parquet(path).coalesce(PARTIALS).mapInArrow(added, "total binary")
+        total = sum(opened(r.total) for r in sums.collect())
+        for state, own in zip(states, np.split(total, len(states)), strict=True):
+            advance(state, own)
+        held.destroy()
+        scratch.remove(spark, path)
+    return [s.model for s in states]
+
+
+def cut(at: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> float:
+    """The logit between classes with the best balanced accuracy, midway in its gap.
+
+    Of rising logits with their rows of each class.
+    """
+    if not zeros.sum() or not ones.sum():
         return 0.0
-    order = np.argsort(logits, kind="stable")
-    s, y = logits[order], labels[order]
-    ok = np.concatenate([[0], np.cumsum(y == 0)]) / max((y == 0).sum(), 1) + np.concatenate([[y.sum()], y.sum() - np.cumsum(y)]) / max(y.sum(), 1)
-    ends = np.concatenate([[s[0] - 1], s, [s[-1] + 1]])
+    ok = np.concatenate([[0], np.cumsum(zeros)]) / zeros.sum() + np.concatenate([[ones.sum()], ones.sum() - np.cumsum(ones)]) / ones.sum()
+    ends = np.concatenate([[at[0] - 1], at, [at[-1] + 1]])
     top = np.flatnonzero(ok >= ok.max() - 1e-12)
     middle = top[len(top) // 2]
     return float((ends[middle] + ends[middle + 1]) / 2)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
-    """text, lang, label, doc_id of at most max_rows documents per class outside the held-out fifth."""
-    rows = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("__label"))
-    rows = rows.where(~held_out(F.col("doc_id")))
-    picked = [rows.where(F.col("__label") == k).orderBy(F.md5(F.col("doc_id").cast("string"))).limit(max_rows) for k in (0, 1)]
-    chosen = picked[0].unionByName(picked[1]).withColumnRenamed("doc_id", "__id")
+def training_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """text, lang, label, doc_id of every labelled document outside the held-out fifth."""
+    rows = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max(label).cast("int").alias("__label"))
+    rows = rows.where(~held_out(F.col("__id")))
+    if rows.count() <= scratch.BROADCAST_IDS:
+        rows = F.broadcast(rows)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     texts = docs.select(F.col("doc_id").cast("long").alias("__doc"), F.col("text").alias("__text"), lang.alias("__lang"))
-    # at most 2 * max_rows short rows are broadcast
-    return texts.join(F.broadcast(chosen), F.col("__doc") == F.col("__id")).select(F.col("__text").alias("text"), F.col("__lang").alias("lang"), F.col("__label").alias("label"), F.col("__doc").alias("doc_id"))
+    return texts.join(rows, F.col("__doc") == F.col("__id")).select(F.col("__text").alias("text"), F.col("__lang").alias("lang"), F.col("__label").alias("label"), F.col("__doc").alias("doc_id"))
 
 
 def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_ROWS, **options) -> Model:
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", shard_bytes: int = SHARD_BYTES, **options) -> Model:
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in batches(stream, "text"):
             found, first = buckets(data, offsets)
             rows = [found[:, a:b].astype(np.uint16).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(rows, pa.binary())], names=["lang", "label", "doc_id", "found"])
-
-    rows = training_rows(docs, labels, label, max_rows).mapInArrow(run, "lang string, label int, doc_id long, found binary").collect()
-    rows = sorted(rows, key=lambda r: (r.doc_id, r.label, bytes(r.found)))
-    y = np.array([r.label for r in rows], np.int64)
-    if len(set(y.tolist())) < 2:
-        return Model(*[np.zeros(1)] * 5, constant=40.0 if len(y) and y[0] else -40.0)
-    parts = [np.frombuffer(r.found, np.uint16).reshape(3, -1).astype(np.int32) for r in rows]
-    # every fifth row only calibrates
-    aside = np.arange(len(rows)) % 5 == 4
-    if len(set(y[~aside].tolist())) < 2 or len(set(y[aside].tolist())) < 2:
-        aside[:] = False
-    used = np.flatnonzero(~aside)
-    model = fit([parts[i] for i in used], y[used], **options)
-    judged = np.flatnonzero(aside) if aside.any() else used
-    logits = np.concatenate([model.logits(parts[i], np.array([0, parts[i].shape[1]])) for i in judged])
-    common = cut(logits, y[judged])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(rows, pa.binary())], names=["lang", "label", "part", "spot", "found"])
+
+    rows = training_rows(docs, labels, label)
+    # copies of a text share a fold, so that none is judged by a model that saw the others
+    part = (F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")) % FOLDS).cast("int").alias("part")
+    seen = rows.select("label", part, F.octet_length("text").alias("n")).groupBy("label", "part").agg(F.count("*").alias("rows"), F.sum("n").alias("bytes")).collect()
+    counts = np.zeros((FOLDS, 2), np.int64)
+    for r in seen:
+        counts[r.part, r.label] = r.rows
+    if not counts.sum(axis=0).all():
+        return Model(*[np.zeros(1)] * 5, constant=40.0 if counts[:, 1].any() else -40.0)
+    n = 1 + sum(r.bytes or 0 for r in seen) // shard_bytes
+    hashed = rows.select("text", "lang", "label", part, F.xxhash64("doc_id", "text").alias("spot")).mapInArrow(run, "lang string, label int, part int, spot long, found binary")
+    hashed = hashed.repartition(n, "spot").sortWithinPartitions("spot", "found", "label", "lang")
+    shards = scratch.materialise(hashed.mapInArrow(lambda stream: packed(stream, 4 * shard_bytes), SHARD), "toxicity")
+    total = counts.sum(axis=0)
+    model, *others = fit(shards, (0.5 * total.sum() / total).astype(np.float32), **options)
+    # a fold is judged by the model without it, if that one saw both classes
+    judges = others if (total - counts).all() else [model] * FOLDS
+    held = docs.sparkSession.sparkContext.broadcast(judges)
+
+    def judge(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for parts, y, folds, langs, _ in unpacked(stream):
+            logits = [held.value[k].logits(p, np.array([0, p.shape[1]]))[0] for p, k in zip(parts, folds, strict=True)]
+            at = np.rint(np.array(logits, np.float64) * GRID).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(at), pa.array(y)], names=["lang", "at", "label"])
+
+    cells = shards.mapInArrow(judge, "lang string, at long, label long").groupBy("lang", "at").agg(F.sum(1 - F.col("label")).alias("zeros"), F.sum("label").alias("ones"))
+    cells = scratch.materialise(cells, "toxicity-cells")
+    found = cells.groupBy("at").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).orderBy("at").collect()
+    column = lambda rows, name: np.array([r[name] for r in rows], np.float64)
+    common = cut(column(found, "at") / GRID, column(found, "zeros"), column(found, "ones"))
     model.shift = model.shift - np.float32(common)
-    langs = np.array([r.lang or "" for r in rows])[judged]
-    for lang in sorted(set(langs.tolist()) - {""}):
-        own = langs == lang
-        if min(np.bincount(y[judged][own], minlength=2)) >= 20:
-            model.thresholds[lang] = float(sigmoid(np.array(cut(logits[own] - common, y[judged][own]))))
+    enough = cells.where(F.col("lang") != "").groupBy("lang").agg(F.sum("zeros").alias("__z"), F.sum("ones").alias("__o")).where("least(__z, __o) >= 20").select(F.col("lang").alias("__own"))
+    own = {}
+    for r in cells.join(enough, F.col("lang") == F.col("__own")).orderBy("lang", "at").collect():
+        own.setdefault(r.lang, []).append(r)
+    for lang, rows in own.items():
+        model.thresholds[lang] = float(sigmoid(np.array(cut(column(rows, "at") / GRID, column(rows, "zeros"), column(rows, "ones")) - common)))
     return model
 
 
