@@ -2,8 +2,10 @@
 
 import hashlib
 import math
+import pickle
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -116,6 +118,61 @@ def test_toxicity_shards_hold_every_row_in_any_order(spark, rows, monkeypatch):
     assert models[0].thresholds == models[1].thresholds
 
 
+def test_toxicity_epochs_leave_no_sums_on_the_driver(spark, rows):
+    docs, labels = docs_of(spark, rows), spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(240)], "doc_id long, toxic int")
+    states = (1 + toxicity.FOLDS) * len(pickle.dumps(toxicity.initial(5)))
+    tracemalloc.start()
+    try:
+        toxicity.train(docs, labels, shard_bytes=4000, epochs=2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 6 * states
+
+
+def plain_gradients(model, texts, labels, weights):
+    """Gradients of a batch, text by text and filter by filter, and where each maximum lies."""
+    found, places, at = [np.zeros(p.shape) for p in toxicity.State(model, [], []).params()], [], 0
+    for text, y in zip(texts, labels):
+        words = np.concatenate([np.sum(model.embed[text.astype(int)], axis=0, dtype=float), np.zeros((2, toxicity.WIDTH))])
+        sums = [np.array([sum(words[i + o] @ f[o] for o in range(len(f))) for i in range(text.shape[1])] + [np.zeros(toxicity.FILTERS)] * 2) for f in model.filters]
+        tops = np.concatenate([s.max(axis=0) for s in sums])
+        spots = np.concatenate([s.argmax(axis=0) for s in sums])
+        z = tops + model.bias
+        d = (1 / (1 + math.exp(-(np.maximum(z, 0) @ model.out + model.shift[0]))) - y) * weights[y] / len(texts)
+        dz = d * model.out * (z > 0)
+        found[-1] += d
+        found[-2] += d * np.maximum(z, 0)
+        found[-3] += dz
+        for j, i in enumerate(spots):
+            k, f = divmod(j, toxicity.FILTERS)
+            for o in range(len(model.filters[k]) if i < text.shape[1] else 0):
+                found[1 + k][o][:, f] += dz[j] * words[i + o]
+                for b in text[:, i + o] if i + o < text.shape[1] else []:
+                    found[0][b] += dz[j] * model.filters[k][o][:, f]
+        places.append(at + spots)
+        at += text.shape[1] + 2
+    return found, np.array(places).T
+
+
+@pytest.mark.parametrize("piece", [3, 64, 4096])
+def test_toxicity_gradients_text_by_text(monkeypatch, piece):
+    monkeypatch.setattr(toxicity, "PIECE", piece)
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, toxicity.VOCABULARY, (3, n)).astype(np.uint16) for n in (0, 1, 2, 5, 0, 150, 3, 64, 62, 1, 0, 40, 0)]
+    texts.append(np.repeat(texts[3], 4, axis=1))
+    labels, weights = rng.integers(0, 2, len(texts)), np.array([0.7, 2], np.float32)
+    state = toxicity.initial(3)
+    want, places = plain_gradients(state.model, texts, labels, weights)
+    rows = toxicity.spaced(texts)
+    starts = np.cumsum([0, *[r.shape[1] for r in rows[:-1]]])
+    assert (toxicity.peaks(state.model, np.concatenate(rows, axis=1).astype(np.intp), starts)[2] == places).all()
+    met = toxicity.epoch(state, rows, labels, weights, np.arange(len(texts)), 0.02, 10_000)
+    assert (met == want[0].any(axis=1)).all() and state.step == 1
+    for got, g in zip(state.first, want, strict=True):
+        assert np.abs(10 * got - g).max() < 1e-5 * max(np.abs(g).max(), 1)
+
+
 def test_toxicity_cut_of_counts():
     rng = np.random.default_rng(6)
     at = np.sort(rng.choice(1000, 40, replace=False)) / 16

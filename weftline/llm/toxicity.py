@@ -24,6 +24,7 @@ equal texts score alike; an unknown or null language has the common threshold.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -44,8 +45,10 @@ PAD = VOCABULARY
 SHARD_BYTES = 8 << 20
 #: Parts of the training rows; thresholds judge each by a model trained on the others.
 FOLDS = 2
-#: Sums of an epoch that reach the driver at most; executors add the others first.
+#: Tasks that add an epoch's sums before one more moves the states.
 PARTIALS = 4
+#: Words whose filters are weighed at once in training.
+PIECE = 4096
 #: Logits are counted in steps of 1 / GRID for the thresholds.
 GRID = 256
 _ONE = 2.0**28
@@ -126,11 +129,6 @@ class State:
         own = self.model
         return [own.embed, *own.filters, own.bias, own.out, own.shift]
 
-    def copy(self) -> State:
-        own = self.model
-        model = Model(own.embed.copy(), [f.copy() for f in own.filters], own.bias.copy(), own.out.copy(), own.shift.copy())
-        return State(model, [m.copy() for m in self.first], [m.copy() for m in self.second], self.step)
-
 
 def initial(seed: int) -> State:
     rng = np.random.default_rng(seed)
@@ -145,47 +143,110 @@ def initial(seed: int) -> State:
     return state
 
 
+def spaced(parts: list[np.ndarray]) -> list[np.ndarray]:
+    """Each document's hashed words with room for the widest filter after them."""
+    room = np.full((3, max(WIDTHS) - 1), PAD, np.uint16)
+    return [np.concatenate([p, room], axis=1) for p in parts]
+
+
+def peaks(model: Model, rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words as vectors, every filter's maximum over each document, and the row where it comes first.
+
+    In pieces of rows that fit a processor's cache, all filters at once; a
+    document may reach over several pieces.
+    """
+    n, extra = rows.shape[1], max(WIDTHS) - 1
+    x = np.zeros((n + extra, WIDTH), np.float32)
+    top = np.full((FILTERS * len(WIDTHS), len(starts)), -np.inf, np.float32)
+    place = np.repeat(starts[None], len(top), axis=0)
+    weights = np.concatenate([w[o].T for w in model.filters for o in range(len(w))])
+    # arrays of a piece are made once, as new ones cost more than the work on them
+    vectors = np.empty((WIDTH, PIECE + extra), np.float32)
+    products = np.empty((len(weights), PIECE + extra), np.float32)
+    taken = np.empty((PIECE + extra, WIDTH), np.float32)
+    spread, same = np.empty((len(top), PIECE), np.float32), np.empty((len(top), PIECE), bool)
+    known = 0
+    for a in range(0, n, PIECE):
+        size, end = min(PIECE, n - a), min(a + PIECE + extra, n)
+        for at in rows[:, known:end]:
+            x[known:end] += model.embed.take(at, axis=0, out=taken[: end - known], mode="clip")
+        known = end
+        if size < PIECE:
+            vectors, products, spread, same = (np.empty((len(v), size + (v.shape[1] - PIECE)), v.dtype) for v in (vectors, products, spread, same))
+        vectors[:] = x[a : a + size + extra].T
+        np.matmul(weights, vectors, out=products)
+        maps, used = [], 0
+        for w in WIDTHS:
+            own = products[used : used + FILTERS, :size]
+            for o in range(1, w):
+                own += products[used + o * FILTERS : used + (o + 1) * FILTERS, o : o + size]
+            maps.append(own)
+            used += w * FILTERS
+        pad = np.flatnonzero(rows[0, a : a + size] == PAD)
+        lo, hi = int(np.searchsorted(starts, a, "right")) - 1, int(np.searchsorted(starts, a + size))
+        inside = np.maximum(starts[lo:hi] - a, 0)
+        doc = np.repeat(np.arange(len(inside)), np.append(inside[1:], size) - inside)
+        best = np.empty((len(top), len(inside)), np.float32)
+        for k, own in enumerate(maps):
+            own[:, pad] = 0
+            part = slice(k * FILTERS, (k + 1) * FILTERS)
+            np.maximum.reduceat(own, inside, axis=1, out=best[part])
+            np.equal(own, best[part].take(doc, axis=1, out=spread[part], mode="clip"), out=same[part])
+        f, row = np.divmod(np.flatnonzero(same)[::-1], size)
+        spot = place[:, lo:hi].copy()
+        spot[f, doc[row]] = a + row  # the first is written last
+        better = best > top[:, lo:hi]
+        np.copyto(place[:, lo:hi], spot, where=better)
+        np.maximum(top[:, lo:hi], best, out=top[:, lo:hi])
+    return x, top, place
+
+
 def epoch(state: State, parts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, order: np.ndarray, rate: float, batch_words: int) -> np.ndarray:
-    """Train once over the rows by Adam on batches; returns which embeddings had gradients.
+    """Train once over spaced rows by Adam on batches; returns which embeddings had gradients.
 
     Gradients flow through the maxima only.
     """
     model, params = state.model, state.params()
     met = np.zeros(VOCABULARY + 1, bool)
-    sizes = np.cumsum([parts[i].shape[1] + 2 for i in order])
+    sums, free = np.zeros_like(model.embed), [np.empty_like(p) for p in params]
+    sizes = np.cumsum([parts[i].shape[1] for i in order])
     for group in np.split(order, np.flatnonzero(np.diff(sizes // batch_words)) + 1):
         state.step += 1
-        first = np.concatenate([[0], np.cumsum([parts[i].shape[1] for i in group])])
-        rows, starts = padded(np.concatenate([parts[i] for i in group], axis=1), first)
-        x, maps = model.convolve(rows)
-        lengths = np.diff(np.append(starts, rows.shape[1]))
-        doc = np.repeat(np.arange(len(group)), lengths)
-        best = [np.maximum.reduceat(m, starts, axis=0) for m in maps]
-        z = np.concatenate(best, axis=1) + model.bias
+        starts = np.cumsum([0, *[parts[i].shape[1] for i in group[:-1]]])
+        rows = np.concatenate([parts[i] for i in group], axis=1).astype(np.intp)
+        x, top, place = peaks(model, rows, starts)
+        z = top.T + model.bias
         hidden = np.maximum(z, 0)
         d = ((sigmoid(hidden @ model.out + model.shift[0]) - labels[group]) * weights[labels[group]] / len(group)).astype(np.float32)
         dz = d[:, None] * model.out * (z > 0)
-        gradient = [np.zeros_like(p) for p in params]
+        gradient = [sums, *[np.empty_like(p) for p in params[1:]]]
         gradient[-1][0], gradient[-2][:], gradient[-3][:] = d.sum(), hidden.T @ d, dz.sum(0)
-        for k, (m, top) in enumerate(zip(maps, best, strict=True)):
-            row, f = np.divmod(np.flatnonzero(m == np.repeat(top, lengths, axis=0)), FILTERS)
-            _, once = np.unique(doc[row] * FILTERS + f, return_index=True)
-            row, f = row[once], f[once]
-            g = dz[doc[row], k * FILTERS + f] * (rows[0][row] != PAD)
-            use = np.flatnonzero(g)
-            row, f, g = row[use], f[use], g[use]
-            for o in range(WIDTHS[k]):
-                np.add.at(gradient[1 + k][o].T, f, g[:, None] * x[row + o])
-                back = g[:, None] * model.filters[k][o][:, f].T
+        through = dz.T * (rows[0][place] != PAD)
+        at, back = [], []
+        for k, w in enumerate(model.filters):
+            own = slice(k * FILTERS, (k + 1) * FILTERS)
+            f, doc = np.nonzero(through[own])
+            row, g = place[own][f, doc], through[own][f, doc]
+            spread = np.zeros((FILTERS, len(f)), np.float32)
+            spread[f, np.arange(len(f))] = g
+            for o in range(len(w)):
+                gradient[1 + k][o] = (spread @ x[row + o]).T
                 inside = row + o < rows.shape[1]
-                for r in rows:
-                    np.add.at(gradient[0], r[(row + o)[inside]], back[inside])
-        gradient[0][PAD] = 0
-        met |= gradient[0].any(axis=1)
-        for p, one, two, g in zip(params, state.first, state.second, gradient, strict=True):
-            one += 0.1 * (g - one)
-            two += 0.01 * (g * g - two)
-            p -= rate * (one / (1 - 0.9**state.step)) / (np.sqrt(two / (1 - 0.99**state.step)) + 1e-8)
+                at.append((row + o)[inside])
+                back.append((g[:, None] * w[o].T[f])[inside])
+        at, back = rows[:, np.concatenate(at)].ravel(), np.concatenate(back).astype(np.float64)
+        for k in range(WIDTH):
+            sums[:, k] = np.bincount(at, np.tile(back[:, k], len(rows)), len(sums))
+        sums[PAD] = 0
+        met[at] = True
+        for p, one, two, g, t in zip(params, state.first, state.second, gradient, free, strict=True):
+            # one += 0.1 * (g - one), two += 0.01 * (g * g - two), without new arrays
+            one += np.multiply(np.subtract(g, one, out=t), np.float32(0.1), out=t)
+            two += np.multiply(np.subtract(np.multiply(g, g, out=t), two, out=t), np.float32(0.01), out=t)
+            np.sqrt(np.divide(two, np.float32(1 - 0.99**state.step), out=t), out=t)
+            np.divide(one, np.add(t, np.float32(1e-8), out=t), out=t)
+            p -= np.multiply(t, np.float32(rate / (1 - 0.9**state.step)), out=t)
+    met[PAD] = False
     return met
 
 
@@ -221,24 +282,32 @@ def advance(state: State, total: np.ndarray) -> None:
     state.step += max(round(int(steps) / int(shards)), 1)
 
 
-def sealed(total: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """A sum as one row, its bytes by significance: most of the higher ones are alike."""
-    if total is not None:
-        data = zlib.compress(np.ascontiguousarray(total.astype("<i8").view(np.uint8).reshape(-1, 8).T), 1)
-        yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["total"])
+def sealed(totals: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The sums of each model as rows, their bytes by significance: most of the higher ones are alike."""
+    for number, total in totals.items():
+        planes = np.ascontiguousarray(total.astype("<i8", copy=False).view(np.uint8).reshape(-1, 8).T)
+        data = pa.compress(pa.py_buffer(planes), codec="zstd", asbytes=True)
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([planes.size], pa.int64()), pa.array([data], pa.binary())], names=["model", "size", "total"])
+
 
+def totals(stream: Iterator[pa.RecordBatch]) -> dict[int, np.ndarray]:
+    """Sealed sums of each model added up."""
+    found: dict[int, np.ndarray] = {}
+    for batch in stream:
+        for number, size, data in zip(*[batch.column(c) for c in range(3)], strict=True):
+            planes = np.frombuffer(pa.decompress(data.as_buffer(), size.as_py(), codec="zstd"), np.uint8).reshape(8, -1)
+            add(found, number.as_py(), np.ascontiguousarray(planes.T).view("<i8").ravel())
+    return found
 
-def opened(data) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
+def add(found: dict[int, np.ndarray], number: int, total: np.ndarray) -> None:
+    if number in found:
+        found[number] += total
+    else:
+        found[number] = total
 
-def added(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = None
-    for batch in stream:
-        for v in batch.column(0):
-            own = opened(v.as_buffer())
-            total = own if total is None else total + own
-    yield from sealed(total)
+
+SEALED = "model int, size long, total binary"
 
 
 SHARD = "found binary, sizes binary, labels binary, folds binary, langs array<string>"
@@ -275,33 +344,43 @@ def unpacked(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray
 
 
 def fit(shards: DataFrame, weights: np.ndarray, epochs: int = 12, rate: float = 0.02, batch_words: int = 60_000, seed: int = 5) -> list[Model]:
-    """The model of all rows, then those without fold 0, 1, ..."""
+    """The model of all rows, then those without fold 0, 1, ...
+
+    The driver only passes the states on, as bytes; executors add the sums and
+    move the states.
+    """
     spark = shards.sparkSession
-    states = [initial(seed) for _ in range(1 + FOLDS)]
+    states = [pickle.dumps(initial(seed))] * (1 + FOLDS)
     for turn in range(epochs):
         held = spark.sparkContext.broadcast(states)
 
         def run(stream: Iterator[pa.RecordBatch], held=held, turn=turn) -> Iterator[pa.RecordBatch]:
-            total = None
+            found: dict[int, np.ndarray] = {}
             for parts, labels, folds, _, number in unpacked(stream):
-                found = []
-                for k, before in enumerate(held.value):
-                    after, rows = before.copy(), np.flatnonzero(folds != k - 1)
+                parts = spaced(parts)
+                for k, data in enumerate(held.value):
+                    before, after, rows = pickle.loads(data), pickle.loads(data), np.flatnonzero(folds != k - 1)
                     order = np.random.default_rng([seed, turn, number]).permutation(rows)
                     met = epoch(after, parts, labels, weights, order, rate, batch_words) if len(rows) else np.zeros(VOCABULARY + 1, bool)
-                    found.append(changes(before, after, met))
-                total = np.concatenate(found) if total is None else total + np.concatenate(found)
-            yield from sealed(total)
-
-        path = scratch.new_path(spark, "toxicity-epoch")
-        shards.mapInArrow(run, "total binary").write.parquet(path)
-        sums = spark.read.schema("total binary").parquet(path).coalesce(PARTIALS).mapInArrow(added, "total binary")
-        total = sum(opened(r.total) for r in sums.collect())
-        for state, own in zip(states, np.split(total, len(states)), strict=True):
-            advance(state, own)
+                    add(found, k, changes(before, after, met))
+            yield from sealed(found)
+
+        def moved(stream: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            for k, total in totals(stream).items():
+                state = pickle.loads(held.value[k])
+                advance(state, total)
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([pickle.dumps(state)], pa.binary())], names=["model", "state"])
+
+        paths = [scratch.new_path(spark, "toxicity-epoch") for _ in range(2)]
+        shards.mapInArrow(run, SEALED).write.parquet(paths[0])
+        sums = spark.read.schema(SEALED).parquet(paths[0]).coalesce(PARTIALS)
+        sums.mapInArrow(lambda stream: sealed(totals(stream)), SEALED).write.parquet(paths[1])
+        new = spark.read.schema(SEALED).parquet(paths[1]).coalesce(1).mapInArrow(moved, "model int, state binary")
+        states = [bytes(r.state) for r in sorted(new.collect(), key=lambda r: r.model)]
         held.destroy()
-        scratch.remove(spark, path)
-    return [s.model for s in states]
+        for path in paths:
+            scratch.remove(spark, path)
+    return [pickle.loads(data).model for data in states]
 
 
 def cut(at: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> float:
