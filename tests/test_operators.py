@@ -143,6 +143,25 @@ def test_mixture_likelihood_rises_and_groups_are_found():
     assert any(set(m) >= set(range(5, 15)) and not set(m) & set(range(20, 40)) for m in found)
 
 
+def test_groups_fitted_together_agree_to_the_last_bit(spark):
+    rng = np.random.default_rng(12)
+    groups = []
+    for n in (5, 6, 9, 15, 23, 70):
+        for spread in (3000, 33000):
+            x, y = rng.integers(0, spread, n), rng.integers(-spread, 0, n)
+            x[1], y[1] = x[0], y[0]
+            groups.append((x, y, 3000.0 - rng.integers(2, 100, n)))
+    for n, k in ((6, 1), (6, 3), (6, 6), (9, 4)):
+        some = [g for g in groups if len(g[0]) == n]
+        a, b, last = cl.PairModels(*(np.stack([g[i].astype(float) for g in some]) for i in range(3)), 1000.0).fit(k)
+        for i, g in enumerate(some):
+            own = cl.PairModel(*g, 1000.0).fit(k)
+            assert a[i].tolist() == own[0].tolist() and b[i].tolist() == own[1].tolist() and last[i] == own[3][-1]
+    found = cl.cluster_groups(groups, 3000.0, 1000.0, 0.95, 5)
+    want = [cl.cluster_pairs(*g, 3000.0, 1000.0, 0.95, 5) for g in groups]
+    assert [[m.tolist() for m in f] for f in found] == [[m.tolist() for m in w] for w in want] and any(want)
+
+
 def test_set_cover(spark):
     rng = random.Random(3)
     rows = list({(c, rng.randrange(60) + 100 * (c % 2)) for c in range(14) for _ in range(rng.randint(1, 25))})

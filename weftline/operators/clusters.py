@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,6 +93,130 @@ class PairModel:
                 return points[:, 0], points[:, 1], weights, trace
 
 
+class PairModels:
+    """Mixtures of many groups with equally many pairs at once: what :class:`PairModel` gives for each.
+
+    x, y and u have a row per group. Sums run along the pairs as in a single
+    group, so the results agree to the last bit.
+    """
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, u: np.ndarray, sd: float, penalty: float = LAMBDA):
+        self.x, self.y, self.u, self.sd, self.penalty = x, y, u, np.float64(sd), np.float64(penalty)
+        self.whole = x + y + u
+        self.orders = [np.argsort(-v, axis=1, kind="stable") for v in (x, y)]
+        self.sorted = [np.take_along_axis(v, o, 1) for v, o in zip((x, y), self.orders, strict=True)]
+
+    def taken(self, rows: np.ndarray) -> PairModels:
+        out = object.__new__(PairModels)
+        out.sd, out.penalty = self.sd, self.penalty
+        out.x, out.y, out.u, out.whole = (v[rows] for v in (self.x, self.y, self.u, self.whole))
+        out.orders, out.sorted = [v[rows] for v in self.orders], [v[rows] for v in self.sorted]
+        return out
+
+    def log_density(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x, y, u = (v[:, None] for v in (self.x, self.y, self.u))
+        gap = a[:, :, None] + b[:, :, None] - x - y - u
+        over = np.maximum(x - a[:, :, None], 0) + np.maximum(y - b[:, :, None], 0)
+        return -0.5 * (gap / self.sd) ** 2 - self.penalty * over
+
+    def best_points(self, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`PairModel.best_point` of every component, as a, b."""
+        groups, k, size = r.shape
+        n = r.sum(2)
+        with np.errstate(all="ignore"):
+            mean = (r * self.whole[:, None]).sum(2) / n
+            least = (1e-12 * n)[:, :, None]
+            above = [np.cumsum(np.take_along_axis(r, np.broadcast_to(o[:, None], r.shape), 2), axis=2) for o in self.orders]
+            levels = np.sort(np.concatenate(above, axis=2), axis=2)
+            # a level that the next one nearly equals stands for that one
+            levels[:, :, :-1][~(np.diff(levels, axis=2) > least)] = np.inf
+            levels = np.minimum.accumulate(levels[:, :, ::-1], axis=2)[:, :, ::-1]
+            edge, corner = levels - least, []
+            base = (np.arange(groups) * size)[:, None, None]
+            for w, v in zip(above, self.sorted, strict=True):
+                place = np.zeros(edge.shape, np.int16)
+                for i in range(size - 1):  # the last place holds whatever is not below an earlier one
+                    place += w[:, :, i, None] < edge
+                corner.append(v.ravel()[base + place])
+            here = corner[0] + corner[1]
+            slope = self.sd**2 * self.penalty
+            wish = mean[:, :, None] + slope * levels / n[:, :, None]
+            stop = wish >= here
+            inner = stop.copy()
+            inner[:, :, :-1] |= wish[:, :, :-1] >= here[:, :, 1:]
+            j = inner.argmax(2)[:, :, None]
+            none = ~inner.any(2)
+            j[none] = 2 * size - 1
+            at = lambda m, i=j: np.take_along_axis(m, i, 2)[:, :, 0]
+            after = np.minimum(j + 1, 2 * size - 1)
+            h, w, corners = at(here), at(wish), [at(c) for c in corner]
+            share = (h - w) / (h - at(here, after))
+            share[at(stop)] = 0.0
+            out = [c - share * (c - at(m, after)) for c, m in zip(corners, corner, strict=True)]
+            for found, c, m, v in zip(out, corners, corner, (self.x, self.y), strict=True):
+                found[none] = (c - (h - w) / 2)[none]
+                first = mean + slope * 0.0 / n
+                spare = first >= here[:, :, 0]
+                found[spare] = (m[:, :, 0] + (first - here[:, :, 0]) / 2)[spare]
+                found[n <= 0] = np.broadcast_to(v.max(1)[:, None], n.shape)[n <= 0]
+        return out[0], out[1]
+
+    def fit(self, k: int, rounds: int = 500) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """a and b of every group's components, and its last log likelihood."""
+        groups, size = self.x.shape
+        if k == 1 or k >= size:
+            r = np.full((groups, k, size), 1.0 / k) if k == 1 else np.repeat((np.eye(k, size) * 0.98 + 0.02 / k)[None], groups, 0)
+        else:
+            r = (self.seeded(k)[:, None] == np.arange(k)[:, None]).astype(float)
+        a, b, last = np.zeros((groups, k)), np.zeros((groups, k)), np.zeros(groups)
+        rows, model, old = np.arange(groups), self, np.full(groups, np.nan)
+        for step in range(1, rounds + 1):
+            own_a, own_b = model.best_points(r)
+            with np.errstate(divide="ignore"):
+                joint = model.log_density(own_a, own_b) + np.log(r.sum(2) / size)[:, :, None]
+            top = joint.max(1)
+            total = top + np.log(np.exp(joint - top[:, None]).sum(1))
+            new = total.sum(1)
+            done = np.abs(new - old) < TOLERANCE if step < rounds else np.ones(len(rows), bool)
+            if done.any():
+                ended = rows[done]
+                a[ended], b[ended], last[ended] = own_a[done], own_b[done], new[done]
+                if done.all():
+                    break
+                rows, model, joint, total, new = rows[~done], model.taken(~done), joint[~done], total[~done], new[~done]
+            r, old = np.exp(joint - total[:, None]), new
+        return a, b, last
+
+    def seeded(self, k: int, rounds: int = 1000) -> np.ndarray:
+        """Labels of :func:`kmeans` in every group."""
+        x, y = self.x, self.y
+        every = np.arange(len(x))
+        seeds = [(x * y).argmax(1)]
+        gap = np.full(x.shape, np.inf)
+        while True:
+            own = seeds[-1]
+            gap = np.minimum(gap, (x - x[every, own][:, None]) ** 2 + (y - y[every, own][:, None]) ** 2)
+            if len(seeds) == k:
+                break
+            seeds.append(gap.argmax(1))
+        at = np.stack(seeds, axis=1)
+        cx, cy = np.take_along_axis(x, at, 1), np.take_along_axis(y, at, 1)
+        labels, rows = np.full(x.shape, -1), every
+        for _ in range(rounds):
+            px, py = x[rows][:, None], y[rows][:, None]
+            new = ((px - cx[rows][:, :, None]) ** 2 + (py - cy[rows][:, :, None]) ** 2).argmin(1)
+            moved = (new != labels[rows]).any(1)
+            rows, new = rows[moved], new[moved]
+            if not len(rows):
+                break
+            labels[rows] = new
+            held = new[:, None] == np.arange(k)[:, None]
+            n = held.sum(2)
+            for c, p in ((cx, px[moved]), (cy, py[moved])):
+                c[rows] = np.where(n > 0, np.where(held, p, 0.0).sum(2) / np.maximum(n, 1), c[rows])
+        return labels
+
+
 def kmeans(points: np.ndarray, k: int, rounds: int = 1000) -> tuple[np.ndarray, np.ndarray]:
     """Centres and labels; seeds are the largest product and then the farthest point."""
     seeds = [int((points[:, 0] * points[:, 1]).argmax())]
@@ -122,6 +247,42 @@ def cluster_pairs(x, y, u, mean: float, sd: float, precision: float, least: int)
     return [np.flatnonzero(row) for row in inside if row.sum() >= least]
 
 
+#: Groups with more pairs are fitted one by one; numbers of all components in a batch.
+MANY_PAIRS, BATCH = 64, 60_000
+
+
+def cluster_groups(groups: list[tuple[np.ndarray, np.ndarray, np.ndarray]], mean: float, sd: float, precision: float, least: int) -> list[list[np.ndarray]]:
+    """:func:`cluster_pairs` of every group (x, y, u); groups with equally many pairs are fitted together."""
+    edge = -0.5 * (normal_quantile((1 - precision) / 2)) ** 2
+    out: list[list[np.ndarray]] = [[] for _ in groups]
+    by_size: dict[int, list[int]] = {}
+    for g, (x, _, _) in enumerate(groups):
+        by_size.setdefault(len(x), []).append(g)
+    for n, every in by_size.items():
+        if n > MANY_PAIRS or n == 0:
+            for g in every:
+                out[g] = cluster_pairs(*groups[g], mean, sd, precision, least)
+            continue
+        width = max(1, BATCH // (2 * n * min(MAX_COMPONENTS, n)))
+        for start in range(0, len(every), width):
+            part = every[start : start + width]
+            model = PairModels(*(np.stack([np.asarray(groups[g][i], float) for g in part]) for i in range(3)), sd)
+            score, points, rows = np.full(len(part), np.inf), [(np.zeros(0), np.zeros(0))] * len(part), np.arange(len(part))
+            for k in range(1, min(MAX_COMPONENTS, n) + 1):
+                # no log density is above 0, so nobody with k components or more scores less than this
+                rows = rows[score[rows] > 2 * k * math.log(n) - 1e-6]
+                if not len(rows):
+                    break
+                a, b, last = model.taken(rows).fit(k)
+                own = -2 * last + 2 * k * math.log(n)
+                for i in np.flatnonzero(own < score[rows]):
+                    score[rows[i]], points[rows[i]] = own[i], (a[i], b[i])
+            for g, (a, b) in zip(part, points, strict=True):
+                inside = PairModel(*groups[g], sd).log_density(a, b) > edge
+                out[g] = [np.flatnonzero(row) for row in inside if row.sum() >= least]
+    return out
+
+
 #: Takes x, y, u, mean, sd, precision, least; gives the member numbers of each cluster.
 Clusterer = Callable[..., list[np.ndarray]]
 
@@ -134,25 +295,37 @@ def discordant_clusters(pairs: DataFrame, keys: list[str], mean: float, sd: floa
     ``clusterer`` may take the place of the mixture model.
     """
     schema = ", ".join(f"{k} {t}" for k, t in pairs.select(*keys).dtypes) + ", component int, fragment long"
+    parts = ["fragment", "x", "y", "len1", "len2"]
+
+    def solve(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            lists = batch.column("members")
+            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            flat = lists.flatten()
+            fragment, x, y, len1, len2 = (flat.field(c).to_numpy(zero_copy_only=False) for c in parts)
+            u = mean - len1 - len2
+            cuts = [slice(lo, hi) for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+            groups = [(x[c], y[c], u[c]) for c in cuts]
+            found = cluster_groups(groups, mean, sd, precision, least) if clusterer is cluster_pairs else [clusterer(*g, mean, sd, precision, least) for g in groups]
+            row, component, own = [], [], []
+            for g, (c, clusters) in enumerate(zip(cuts, found, strict=True)):
+                for k, members in enumerate(clusters):
+                    held = np.unique(fragment[c][members])
+                    if len(held) >= least:
+                        row.append(np.full(len(held), g))
+                        component.append(np.full(len(held), k, np.int32))
+                        own.append(held.astype(np.int64))
+            if row:
+                at = pa.array(np.concatenate(row))
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in keys), pa.array(np.concatenate(component)), pa.array(np.concatenate(own))], names=[*keys, "component", "fragment"])
 
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["fragment", "x", "y"], kind="stable")
-        rows: list[tuple] = []
-        if group["fragment"].nunique() >= least:
-            found = clusterer(group["x"].to_numpy(), group["y"].to_numpy(), mean - group["len1"].to_numpy() - group["len2"].to_numpy(), mean, sd, precision, least)
-            fragments, key = group["fragment"].to_numpy(), tuple(group[k].iloc[0] for k in keys)
-            for c, members in enumerate(found):
-                own = np.unique(fragments[members])
-                if len(own) >= least:
-                    rows += [(*key, c, int(f)) for f in own]
-        return pd.DataFrame(rows, columns=[*keys, "component", "fragment"])
-
-    # groups that can't give a cluster stay out of Python
-    sizes = pairs.select(*keys, "fragment").distinct().groupBy(*keys).agg(F.count("*").alias("__n"))
-    wanted = pairs.join(sizes.where(F.col("__n") >= least).drop("__n"), keys, "left_semi")
     # work grows faster than bytes, so partitions are not merged by their bytes
     tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return wanted.repartition(tasks, *keys).groupBy(*keys).applyInPandas(solve, schema)
+    dealt = pairs.select(*keys, *parts).repartition(tasks, *keys)
+    sets = dealt.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*parts))).alias("members"))
+    # groups that can't give a cluster stay out of Python
+    wanted = sets.where(F.size(F.array_distinct(F.transform("members", lambda m: m["fragment"]))) >= least)
+    return wanted.mapInArrow(solve, schema)
 
 
 def binned_clusters(pairs: DataFrame, key: str, size: int, mean: float, sd: float, precision: float = 0.95, least: int = 5) -> DataFrame:
