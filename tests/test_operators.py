@@ -220,6 +220,37 @@ def test_alignment_matrix_and_splits():
     assert "|" in al.render(read, 11, ref1, ref2, 14, 1)
 
 
+def test_very_many_tied_splits(spark):
+    rng = random.Random(14)
+
+    def plain(read, ref1, ref2):
+        n, left, right = len(read), plain_matrix(read, ref1, al.Scores()), plain_matrix(read[::-1], ref2[::-1], al.Scores())
+        best = [(max(left[j]), max(right[n - j])) for j in range(n + 1)]
+        total = [sum(v for v in b if v >= 8) for b in best]
+        if max(total) < int(0.9 * 2 * n):
+            return []
+        found = {}
+        for j in (j for j in range(n + 1) if total[j] == max(total) and min(best[j]) >= 8):
+            for i1 in (i for i, v in enumerate(left[j]) if v == best[j][0]):
+                for i2 in (i for i, v in enumerate(right[n - j]) if v == best[j][1]):
+                    found.setdefault((i1, len(ref2) - i2 - 1), (i1, len(ref2) - i2 - 1, j, n - j, min(best[j])))
+        return [found[k] for k in sorted(found)]
+
+    several = 0
+    for _ in range(40):
+        unit = "".join(rng.choice("AC") for _ in range(rng.randint(1, 4)))
+        ref1, ref2 = (unit * rng.randint(4, 9) + "".join(rng.choice("AG") for _ in range(rng.randint(0, 5))) for _ in range(2))
+        read = unit * 6
+        want = plain(read, ref1, ref2)
+        several += len({x[2] for x in want}) > 1
+        assert al.split_alignments(read, ref1, ref2) == want
+        assert [tuple(r) for part in al.split_parts(read, ref1, ref2, most=3) for r in part.tolist()] == want
+    assert several
+    rows = spark.createDataFrame([(1, 7, 0, "A" * 24, "A" * 2000, "A" * 2000)], "fusion_id long, fragment long, read_end int, read string, ref1 string, ref2 string")
+    # a place i of ref1 meets all of ref2 but 23 - min(i, 20) places
+    assert al.split_reads(rows).count() == sum(1977 + min(i, 20) for i in range(4, 2001))
+
+
 def test_local_scores_and_kmers(spark):
     rows = spark.createDataFrame([(1, "ACGTACGT", "ACGT"), (2, "CCCC", "GGGG"), (3, None, "A")], "id long, reference string, sequence string")
     assert {r.id: (r.score, r.percent) for r in al.local_scores(rows).collect()} == {1: (40, 1.0), 2: (0, 0.0), 3: (0, 0.0)}

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,32 +53,48 @@ def local_score(read: str, reference: str, scores: Scores = LOCAL) -> int:
     return int(score_matrix(read, reference, scores).max()) if read and reference else 0
 
 
-def split_alignments(read: str, ref1: str, ref2: str, scores: Scores = Scores(), least_side: int = 8, share: float = 0.9) -> list[tuple[int, int, int, int, int]]:
-    """ref_split1, ref_split2, read_split1, read_split2, score of all best splits.
+def split_parts(read: str, ref1: str, ref2: str, scores: Scores = Scores(), least_side: int = 8, share: float = 0.9, most: int = 1 << 17) -> Iterator[np.ndarray]:
+    """The rows of :func:`split_alignments` in their order, as tables of five columns.
 
-    The read's prefix ends in ref1, its suffix starts in ref2. The stored score
-    is that of the weaker side. Ties are all kept, one per pair of reference splits.
+    A table has more than ``most`` rows only if one place of ref1 has.
     """
     n = len(read)
     if not n or not ref1 or not ref2:
-        return []
+        return
     left, right = score_matrix(read, ref1, scores), score_matrix(read[::-1], ref2[::-1], scores)
     best_left, best_right = left.max(1), right.max(1)[::-1]
     usable = lambda v: np.where(v >= least_side, v, 0)
     total = usable(best_left) + usable(best_right)
     top = int(total.max())
     if top < int(share * scores.match * n):
-        return []
-    found: dict[tuple[int, int], tuple] = {}
-    for j in np.flatnonzero(total == top):
-        j = int(j)
-        if best_left[j] < least_side or best_right[j] < least_side:
-            continue
-        for i1 in np.flatnonzero(left[j] == best_left[j]):
-            for i2 in np.flatnonzero(right[n - j] == best_right[j]):
-                splits = (int(i1), len(ref2) - int(i2) - 1)
-                found.setdefault(splits, (*splits, j, n - j, int(min(best_left[j], best_right[j]))))
-    return [found[k] for k in sorted(found)]
+        return
+    cuts = [int(j) for j in np.flatnonzero((total == top) & (best_left >= least_side) & (best_right >= least_side))]
+    if not cuts:
+        return
+    # places of ref1 that the same cuts allow meet the same places of ref2, each at its first cut
+    allowed = np.stack([left[j] == best_left[j] for j in cuts])
+    places = np.flatnonzero(allowed.any(0))
+    kinds, kind = np.unique(allowed[:, places], axis=1, return_inverse=True)
+    tails = []
+    for held in kinds.T:
+        ends = [np.flatnonzero(right[n - j] == best_right[j])[::-1] for j, h in zip(cuts, held, strict=True) if h]
+        where, first = np.unique(len(ref2) - np.concatenate(ends) - 1, return_index=True)
+        cut = np.repeat([j for j, h in zip(cuts, held, strict=True) if h], [len(v) for v in ends])[first]
+        tails.append(np.stack([where, cut, n - cut, np.minimum(best_left[cut], best_right[cut])], axis=1))
+    kind = kind.ravel()
+    sizes = np.array([len(t) for t in tails])[kind]
+    table = np.cumsum(sizes) // most
+    for lo, hi in zip(*(lambda e: (e[:-1], e[1:]))(np.append(np.searchsorted(table, np.unique(table)), len(table))), strict=True):
+        yield np.column_stack([np.repeat(places[lo:hi], sizes[lo:hi]), np.concatenate([tails[k] for k in kind[lo:hi]])])
+
+
+def split_alignments(read: str, ref1: str, ref2: str, scores: Scores = Scores(), least_side: int = 8, share: float = 0.9) -> list[tuple[int, int, int, int, int]]:
+    """ref_split1, ref_split2, read_split1, read_split2, score of all best splits.
+
+    The read's prefix ends in ref1, its suffix starts in ref2. The stored score
+    is that of the weaker side. Ties are all kept, one per pair of reference splits.
+    """
+    return [tuple(row) for part in split_parts(read, ref1, ref2, scores, least_side, share) for row in part.tolist()]
 
 
 def local_scores(pairs: DataFrame, scores: Scores = LOCAL) -> DataFrame:
@@ -95,13 +112,33 @@ def local_scores(pairs: DataFrame, scores: Scores = LOCAL) -> DataFrame:
 def split_reads(rows: DataFrame, scores: Scores = Scores()) -> DataFrame:
     """rows (fusion_id, fragment, read_end, read, ref1, ref2) to all their best splits."""
 
-    def run(stream: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["fusion_id", "fragment", "read_end", "ref_split1", "ref_split2", "read_split1", "read_split2", "score"]
-        for part in stream:
-            out = [(r.fusion_id, r.fragment, r.read_end, *x) for r in part.itertuples() for x in split_alignments(r.read or "", r.ref1 or "", r.ref2 or "", scores)]
-            yield pd.DataFrame(out, columns=names).astype("int64") if out else pd.DataFrame({n: pd.Series(dtype="int64") for n in names})
-
-    return rows.select("fusion_id", "fragment", "read_end", "read", "ref1", "ref2").mapInPandas(run, "fusion_id long, fragment long, read_end long, ref_split1 long, ref_split2 long, read_split1 long, read_split2 long, score long")
+    keys, names = ["fusion_id", "fragment", "read_end"], ["ref_split1", "ref_split2", "read_split1", "read_split2", "score"]
+    most = 1 << 17  # rows of a batch, as a read may have very many
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, parts, size = [], [], 0
+
+        def given() -> pa.RecordBatch:
+            ids = np.repeat(np.array(own, np.int64), [len(p) for p in parts], axis=0)
+            found = np.concatenate(parts)
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in (*ids.T, *found.T)], names=[*keys, *names])
+
+        for batch in stream:
+            for row in batch.to_pylist():
+                for part in split_parts(row["read"] or "", row["ref1"] or "", row["ref2"] or "", scores, most=most):
+                    own.append([row[k] for k in keys])
+                    parts.append(part)
+                    size += len(part)
+                    if size >= most:
+                        yield given()
+                        own, parts, size = [], [], 0
+        if parts:
+            yield given()
+
+    # work grows with the ties, not with the bytes, so the rows are dealt out
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = rows.select(*[F.col(k).cast("long").alias(k) for k in keys], "read", "ref1", "ref2")
+    return wanted.repartition(4 * tasks, *keys).mapInArrow(run, ", ".join(f"{c} long" for c in [*keys, *names]))
 
 
 def best_splits(splits: DataFrame) -> DataFrame:
