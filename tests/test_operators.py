@@ -187,6 +187,22 @@ def test_components_and_linkage(spark):
     assert sorted(cl.linkage(d, 5)) == [[0, 1], [2, 3], [4]]
 
 
+def test_linkage_without_a_matrix(spark):
+    rng = np.random.default_rng(13)
+    for case in range(12):
+        x = rng.normal(size=(int(rng.integers(1, 60)), 1 + case % 4))
+        x[len(x) // 2 :] = x[: len(x) - len(x) // 2] + 0.01 * (case % 2) * rng.normal(size=(len(x) - len(x) // 2, x.shape[1]))
+        threshold = float(rng.uniform(0.05, 3))
+        want = np.zeros(len(x), int)
+        for group in cl.linkage(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), threshold):
+            want[group] = group[0]
+        for block in (1 << 21, 40):
+            assert cl.vector_linkage(x, threshold, block).tolist() == want.tolist()
+    # all differences of these at once would be 8 GB
+    x = rng.normal(size=(4000, 64))
+    assert len(cl.vector_linkage(x / np.linalg.norm(x, axis=1)[:, None], 1.2)) == 4000
+
+
 def test_mito_and_regions(spark):
     rows = [(1, 0, 5, "MT", "+", 1, 9), (1, 1, 5, "1", "-", 3, 8), (2, 0, 6, "1", "+", 1, 9), (2, 1, 6, "2", "+", 2, 4), (3, 0, 7, "MT", "+", 1, 2), (3, 1, 7, "MT", "+", 5, 6), (4, 0, 8, "1", "+", 1, 2)]
     df = spark.createDataFrame(rows, "cluster_id long, cluster_end int, fragment long, ref_name string, strand string, s int, e int")
