@@ -93,6 +93,17 @@ def test_sequence_functions(spark):
     assert r.e == pytest.approx(-(2 / 3) * math.log2(2 / 3))  # non-overlapping count, divided by length - 1
 
 
+def test_garbage_test_computes_its_text_once(spark):
+    rows = spark.range(1).selectExpr("regexp_replace('AACGTxx', '[^ACGT]+', '') AS s", "id").select(F.concat("s", F.col("id").cast("string")).alias("s"))
+    kept = rows.where(~sq.is_garbage(F.col("s"), 0.4, 0.5))
+    assert [r.s for r in kept.collect()] == ["AACGT0"]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat(") <= 2
+    texts = [("",), (None,), ("ACGT" * 5,), ("A" * 11 + "CGT" * 3,), ("ACGTNNNNNNNNACGTACGT",)]
+    found = spark.createDataFrame(texts, "s string").select("s", sq.is_garbage(F.col("s"), 0.5, 0.3).alias("bad")).collect()
+    assert [r.bad for r in found] == [False, None, False, True, True]
+
+
 def test_mate_and_expression_filters_reject(spark):
     rows = spark.createDataFrame([("x", 0)], "qname string, flag int")
     with pytest.raises(Exception, match="neither"):

@@ -27,7 +27,7 @@ def member(spark: SparkSession, d: str) -> DataFrame:
 
 def seq(spark: SparkSession, d: str) -> DataFrame:
     """All ACGT letters of every document."""
-    return table(spark, d, "documents").selectExpr("doc_id AS seq_id", "regexp_replace(upper(text), '[^ACGT]', '') AS sequence")
+    return table(spark, d, "documents").selectExpr("doc_id AS seq_id", "regexp_replace(upper(text), '[^ACGT]+', '') AS sequence")
 
 
 def exon(spark: SparkSession, d: str) -> DataFrame:
