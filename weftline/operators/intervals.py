@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.intervals import bin_of, bins, contains, overlaps
+from weftline.operators.tasks import dealt
 
 BIN = 10_000
 
@@ -48,8 +49,12 @@ def point_join(points: DataFrame, intervals: DataFrame, keys: list[tuple[str, st
     return a.join(b, on & F.col(at).between(F.col(interval[0]), F.col(interval[1]))).drop("__bin", "__bin_r")
 
 
-def islands(df: DataFrame, keys: list[str], s: str = "s", e: str = "e", gap: int = 1) -> DataFrame:
-    """Intervals merged where the next starts at most ``gap`` after the running end."""
+def islands(df: DataFrame, keys: list[str], s: str = "s", e: str = "e", gap: int = 1, by: list[str] | None = None) -> DataFrame:
+    """Intervals merged where the next starts at most ``gap`` after the running end.
+
+    ``by``: the keys by which rows are dealt to tasks, if not all of them.
+    """
+    df = dealt(df.select(*keys, s, e), *(keys if by is None else by))
     order = Window.partitionBy(*keys).orderBy(s, e)
     before = F.max(e).over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(before.isNull() | (F.col(s) > before + gap), 1).otherwise(0)
@@ -75,27 +80,34 @@ def depth(df: DataFrame, keys: list[str], s: str = "s", e: str = "e") -> DataFra
     return swept.where("depth > 0")
 
 
-def nearest(points: DataFrame, intervals: DataFrame, key: str, at: str, ident: str, interval: tuple[str, str], size: int = BIN) -> DataFrame:
+def nearest(points: DataFrame, intervals: DataFrame, key: str, at: str, ident: str, interval: tuple[str, str], size: int = BIN, width: int = 1 << 20) -> DataFrame:
     """Each distinct point with its nearest interval: smallest distance, then smallest id.
 
     Candidates are intervals that hold the point, the last one that ends before
     and the first one that starts after; ordered windows carry the latter two.
     """
     s, e = interval
-    points = points.select(key, at).distinct()
+    points = dealt(points.select(key, at), key, at).distinct()
     inside = point_join(points, intervals.select(F.col(key).alias("__key"), ident, s, e), [(key, "__key")], at, interval, size)
     inside = inside.select(key, at, F.lit(0).cast("long").alias("distance"), F.col(ident))
 
     def carried(position: Column, down: bool) -> DataFrame:
+        # ranges of one key are swept apart; each starts from the edge that the ranges before it end with
         edge = intervals.groupBy(key, position.alias(at)).agg(F.min(ident).alias(ident)).withColumn("edge", F.col(at))
         mixed = edge.unionByName(points.select(key, at).withColumn(ident, F.lit(None).cast(edge.schema[ident].dataType)).withColumn("edge", F.lit(None).cast(edge.schema["edge"].dataType)))
-        order = Window.partitionBy(key).orderBy(F.col(at) if down else F.col(at).desc(), F.col("edge").isNull()).rowsBetween(Window.unboundedPreceding, 0)
-        last = F.last(F.when(F.col("edge").isNotNull(), F.struct("edge", ident)), ignorenulls=True).over(order)
-        found = mixed.withColumn("__last", last).where(F.col("edge").isNull() & F.col("__last").isNotNull())
+        mixed = mixed.withColumn("__range", F.floor(F.col(at) / width))
+        held = F.when(F.col("edge").isNotNull(), F.struct("edge", ident))
+        ends = mixed.groupBy(key, "__range").agg((F.max if down else F.min)(held).alias("__end"))
+        ranges = Window.partitionBy(key).orderBy(F.col("__range") if down else F.col("__range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.select(F.col(key).alias("__key"), F.col("__range").alias("__r"), F.last("__end", ignorenulls=True).over(ranges).alias("__before"))
+        order = Window.partitionBy(key, "__range").orderBy(F.col(at) if down else F.col(at).desc(), F.col("edge").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+        swept = dealt(mixed, key, "__range").withColumn("__own", F.last(held, ignorenulls=True).over(order)).where(F.col("edge").isNull())
+        swept = swept.join(ends, (F.col(key) == F.col("__key")) & (F.col("__range") == F.col("__r")))
+        found = swept.withColumn("__last", F.coalesce("__own", "__before")).where(F.col("__last").isNotNull())
         return found.select(key, at, F.abs(F.col(at) - F.col("__last.edge")).cast("long").alias("distance"), F.col(f"__last.{ident}").alias(ident))
 
     every = inside.unionByName(carried(F.col(e), True)).unionByName(carried(F.col(s), False))
-    return every.groupBy(key, at).agg(F.min(F.struct("distance", ident)).alias("m")).select(key, at, F.col("m.distance").alias("distance"), F.col(f"m.{ident}").alias(ident))
+    return dealt(every, key, at).groupBy(key, at).agg(F.min(F.struct("distance", ident)).alias("m")).select(key, at, F.col("m.distance").alias("distance"), F.col(f"m.{ident}").alias(ident))
 
 
 def adjacency(genes: DataFrame, key: str, ident: str, interval: tuple[str, str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from weftline.functions.intervals import bin_of, bins
 from weftline.functions.sequences import gene_of
 from weftline.operators.intervals import islands, overlap_join
+from weftline.operators.tasks import dealt
 
 PROPER, UNMAPPED, REVERSE, FIRST, SECOND = 0x2, 0x4, 0x10, 0x40, 0x80
 _TEST = re.compile(r"\s*(==|=|!=|<>|<=|>=|<|>)\s*('[^']*'|-?\d+(?:\.\d+)?(?:[eE]-?\d+)?)\s*\Z")
@@ -109,12 +110,12 @@ def sampled_covariance(samples: DataFrame, draw: str, least: int = 100) -> DataF
 
 def alignment_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Islands of alignments per read: copies that overlap count once."""
-    return islands(rows, [*keys, "ref_name"], gap=0).groupBy(*keys).agg(F.count("*").alias("n_alignments"))
+    return islands(rows, [*keys, "ref_name"], gap=0, by=keys).groupBy(*keys).agg(F.count("*").alias("n_alignments"))
 
 
 def unmappable(counts: DataFrame, most: int = 10) -> DataFrame:
     """Fragments whose product of end counts passes the bound; a missing end counts 1."""
-    ends = counts.groupBy("fragment").agg(F.max(F.when(F.col("read_end") == 0, F.col("n_alignments"))).alias("n0"), F.max(F.when(F.col("read_end") == 1, F.col("n_alignments"))).alias("n1"))
+    ends = dealt(counts, "fragment").groupBy("fragment").agg(F.max(F.when(F.col("read_end") == 0, F.col("n_alignments"))).alias("n0"), F.max(F.when(F.col("read_end") == 1, F.col("n_alignments"))).alias("n1"))
     return ends.where(F.coalesce("n0", F.lit(1)) * F.coalesce("n1", F.lit(1)) > most).select("fragment")
 
 
@@ -174,11 +175,12 @@ def bin_pairs(rows: DataFrame, size: int, reach: int, least: int) -> DataFrame:
     The smaller bin by reference, strand and number comes first. A fragment's
     ends meet by its own key, so no group is crossed with itself.
     """
-    cut = rows.select("fragment", "read_end", F.explode(bins(F.greatest(F.col("s") - reach, F.lit(0)), F.col("e") + reach, size)).alias("bin"), "ref_name", "strand").distinct()
+    cut = rows.select("fragment", "read_end", F.explode(bins(F.greatest(F.col("s") - reach, F.lit(0)), F.col("e") + reach, size)).alias("bin"), "ref_name", "strand")
+    cut = dealt(cut, "fragment").distinct()
     side = lambda end, x: cut.where(F.col("read_end") == end).select("fragment", F.struct("ref_name", "strand", "bin").alias(x))
     pairs = side(0, "a").join(side(1, "b"), "fragment").select("fragment", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
     # both orders of a pair are one, so a fragment may come twice
-    counted = pairs.distinct().groupBy("lo", "hi").agg(F.count("*").alias("n_fragments"))
+    counted = dealt(pairs.distinct(), "lo", "hi").groupBy("lo", "hi").agg(F.count("*").alias("n_fragments"))
     return counted.where(F.col("n_fragments") >= least)
 
 

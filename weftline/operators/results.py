@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.fusions import adjusted_identity
+from weftline.operators.tasks import dealt
 
 FEATURES = ["break_adj_entropy_min", "cdna_breakseqs_percident", "genome_breakseqs_percident", "est_breakseqs_percident", "splitr_span_pvalue", "splitr_pos_pvalue", "splitr_min_pvalue", "breakpoint_homology", "span_coverage_min", "breakseqs_estislands_percident", "num_splice_variants", "splice_score", "max_repeat_proportion", "mean_map_count"]
 
@@ -43,7 +44,7 @@ def splice_variants(fusions: DataFrame) -> DataFrame:
 
 def mapping_stats(members: DataFrame, counts: DataFrame) -> DataFrame:
     """Per cluster: least, most and mean product of end counts, and how many exceed 1."""
-    product = counts.groupBy("fragment").agg(F.max(F.when(F.col("read_end") == 0, F.col("n_alignments"))).alias("n0"), F.max(F.when(F.col("read_end") == 1, F.col("n_alignments"))).alias("n1"))
+    product = dealt(counts, "fragment").groupBy("fragment").agg(F.max(F.when(F.col("read_end") == 0, F.col("n_alignments"))).alias("n0"), F.max(F.when(F.col("read_end") == 1, F.col("n_alignments"))).alias("n1"))
     product = product.select("fragment", (F.coalesce("n0", F.lit(1)) * F.coalesce("n1", F.lit(1))).alias("n"))
     return members.join(product, "fragment").groupBy("cluster_id").agg(F.min("n").alias("min_map_count"), F.max("n").alias("max_map_count"), F.avg("n").alias("mean_map_count"), F.count_if(F.col("n") > 1).alias("num_multi_map"))
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.operators.tasks import dealt
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -22,7 +24,7 @@ def gene(spark: SparkSession, d: str) -> DataFrame:
 
 
 def member(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").selectExpr("l_suppkey AS cluster_id", "l_orderkey AS fragment").distinct()
+    return dealt(table(spark, d, "lineitem").selectExpr("l_suppkey AS cluster_id", "l_orderkey AS fragment"), "fragment").distinct()
 
 
 def seq(spark: SparkSession, d: str) -> DataFrame:
