@@ -20,6 +20,7 @@ from weftline.operators import genemodels as gm
 from weftline.operators import intervals as ij
 from weftline.operators import reads as rd
 from weftline.operators import results as rs
+from weftline.operators.tasks import dealt
 from weftline.sources import adapters as ad
 from weftline.sources import formats, readers, sinks
 from weftline.sources.adapters import ALN, EXON, FLAGS, GENE, HITS, MEMBER, OFF, SEQ, rounded
@@ -242,7 +243,7 @@ def bin_pairs(spark, d):
 
 @query(f"WITH {ALN} SELECT DISTINCT a.fragment, least(a.ref_name, b.ref_name) AS chr1, greatest(a.ref_name, b.ref_name) AS chr2 FROM aln a JOIN aln b ON a.fragment = b.fragment AND a.read_end = 0 AND b.read_end = 1")
 def chr_pairs(spark, d):
-    ends = ad.aln(spark, d).select("fragment", "read_end", "ref_name").distinct()
+    ends = dealt(ad.aln(spark, d).select("fragment", "read_end", "ref_name"), "fragment").distinct()
     a, b = (ends.where(F.col("read_end") == k).select("fragment", F.col("ref_name").alias(f"r{k}")) for k in (0, 1))
     return a.join(b, "fragment").select("fragment", F.least("r0", "r1").alias("chr1"), F.greatest("r0", "r1").alias("chr2")).distinct()
 
@@ -770,10 +771,11 @@ def mito_segregate(spark, d):
 def _candidates(spark, d):
     """Distinct gene pairs that the two ends of a fragment overlap, with their support."""
     rows = ad.aln(spark, d).select("fragment", "read_end", "ref_name", "s", "e")
-    hits = ij.overlap_join(rows, ad.gene(spark, d), [("ref_name", "chromosome")], ("s", "e"), ("gs", "ge"), 500).select("fragment", "read_end", "gene_id").distinct()
+    hits = ij.overlap_join(rows, ad.gene(spark, d), [("ref_name", "chromosome")], ("s", "e"), ("gs", "ge"), 500).select("fragment", "read_end", "gene_id")
+    hits = dealt(hits, "fragment").distinct()
     a, b = (hits.where(F.col("read_end") == k).select("fragment", F.col("gene_id").alias(f"g{k}")) for k in (0, 1))
     pairs = a.join(b, "fragment").where("g0 <> g1").select("fragment", F.least("g0", "g1").alias("gene1"), F.greatest("g0", "g1").alias("gene2"))
-    return pairs.groupBy("gene1", "gene2").agg(F.countDistinct("fragment").alias("support"))
+    return dealt(pairs.distinct(), "gene1", "gene2").groupBy("gene1", "gene2").agg(F.count("*").alias("support"))
 
 
 _PAIRS = f"{ALN}, {GENE}, h AS (SELECT DISTINCT a.fragment, a.read_end, g.gene_id FROM aln a JOIN gene g ON {_OVER}), c AS (SELECT least(x.gene_id, y.gene_id) AS gene1, greatest(x.gene_id, y.gene_id) AS gene2, count(DISTINCT x.fragment)::BIGINT AS support FROM h x JOIN h y ON x.fragment = y.fragment AND x.read_end = 0 AND y.read_end = 1 AND x.gene_id <> y.gene_id GROUP BY 1, 2)"
@@ -1159,7 +1161,8 @@ _REMAP = """z AS (SELECT *, CASE WHEN st = '+' THEN s ELSE -e END AS f, CASE WHE
 
 @query(f"WITH {EXON}, q AS (SELECT l_orderkey AS id, l_linenumber AS line, l_partkey AS transcript_id, l_partkey * 200 + l_suppkey % 480 AS pos, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS st, -(l_quantity::INT) AS lo, (l_suppkey % 60) AS hi FROM lineitem), r AS (SELECT DISTINCT * FROM q), y AS (SELECT r.*, x.strand, x.s, x.e FROM r JOIN exon x USING (transcript_id)), {_REMAP.format(k='id, line, transcript_id, pos, st, lo, hi')} SELECT id, line::BIGINT AS line, transcript_id, CASE WHEN st = strand THEN '+' ELSE '-' END AS remap_strand, (CASE WHEN st = strand THEN a ELSE len - b + 1 END)::BIGINT AS ts, (CASE WHEN st = strand THEN b ELSE len - a + 1 END)::BIGINT AS te FROM g WHERE a <= len")
 def remap_extended(spark, d):
-    points = tab(spark, d, "lineitem").selectExpr("l_orderkey AS id", "l_linenumber AS line", "l_partkey AS transcript_id", "l_partkey * 200 + l_suppkey % 480 AS pos", "CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand", "-cast(l_quantity as int) AS ext_min", "l_suppkey % 60 AS ext_max").distinct()
+    points = tab(spark, d, "lineitem").selectExpr("l_orderkey AS id", "l_linenumber AS line", "l_partkey AS transcript_id", "l_partkey * 200 + l_suppkey % 480 AS pos", "CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand", "-cast(l_quantity as int) AS ext_min", "l_suppkey % 60 AS ext_max")
+    points = dealt(points, "transcript_id").distinct()
     return gm.remap_extended(points, ad.exon(spark, d), ["id", "line"])
 
 
