@@ -10,15 +10,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.operators.intervals import point_join
+from weftline.operators.tasks import dealt
 
 
 def with_offsets(exons: DataFrame) -> DataFrame:
-    """Exons with the transcript range that they cover: ts, te, and the whole length."""
+    """Exons with the transcript range that they cover: ts, te, and the whole length.
+
+    Few bytes of a table can hold many exons, so joins with them are never broadcast.
+    """
     along = Window.partitionBy("transcript_id").orderBy(F.when(F.col("strand") == "+", F.col("s")).otherwise(-F.col("s")))
     size = F.col("e") - F.col("s") + 1
     te = F.sum(size).over(along.rowsBetween(Window.unboundedPreceding, 0))
     total = F.sum(size).over(Window.partitionBy("transcript_id"))
-    return exons.withColumn("te", te).withColumn("ts", F.col("te") - size + 1).withColumn("t_length", total)
+    return exons.withColumn("te", te).withColumn("ts", F.col("te") - size + 1).withColumn("t_length", total).hint("merge")
 
 
 def exon_arrays(exons: DataFrame) -> DataFrame:
@@ -68,7 +72,7 @@ def exon_position(positions: DataFrame, exons: DataFrame) -> DataFrame:
     """transcript_id, exon_no (from 0 by start), x_pos (from 1 along the strand) on the genome."""
     number = F.row_number().over(Window.partitionBy("transcript_id").orderBy("s")) - 1
     at = F.when(F.col("strand") == "+", F.col("s") + F.col("x_pos") - 1).otherwise(F.col("e") - F.col("x_pos") + 1)
-    return positions.join(exons.withColumn("exon_no", number), ["transcript_id", "exon_no"]).select("transcript_id", "exon_no", "x_pos", at.alias("g_pos"))
+    return positions.join(exons.withColumn("exon_no", number).hint("merge"), ["transcript_id", "exon_no"]).select("transcript_id", "exon_no", "x_pos", at.alias("g_pos"))
 
 
 def remap_extended(points: DataFrame, exons: DataFrame, keys: list[str]) -> DataFrame:
@@ -81,11 +85,11 @@ def remap_extended(points: DataFrame, exons: DataFrame, keys: list[str]) -> Data
     """
     size = F.col("e") - F.col("s") + 1
     ahead = lambda first: Window.partitionBy("transcript_id").orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
-    sized = exons.select("transcript_id", F.col("strand").alias("t_strand"), "s", "e", F.coalesce(F.sum(size).over(ahead("s")), F.lit(0)).alias("before_plus"), F.coalesce(F.sum(size).over(ahead(F.desc("e"))), F.lit(0)).alias("before_minus"), F.sum(size).over(Window.partitionBy("transcript_id")).alias("t_length"))
+    sized = dealt(exons, "transcript_id").select("transcript_id", F.col("strand").alias("t_strand"), "s", "e", F.coalesce(F.sum(size).over(ahead("s")), F.lit(0)).alias("before_plus"), F.coalesce(F.sum(size).over(ahead(F.desc("e"))), F.lit(0)).alias("before_minus"), F.sum(size).over(Window.partitionBy("transcript_id")).alias("t_length"))
     plus = F.col("strand") == "+"
     at, first, last = F.when(plus, F.col("pos")).otherwise(-F.col("pos")), F.when(plus, F.col("s")).otherwise(-F.col("e")), F.when(plus, F.col("e")).otherwise(-F.col("s"))
     before = F.when(plus, F.col("before_plus")).otherwise(F.col("before_minus"))
-    held = points.join(sized, "transcript_id").where(at <= last)
+    held = dealt(points, "transcript_id").join(sized.hint("merge"), "transcript_id").where(at <= last)
     own = [*keys, "transcript_id", "pos", "strand", "ext_min", "ext_max"]
     near = held.groupBy(*own).agg(F.min(F.struct(first.alias("first"), before.alias("before"), "t_strand", "t_length")).alias("x")).select(*own, "x.*")
     shift = F.when(F.col("strand") == "+", F.col("pos")).otherwise(-F.col("pos")) - F.col("first") + 1
@@ -113,7 +117,7 @@ def gene_regions(exons: DataFrame) -> DataFrame:
 def utrs(exons: DataFrame, cds: DataFrame) -> DataFrame:
     """Exon parts outside the coding range; the side follows the strand."""
     span = cds.groupBy("transcript_id").agg(F.min("s").alias("cs"), F.max("e").alias("ce"))
-    rows = exons.join(span, "transcript_id")
+    rows = exons.join(span.hint("merge"), "transcript_id")
     left = rows.where("s < cs").select("transcript_id", "chromosome", "s", F.least(F.col("e"), F.col("cs") - 1).alias("e"), F.when(F.col("strand") == "+", "utr5p").otherwise("utr3p").alias("side"))
     right = rows.where("e > ce").select("transcript_id", "chromosome", F.greatest(F.col("s"), F.col("ce") + 1).alias("s"), "e", F.when(F.col("strand") == "+", "utr3p").otherwise("utr5p").alias("side"))
     return left.unionByName(right)
@@ -133,7 +137,7 @@ def gene_locations(points: DataFrame, genes: DataFrame, parts: DataFrame, size:
     named = F.when(F.col("pos") < F.col("gs"), F.when(plus, "upstream").otherwise("downstream")).when(F.col("pos") > F.col("ge"), F.when(plus, "downstream").otherwise("upstream"))
     inside = F.when(F.col("rank") == 0, "coding").when(F.col("rank") == 1, "utr5p").when(F.col("rank") == 2, "utr3p").otherwise("intron")
     named = F.coalesce(named, inside)
-    return wanted.join(genes, "gene_id").join(best, ["gene_id", "pos"], "left").select("gene_id", "pos", named.alias("location"))
+    return wanted.join(genes.hint("merge"), "gene_id").join(best.hint("merge"), ["gene_id", "pos"], "left").select("gene_id", "pos", named.alias("location"))
 
 
 def spliced(exons: DataFrame, bases: DataFrame, tail: int = 0) -> DataFrame:

@@ -127,15 +127,16 @@ def mate_regions(tasks: DataFrame, exons: DataFrame, mean: float, sd: float, min
     models = exons.groupBy("gene_id", "transcript_id", "chromosome", F.col("strand").alias("t_strand")).agg(F.min("s").alias("gs"), F.max("e").alias("ge"))
     named = F.concat_ws("|", "gene_id", "transcript_id")
     known = models.select(named.alias("ref_name"), "transcript_id", "t_strand")
-    rows = rows.join(known, "ref_name", "left")
+    # a table's bytes say little of its exons, so nothing is broadcast
+    rows = rows.join(known.hint("merge"), "ref_name", "left")
     at = rows.where("transcript_id IS NOT NULL").select("transcript_id", F.col("pos").alias("t_pos")).distinct()
     on = gm.to_genome(at, exons).withColumnsRenamed({"t_pos": "pos", "chromosome": "t_chromosome"})
-    rows = rows.join(on, ["transcript_id", "pos"], "left")
+    rows = rows.join(on.hint("merge"), ["transcript_id", "pos"], "left")
     strand = F.when(F.col("transcript_id").isNull(), F.col("strand")).otherwise(F.when(F.col("strand") == F.col("t_strand"), "+").otherwise("-"))
     rows = rows.select(*keys, F.coalesce("t_chromosome", "ref_name").alias("ref_name"), strand.alias("strand"), F.coalesce("g_pos", "pos").alias("pos"), "ext_min", "ext_max")
     plus = F.col("strand") == "+"
     rows = rows.withColumns({"s": F.when(plus, F.col("pos") - F.col("ext_max")).otherwise(F.col("pos") + F.col("ext_min")), "e": F.when(plus, F.col("pos") - F.col("ext_min")).otherwise(F.col("pos") + F.col("ext_max"))})
-    found = ij.overlap_join(rows, models.drop("t_strand"), [("ref_name", "chromosome")], ("s", "e"), ("gs", "ge"), 10_000)
+    found = ij.overlap_join(rows, models.drop("t_strand").hint("merge"), [("ref_name", "chromosome")], ("s", "e"), ("gs", "ge"), 10_000)
     other = lambda c: F.when(F.col(c) == "+", "-").otherwise("+")
     points = found.select(*keys, "transcript_id", named.alias("ref_name"), "pos", other("strand").alias("strand"), "ext_min", "ext_max")
     carried = gm.remap_extended(points, exons, [*keys, "ref_name"]).select(*keys, "ref_name", other("remap_strand").alias("strand"), F.col("ts").alias("s"), F.col("te").alias("e"))
