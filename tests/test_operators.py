@@ -58,6 +58,31 @@ def test_nearest_against_brute_force(spark, random_spans):
         assert got[k, s] == min((max(0, y[1] - s, s - y[2]), y[3]) for y in right if y[0] == k)
 
 
+def test_nearest_across_ranges(spark, random_spans):
+    points, genes = random_spans
+    df = spans(spark, points).select("k", "s")
+    own = spans(spark, genes, "k string, gs int, ge int, g int")
+    rows = lambda **o: sorted(map(tuple, ij.nearest(df, own, "k", "s", "g", ("gs", "ge"), 50, **o).collect()))
+    assert rows(width=7) == rows(width=100_000)
+
+
+def test_tasks_follow_the_size(spark, monkeypatch):
+    from weftline.operators import tasks
+
+    rows = ad.aln(spark, SMALL)
+    assert tasks.task_count(rows) == 4
+    monkeypatch.setattr(tasks, "TASK_BYTES", 1000)
+    assert tasks.task_count(rows) > 100
+    for made in (rd.alignment_counts(rows, ["fragment", "read_end"]), rd.bin_pairs(rows, 2048, 0, 3), cl.dedupe_positions(rows.withColumn("cluster_end", F.col("read_end"))), QUERIES["chr_pairs"](spark, SMALL)):
+        assert f", {tasks.task_count(rows)}), REPARTITION_BY_NUM" in made._jdf.queryExecution().executedPlan().toString()
+    for name in ("fusion_candidates", "remap_extended"):
+        assert "REPARTITION_BY_NUM" in QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joins_with_exons_are_not_broadcast(spark):
+    assert "BroadcastHashJoin" not in QUERIES["mate_regions"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_islands_and_depth(spark, random_spans):
     rows = random_spans[0]
     merged = ij.islands(spans(spark, rows), ["k"]).collect()
@@ -190,6 +215,23 @@ def test_set_cover(spark):
     assert len({f for _, f in got}) == len(got)
 
 
+def test_greedy_cover_in_pieces():
+    rng = random.Random(15)
+    pairs = sorted({(rng.randrange(200), rng.randrange(30)) for _ in range(900)})
+    column = lambda part, i: np.array([p[i] for p in part])
+    take = lambda step, most: [(int(c), int(f)) for a, b in cl.greedy_cover([(column(pairs[k : k + step], 1), column(pairs[k : k + step], 0)) for k in range(0, len(pairs), step)], 1, most) for c, f in zip(a, b, strict=True)]
+    sets, want = {}, []
+    for f, c in pairs:
+        sets.setdefault(c, set()).add(f)
+    while any(sets.values()):
+        c = min(sets, key=lambda c: (-len(sets[c]), c))
+        claimed = set(sets[c])
+        want += [(c, f) for f in sorted(claimed)]
+        for x in sets.values():
+            x -= claimed
+    assert take(1000, 1 << 20) == take(7, 5) == want
+
+
 def test_components_and_linkage(spark):
     edges = [(1, 2), (2, 3), (10, 11), (i := 20, i + 1), (21, 22), (22, 20)]
     got = {r.vertex: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
